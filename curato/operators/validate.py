@@ -20,10 +20,27 @@ def parse_records(raw: DataFrame, text_col: str = "value") -> DataFrame:
             .withColumn("record", F.try_parse_json(F.col(text_col))))
 
 
-def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value") -> DataFrame:
-    """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>)."""
-    parsed = parse_records(raw, text_col)
-    return parsed.withColumn("violations", violations(F.col("record"), contract))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a relation that arrives in fewer partitions than the
+    cluster can run at once (e.g. one small file), before CPU-heavy work.
+    A large input already has many partitions and is left as it is."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
+                   min_partitions: int | None = None) -> DataFrame:
+    """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>).
+
+    The violation array is produced by a generator (``inline`` of a
+    one-element array): a later filter on it cannot be pushed below and
+    inline the whole check a second time, so each line is checked once.
+    """
+    parsed = parse_records(spread(raw, min_partitions), text_col)
+    check = violations(F.col("record"), contract, F.col(text_col))
+    return parsed.select(*parsed.columns, F.inline(F.array(F.struct(check.alias("violations")))))
 
 
 def extract(checked: DataFrame, contract: Contract, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
