@@ -7,7 +7,8 @@ a group holding a third of all rows still sends at most one row per map task.
 ``rank_in_group`` numbers *every* row of a group.  A plain window would put a
 hot group into one task, so rows are range-partitioned on (group, order) —
 which splits a large group over many partitions — numbered per (partition,
-group), and shifted by an offset table with one row per partition.
+group) slice, and shifted by the number of the group's rows in earlier
+partitions.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from curato.session import checkpoint
 
 _PART = "__part"
+_GROUP = "__group"
 _LOCAL = "__local"
 _LOCAL_N = "__local_n"
+_OFFSET = "__offset"
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -62,56 +65,33 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     ``order`` must be a total order inside a group (end it with a unique key).
     ``size_col``, if given, receives the number of rows of the group.
 
-    Plan: range exchange on (group, order) -> checkpoint (fixes which rows sit
-    in which partition, and survives executor loss) -> hash exchange on
-    (partition, group) -> row_number per (partition, group).  Only a group that
-    spans several partitions needs an offset; those offsets come from a table
-    with at most one row per partition, so its broadcast has a proven bound.
+    Plan: range exchange on (group, order), which cuts a large group into
+    slices over several partitions -> checkpoint (fixes which rows sit in
+    which partition, and survives executor loss) -> rows per (partition,
+    group) slice, about one row per group, and a running sum of those over
+    the partitions of each group = the offset of every slice -> row_number
+    within each slice, joined with the offsets on (partition, group), which
+    is the key the numbering already shuffles on.  No task ever holds more
+    than one range partition of a group.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gcols = _cols(group)
     ranged = checkpoint(
-        df.repartitionByRange(n, *gcols, *order).withColumn(_PART, F.spark_partition_id()))
-
-    key = F.struct(*gcols)
-    w = Window.partitionBy(_PART, *gcols).orderBy(*order)
-    local = (ranged.withColumn(_LOCAL, F.row_number().over(w))
-             .withColumn(_LOCAL_N, F.count(F.lit(1)).over(Window.partitionBy(_PART, *gcols))))
-
-    # Per partition: its first group and the row count of that group in it,
-    # its last group and that group's row count.  At most one row per partition.
-    parts = (local.groupBy(_PART).agg(
-        F.min(F.struct(key.alias("g"), F.col(_LOCAL_N).alias("n"))).alias("first"),
-        F.max(F.struct(key.alias("g"), F.col(_LOCAL_N).alias("n"))).alias("last")))
-    # A group that continues from earlier partitions is the last group of each
-    # of them, and those partitions are contiguous, so a running sum over the
-    # partitions whose last group is g, read at the previous partition, is the
-    # number of g's rows before this one.
-    by_last = Window.partitionBy(F.col("last.g")).orderBy(_PART)
-    in_order = Window.orderBy(_PART)  # one row per partition
-    edges = (parts
-             .withColumn("cum_last", F.sum("last.n").over(by_last))
-             .withColumn("prev_last", F.lag("last.g").over(in_order))
-             .withColumn("prev_cum", F.lag("cum_last").over(in_order))
-             .select(_PART, F.col("first.g").alias("first_g"),
-                     F.when(F.col("prev_last").eqNullSafe(F.col("first.g")), F.col("prev_cum"))
-                     .otherwise(F.lit(0)).cast("long").alias("first_offset")))
-
-    out = local.join(F.broadcast(edges), _PART, "left")
-    out = out.withColumn(
-        rank_col,
-        (F.col(_LOCAL) + F.when(key.eqNullSafe(F.col("first_g")), F.col("first_offset"))
-         .otherwise(F.lit(0))).cast("long"))
-
+        df.repartitionByRange(n, *gcols, *order)
+        .withColumns({_PART: F.spark_partition_id(), _GROUP: F.struct(*gcols)}))
+
+    slices = ranged.groupBy(_PART, _GROUP).agg(F.count(F.lit(1)).alias(_LOCAL_N))
+    before = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(
+        _PART, _GROUP,
+        F.coalesce(F.sum(_LOCAL_N).over(before), F.lit(0)).alias(_OFFSET),
+        *([F.sum(_LOCAL_N).over(Window.partitionBy(_GROUP)).alias(size_col)] if size_col else []))
+
+    local = ranged.withColumn(
+        _LOCAL, F.row_number().over(Window.partitionBy(_PART, _GROUP).orderBy(*order)))
+    out = local.join(offsets, [_PART, _GROUP])
+    out = out.withColumn(rank_col, (F.col(_LOCAL) + F.col(_OFFSET)).cast("long"))
     if size_col:
-        # Groups cut by a partition boundary: total their per-partition counts.
-        # At most two rows per partition, so the broadcast is bounded as well.
-        spans = (parts.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("e"))
-                 .groupBy(F.col("e.g").alias("span_g")).agg(F.sum("e.n").alias("span_n"))
-                 .filter(F.col("span_n") > 0))
-        out = (out.join(F.broadcast(spans), key.eqNullSafe(F.col("span_g")), "left")
-               .withColumn(size_col, F.coalesce(F.col("span_n"), F.col(_LOCAL_N)).cast("long"))
-               .drop("span_g", "span_n"))
-
-    return out.drop(_PART, _LOCAL, _LOCAL_N, "first_g", "first_offset")
+        out = out.withColumn(size_col, F.col(size_col).cast("long"))
+    return out.drop(_PART, _GROUP, _LOCAL, _OFFSET)
