@@ -131,12 +131,16 @@ def _scalar_checks(v: Column, kind: Column, rule: Rule, path: str) -> list[tuple
         item_path = f"{path}[]"
         probe = _element_checks(F.lit(None).cast("variant"), rule.items, item_path)
         for i, (label, _) in enumerate(probe):
-            def failed(e, i=i):
-                return _element_checks(e, rule.items, item_path)[i][1].isNotNull()
-            checks.append(_flag(F.coalesce(F.exists(arr, failed), F.lit(False)), label))
+            checks.append(_flag(F.coalesce(F.exists(arr, _item_failed(rule.items, item_path, i)),
+                                           F.lit(False)), label))
     return checks
 
 
+def _item_failed(rule: Rule, path: str, i: int):
+    """Element -> whether it fails check ``i`` (a one-argument lambda)."""
+    return lambda e: _element_checks(e, rule, path)[i][1].isNotNull()
+
+
 def _element_checks(e: Column, rule: Rule, path: str) -> list[tuple[str, Column]]:
     """Checks of one array element (inside a lambda, so computed inline)."""
     kind = _kind(e)
