@@ -9,9 +9,10 @@
       -> updated picks, snapshot, change feed, metrics
 
 Everything is a lazy DataFrame; ``Selection`` just names the relations.
-``materialize`` cuts the lineage of the scored relation (which every output
-reads) by checkpointing it into the cluster's checkpoint folder, so writing
-several outputs does not rerun the scans and shuffles that made it.
+``materialize`` cuts the lineage of the scored relation and of the per-pick
+status (which the outputs read) by checkpointing them into the cluster's
+checkpoint folder, so writing several outputs does not rerun the scans and
+shuffles that made them, and a lost executor costs a re-read, not a rerun.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
     status = reconcile.with_updated_flag(
         reconcile.with_new_pick(
             reconcile.with_old_score(reconcile.pick_status(picks, imgs), scored), top))
+    if materialize:
+        status = checkpoint(status)   # read by the picks, change feed and metrics outputs
     snap = outputs.snapshot(top)
     feed = outputs.cdc(status, top)
     return Selection(
