@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this library rebuilds is batch only: it has no streams, event-time
+windows, watermarks, state or late data, so none of its operators needs a
+streaming form.  The batch job (``curato.plans.job.run_job``) is what a
+scheduler runs per feed delivery.
+"""
