@@ -47,26 +47,32 @@ def cdc(status: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame
                     F.coalesce(F.col("reason"), F.lit("new")).alias("reason")))
 
 
-def _metric(name: str, df: DataFrame, value) -> DataFrame:
-    return df.agg(value.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+def _counts(df: DataFrame, **named) -> DataFrame:
+    """One aggregation over ``df`` giving several counts, unpivoted into
+    (metric, value) rows."""
+    agg = df.agg(*[c.cast("long").alias(n) for n, c in named.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in named])
+    return agg.select(F.inline(rows))
 
 
 def metrics(status: DataFrame, scored: DataFrame, feed: DataFrame, snap: DataFrame,
             extra: list[DataFrame] | None = None) -> DataFrame:
-    """One row per metric; each is a single partial aggregation, and the
-    rows are unioned (no driver round trip)."""
-    rows = [
-        _metric("picks_deleted", status, F.count_if(F.col("change_type") == "deleted")),
-        _metric("images_processed", scored.select("image_id").distinct(), F.count(F.lit(1))),
-        _metric("picks_updated", status, F.count_if(F.col("updated"))),
-        _metric("picks_unchanged", status, F.count_if(~F.col("updated"))),
-        _metric("cdc_inserts", feed, F.count_if(F.col("op") == INSERT)),
-        _metric("cdc_updates", feed, F.count_if(F.col("op") == UPDATE)),
-        _metric("cdc_deletes", feed, F.count_if(F.col("op") == DELETE)),
-        _metric("snapshot_rows", snap, F.count(F.lit(1))),
+    """One row per metric.  Each source is aggregated once (partial
+    aggregation, one row out) and the rows are unioned: no driver round trip."""
+    parts = [
+        _counts(status,
+                picks_deleted=F.count_if(F.col("change_type") == "deleted"),
+                picks_updated=F.count_if(F.col("updated")),
+                picks_unchanged=F.count_if(~F.col("updated"))),
+        _counts(scored.select("image_id").distinct(), images_processed=F.count(F.lit(1))),
+        _counts(feed,
+                cdc_inserts=F.count_if(F.col("op") == INSERT),
+                cdc_updates=F.count_if(F.col("op") == UPDATE),
+                cdc_deletes=F.count_if(F.col("op") == DELETE)),
+        _counts(snap, snapshot_rows=F.count(F.lit(1))),
     ]
-    out = rows[0]
-    for r in rows[1:] + list(extra or []):
+    out = parts[0]
+    for r in parts[1:] + list(extra or []):
         out = out.unionByName(r)
     return out
 

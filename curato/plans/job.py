@@ -56,6 +56,49 @@ def feed_counts(name: str, checked: DataFrame) -> DataFrame:
     ).select("m.metric", "m.value")
 
 
+def validation_gate(spark: SparkSession, feeds: dict[str, tuple[str, object]],
+                    fail_on_reject: bool = False) -> DataFrame:
+    """Check several feeds against their contracts: (feed, metric, value)
+    rows of valid and rejected line counts.  With ``fail_on_reject`` the
+    (tiny) result is collected and a feed with rejected lines raises."""
+    parts = []
+    for name, (path, contract) in feeds.items():
+        checked = validate.check_contract(read_lines(spark, path), contract)
+        parts.append(feed_counts(name, checked).withColumn("feed", F.lit(name)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = out.select("feed", "metric", "value")
+    if fail_on_reject:
+        bad = [r.feed for r in out.filter(F.col("metric").endswith("_rejected") & (F.col("value") > 0)).collect()]
+        if bad:
+            raise ValueError(f"feeds with rejected lines: {', '.join(sorted(bad))}")
+    return out
+
+
+def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: str | None, n: int,
+                out_dir: str) -> dict[str, str]:
+    """Write the chosen feeds ('images', 'tags', 'both') as n contiguous chunks
+    each, ordered by image id then line text (a scan carries no line
+    order).  Spark needs no chunking to join; this only serves consumers
+    that want fixed-size pieces."""
+    choices = {"images": ["images"], "tags": ["tags"], "both": ["images", "tags"]}
+    if which is None:
+        return {}
+    if which not in choices:
+        raise ValueError(f"which must be one of {sorted(choices)} or None")
+    from curato.sources.sinks import write_chunks
+    paths = {"images": images_path, "tags": tags_path}
+    out = {}
+    for name in choices[which]:
+        lines = read_lines(spark, paths[name]).filter(F.trim("value") != "")
+        keyed = lines.withColumn("image_id", F.get_json_object("value", "$.image_id"))
+        target = f"{out_dir.rstrip('/')}/{name}_chunks"
+        write_chunks(keyed, n, [F.col("image_id").asc_nulls_last(), F.col("value").asc()], target)
+        out[name] = target
+    return out
+
+
 def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: str, out_dir: str,
             policy: Policy = Policy(), glob: str | None = None) -> JobResult:
     feeds = {

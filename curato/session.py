@@ -30,6 +30,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # Local mode runs every task in the driver JVM: give it the memory an
+        # executor would have (only takes effect when this call starts the JVM).
+        builder = builder.config("spark.driver.memory", os.environ.get("CURATO_DRIVER_MEMORY", "16g"))
     return builder.getOrCreate()
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curato.operators.chunking import assign_chunks
 from curato.operators.validate import split_valid
 
 
@@ -35,3 +36,9 @@ def write_split(checked: DataFrame, valid_path: str, rejected_path: str | None =
     valid.select(text_col).write.mode(mode).text(valid_path)
     if rejected_path:
         rejected.select(text_col, "reasons").write.mode(mode).option("lineSep", "\n").json(rejected_path)
+
+
+def write_chunks(df: DataFrame, n: int, order, path: str, mode: str = "overwrite") -> None:
+    """Write ``df`` as n contiguous chunks (``chunk_id=1`` ... folders, JSON
+    lines), in ``order``; sizes are ceil(N/n), so there may be fewer than n."""
+    assign_chunks(df, n, order).write.mode(mode).partitionBy("chunk_id").json(path)

@@ -52,3 +52,22 @@ def test_job_matches_table_plan(spark, tmp_dir):
     assert m["snapshot_rows"] == len(snap)
     reasons = sorted(r.reasons for r in spark.read.json(res.outputs["rejected_image_tags"]).collect())
     assert reasons == ["$:malformed", "tags:type"]
+
+
+def test_gate_and_split(spark, tmp_dir):
+    from curato.plans.job import split_feeds, validation_gate
+    from curato.sources import contracts
+    paths, images, tags, picks = write_feeds(spark, tmp_dir)
+    gate = {(r.feed, r.metric): r.value for r in validation_gate(spark, {
+        "images": (paths["images"], contracts.IMAGE_CONTRACT),
+        "image_tags": (paths["tags"], contracts.TAGS_CONTRACT)}).collect()}
+    assert gate[("image_tags", "image_tags_rejected")] == 2
+    assert gate[("images", "images_valid")] == images.count()
+    with pytest.raises(ValueError):
+        validation_gate(spark, {"image_tags": (paths["tags"], contracts.TAGS_CONTRACT)}, fail_on_reject=True)
+    out = split_feeds(spark, paths["images"], paths["tags"], "images", 3, os.path.join(tmp_dir, "chunks"))
+    back = spark.read.json(out["images"])
+    sizes = sorted(r["count"] for r in back.groupBy("chunk_id").count().collect())
+    n = images.count()
+    size = -(-n // 3)
+    assert sum(sizes) == n and max(sizes) == size
