@@ -50,6 +50,18 @@ def flatten_picks(nested: DataFrame) -> DataFrame:
 
 def enrich(left: DataFrame, right: DataFrame, key: str | list[str] = "image_id",
            how: str = "left") -> DataFrame:
-    """Equi-join by column name(s); Spark picks the join method."""
+    """Equi-join by column name(s); Spark picks the join method.
+
+    A left join that fans out (many right rows per key) is run as an inner
+    join plus the left rows without a match: adaptive execution can split a
+    hot key of either side of an inner join, but not the right side of a
+    left outer join.  The unmatched rows come from an anti join against the
+    right side's distinct keys, which partial aggregation shrinks to one row
+    per key and map task before the shuffle.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return left.join(right, keys, how)
+    if how not in ("left", "left_outer", "leftouter"):
+        return left.join(right, keys, how)
+    matched = left.join(right, keys, "inner")
+    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

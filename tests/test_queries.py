@@ -70,3 +70,10 @@ def test_no_single_partition_window_over_rows(spark):
     """Full ranking must not gather a whole group (or everything) in one task."""
     plan = queries()["rank_in_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_fan_out_left_join_has_no_outer_join(spark):
+    """A hot key on the right of a left outer join cannot be split by AQE;
+    the enrich join is planned as inner + anti instead."""
+    plan = queries()["enrich_left"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and "LeftAnti" in plan
