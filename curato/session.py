@@ -14,8 +14,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Return a session tuned for the selection jobs.
 
     On a cluster the master and most sizing come from ``spark-submit``; the
-    settings here only switch on adaptive execution (runtime coalescing, skew
-    join splitting, runtime broadcast conversion) and keep the web UI off.
+    settings here switch on adaptive execution (runtime coalescing, skew join
+    splitting), restrict broadcasts to sides measured at run time, and keep
+    the web UI off.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -27,6 +28,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast only on measured sizes: no estimate-based broadcast at
+        # planning time; AQE broadcasts a side whose shuffle output it has
+        # measured under the threshold.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760b")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if shuffle_partitions:
