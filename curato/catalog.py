@@ -53,12 +53,12 @@ def _inputs(spark: SparkSession, sf: str):
 
 
 def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A):
-    """The reconciled relations.  The scored candidates and the per-pick
-    status are checkpointed: several branches of one output read them, and
-    without it each branch would rescan and reshuffle both inputs (exchange
-    reuse does not apply once column pruning makes the branches differ)."""
+    """The reconciled relations.  The scored candidates are checkpointed:
+    several branches of one output read them, and without it each branch
+    would rescan and reshuffle both inputs (exchange reuse does not apply
+    once column pruning makes the branches differ)."""
     images, tags, picks = _inputs(spark, sf)
-    return select_and_reconcile(images, tags, picks, policy, materialize=True), images, tags, picks
+    return select_and_reconcile(images, tags, picks, policy, materialize="scored"), images, tags, picks
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:

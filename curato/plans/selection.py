@@ -40,7 +40,11 @@ class Selection:
 
 
 def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
-                         policy: Policy = Policy(), materialize: bool = False) -> Selection:
+                         policy: Policy = Policy(), materialize: bool | str = False) -> Selection:
+    """``materialize``: False keeps everything lazy; "scored" checkpoints the
+    scored candidates (read by the best-pick window and the old-score join);
+    True also checkpoints the per-pick status, for runs that write several
+    outputs from it."""
     if policy.variant != "A":
         raise ValueError("the flagship selection uses scorer A; see scoring.select_variant_b")
     imgs = dedupe_images(images)
@@ -51,7 +55,7 @@ def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
     status = reconcile.with_updated_flag(
         reconcile.with_new_pick(
             reconcile.with_old_score(reconcile.pick_status(picks, imgs), scored), top))
-    if materialize:
+    if materialize is True:
         status = checkpoint(status)   # read by the picks, change feed and metrics outputs
     snap = outputs.snapshot(top)
     feed = outputs.cdc(status, top)

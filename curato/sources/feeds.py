@@ -10,6 +10,7 @@ a directory (e.g. ``"*.jsonl"``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
@@ -58,3 +59,11 @@ def read_typed(spark: SparkSession, path: str | list[str], schema: StructType,
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.json(path)
+
+
+def read_chunk_dir(spark: SparkSession, directory: str, schema: StructType, glob: str = "*.jsonl",
+                   chunk_col: str = "chunk_id") -> DataFrame:
+    """Typed rows of every matching file in ``directory``, each tagged with
+    its file name as ``chunk_col`` (for ``chunking.join_chunks``)."""
+    df = read_typed(spark, directory, schema, glob)
+    return df.withColumn(chunk_col, F.col("_metadata.file_name"))

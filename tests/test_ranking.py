@@ -88,3 +88,23 @@ def test_join_chunks_modes(spark):
     assert union == [(1, 1), (1, 2), (2, 1), (3, 2)]
     everywhere = [r.image_id for r in join_chunks(left, chunks, "image_id", mode="all").collect()]
     assert everywhere == [1]
+
+
+def test_join_against_chunk_directory(spark, tmp_dir):
+    import os
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from curato.sources.feeds import read_chunk_dir
+    d = os.path.join(tmp_dir, "tag_chunks")
+    os.makedirs(d)
+    for i, rows in enumerate([['{"image_id":1,"tag":"a"}', '{"image_id":2,"tag":"b"}'],
+                              ['{"image_id":1,"tag":"c"}', '{"image_id":3,"tag":"d"}']], start=1):
+        with open(os.path.join(d, f"chunk_{i}.jsonl"), "w") as f:
+            f.write("\n".join(rows) + "\n")
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write('{"image_id":1,"tag":"zzz"}\n')
+    schema = StructType([StructField("image_id", LongType()), StructField("tag", StringType())])
+    chunks = read_chunk_dir(spark, d, schema)
+    left = spark.createDataFrame([(1, "x"), (2, "y"), (4, "w")], "image_id long, v string")
+    union = sorted((r.image_id, r.tag, r.chunk_id) for r in join_chunks(left, chunks, "image_id").collect())
+    assert union == [(1, "a", "chunk_1.jsonl"), (1, "c", "chunk_2.jsonl"), (2, "b", "chunk_1.jsonl")]
+    assert [r.image_id for r in join_chunks(left, chunks, "image_id", mode="all").collect()] == [1]
