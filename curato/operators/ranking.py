@@ -73,6 +73,10 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     within each slice, joined with the offsets on (partition, group), which
     is the key the numbering already shuffles on.  No task ever holds more
     than one range partition of a group.
+
+    The range exchange samples its input in a job of its own; upstream
+    shuffles are materialized stages by then, so only the narrow tail of the
+    input's plan runs twice.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
