@@ -239,3 +239,28 @@ def violations(record: Column, contract: Contract, text: Column | None = None) -
         return _let(vals, with_kinds)
 
     return F.when(record.isNull(), F.array(F.lit("$:malformed"))).otherwise(_let(record, with_values))
+
+
+def staged_checks(contract: Contract, record: str = "record", text: str | None = "value"):
+    """The same checks as ``violations`` as staged projections, for a
+    DataFrame operator: ``(values, kinds, violations)`` where ``values``
+    extracts each field once, ``kinds`` types each once (both dicts of
+    helper columns to add in that order) and ``violations`` reads only
+    those columns.  Plain projections stay in whole-stage codegen.  With the
+    raw ``text`` at hand, "the line is an object" is read off its first
+    character instead of typing the whole record."""
+    paths = _paths(contract.rules, "$")
+    fields = {p: i for i, p in enumerate(paths)}
+    values = {f"__cv{i}": F.try_variant_get(F.col(record), p, "variant") for i, p in enumerate(paths)}
+    root = (F.when(F.col(text).rlike(r"^\s*\{"), F.lit("OBJECT")).otherwise(F.lit("OTHER"))
+            if text else F.schema_of_variant(F.col(record)))
+    kinds = {"__ckr": root, **{f"__ck{i}": F.schema_of_variant(F.col(f"__cv{i}")) for i in range(len(paths))}}
+    bound = {"rec": F.col(record), "kr": F.col("__ckr"),
+             **{f"v{i}": F.col(f"__cv{i}") for i in range(len(paths))},
+             **{f"k{i}": F.col(f"__ck{i}") for i in range(len(paths))}}
+    found: list[tuple[str, Column]] = [_flag(~bound["kr"].startswith("OBJECT"), "$:type")]
+    _walk(fields, bound, bound["rec"], bound["kr"], contract.rules, contract.additional, "", "$",
+          F.col(text) if text else None, found)
+    out = F.when(F.col(record).isNull(), F.array(F.lit("$:malformed"))).otherwise(
+        F.array_compact(F.array(*[c for _, c in found])))
+    return values, kinds, out

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curato.functions.contract import Contract, violations
+from curato.functions.contract import Contract, staged_checks
 
 
 def parse_records(raw: DataFrame, text_col: str = "value") -> DataFrame:
@@ -34,13 +34,16 @@ def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
                    min_partitions: int | None = None) -> DataFrame:
     """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>).
 
-    The violation array is produced by a generator (``inline`` of a
-    one-element array): a later filter on it cannot be pushed below and
-    inline the whole check a second time, so each line is checked once.
+    Each field is extracted and typed once in plain projections, and the
+    violation array is produced by a generator (``inline`` of a one-element
+    array): a later filter on it cannot be pushed below and inline the whole
+    check a second time, so each line is checked once.
     """
     parsed = parse_records(spread(raw, min_partitions), text_col)
-    check = violations(F.col("record"), contract, F.col(text_col))
-    return parsed.select(*parsed.columns, F.inline(F.array(F.struct(check.alias("violations")))))
+    values, kinds, check = staged_checks(contract, "record", text_col)
+    staged = parsed.withColumns(values).withColumns(kinds)
+    return (staged.select(*parsed.columns, F.inline(F.array(F.struct(check.alias("violations")))))
+            .select(*parsed.columns, "violations"))
 
 
 def extract(checked: DataFrame, contract: Contract, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:

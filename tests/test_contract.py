@@ -116,3 +116,14 @@ def test_key_value_writer_omits_nulls(spark, tmp_dir):
                     '{"key":{"hotel_id":2},"value":{}}']
     back = shape.flatten_picks(read_typed(spark, out, sinks.key_value(picks).schema))
     assert sorted([tuple(r) for r in back.collect()], key=str) == sorted([(1, "a", "u"), (2, None, None)], key=str)
+
+
+def test_column_form_matches_staged_form(spark):
+    from pyspark.sql import functions as F
+    from curato.functions.contract import violations
+    rows = [(k, v) for k, v in LINES.items()]
+    raw = spark.createDataFrame(rows, "name string, value string")
+    parsed = validate.parse_records(raw)
+    col_form = {r.name: list(r.v) for r in parsed.select(
+        "name", violations(F.col("record"), IMAGE_CONTRACT, F.col("value")).alias("v")).collect()}
+    assert col_form == EXPECTED
