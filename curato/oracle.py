@@ -60,7 +60,7 @@ CAND = f"""cand AS (
 FEAT = """feat AS (
   SELECT *, width * height AS resolution,
     CASE WHEN height = 0 THEN NULL ELSE width / height END AS aspect_ratio,
-    date_diff('day', CAST(created_at AS DATE), DATE '2006-01-01') AS freshness_days
+    CAST(date_diff('day', CAST(created_at AS DATE), DATE '2006-01-01') AS INTEGER) AS freshness_days
   FROM {src})"""
 
 SUBS_A = """subs AS (
