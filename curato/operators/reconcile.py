@@ -21,13 +21,18 @@ def with_lifecycle(df: DataFrame, col: str = "is_active", out: str = "change_typ
     return df.withColumn(out, lifecycle(F.col(col)))
 
 
-def candidates(df: DataFrame, policy: Policy) -> DataFrame:
-    """Images that may be picked. Inactive ones never; ones with a null
-    flag ('deleted') unless the policy requires an active flag."""
-    out = with_lifecycle(df).filter(F.col("change_type") != F.lit(INACTIVE))
+def is_candidate(change_type: F.Column, policy: Policy) -> F.Column:
+    """Inactive images are never picked; ones with a null flag ('deleted')
+    are, unless the policy requires an active flag."""
+    ok = change_type != F.lit(INACTIVE)
     if policy.require_active:
-        out = out.filter(F.col("change_type") != F.lit(DELETED))
-    return out
+        ok = ok & (change_type != F.lit(DELETED))
+    return ok
+
+
+def candidates(df: DataFrame, policy: Policy) -> DataFrame:
+    """The images that may be picked."""
+    return with_lifecycle(df).filter(is_candidate(F.col("change_type"), policy))
 
 
 def pick_status(picks: DataFrame, images: DataFrame, key: str = "image_id") -> DataFrame:
@@ -39,6 +44,20 @@ def pick_status(picks: DataFrame, images: DataFrame, key: str = "image_id") -> D
     return with_lifecycle(picks.drop("cdn_url").join(imgs, key, "left"))
 
 
+def pick_status_scored(picks: DataFrame, scored_images: DataFrame, key: str = "image_id",
+                       flag: str = "candidate") -> DataFrame:
+    """W22+W23 in one join: every current pick with the state of its image
+    and, when that image is a candidate, its score as ``old_image_score``.
+    ``scored_images`` holds every (deduplicated) image, scored, with a
+    boolean ``flag`` column marking candidates."""
+    derived = ["hotel_id", "change_type", "tag", "version", "probability", "resolution", "aspect_ratio",
+               "freshness_days", "score_resolution", "score_aspect_ratio", "score_freshness",
+               "score_tag_priority", "image_score", flag]
+    imgs = (scored_images.withColumn("old_image_score", F.when(F.col(flag), F.col("image_score")))
+            .drop(*derived))
+    return with_lifecycle(picks.drop("cdn_url").join(imgs, key, "left"))
+
+
 def with_old_score(status: DataFrame, scored: DataFrame, key: str = "image_id") -> DataFrame:
     """The current pick's score, null when it is not a candidate."""
     return status.join(scored.select(key, F.col("image_score").alias("old_image_score")), key, "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curato.functions import features as fx
 from curato.operators.ranking import best_tag, dedupe_images, rank_in_group, top_in_group
-from curato.operators.reconcile import candidates
+from curato.operators.reconcile import candidates, is_candidate, with_lifecycle
 from curato.policy import Policy
 
 SCORE_COLUMNS = ["score_resolution", "score_aspect_ratio", "score_freshness", "score_tag_priority"]
@@ -57,10 +57,10 @@ def score_images(df: DataFrame, policy: Policy) -> DataFrame:
     return with_composite(with_sub_scores(with_features(df, policy), policy), policy)
 
 
-def tagged_candidates(images: DataFrame, tags: DataFrame, policy: Policy,
-                      key: str = "image_id", dedupe: bool = True) -> DataFrame:
-    """W13+W14+W15: one row per image with its best tag, lifecycle class, and
-    only the images that can be picked.
+def tagged_images(images: DataFrame, tags: DataFrame, policy: Policy, key: str = "image_id",
+                  dedupe: bool = True, flag: str = "candidate") -> DataFrame:
+    """W13+W14: one row per image with its best tag, its lifecycle class and
+    a boolean ``flag`` telling whether it may be picked.
 
     Tags are cut to one row per image *before* the join, so a hot image id
     never fans out through the join; both join sides come out of a window
@@ -68,7 +68,15 @@ def tagged_candidates(images: DataFrame, tags: DataFrame, policy: Policy,
     """
     top_tag = best_tag(tags.select(key, "tag", "version", "probability"), key)
     imgs = dedupe_images(images, key) if dedupe else images
-    return candidates(imgs.join(top_tag, key, "left"), policy)
+    out = with_lifecycle(imgs.join(top_tag, key, "left"))
+    return out.withColumn(flag, is_candidate(F.col("change_type"), policy))
+
+
+def tagged_candidates(images: DataFrame, tags: DataFrame, policy: Policy,
+                      key: str = "image_id", dedupe: bool = True) -> DataFrame:
+    """W13+W14+W15: the images that can be picked, with their best tag."""
+    return (tagged_images(images, tags, policy, key, dedupe, flag="__candidate")
+            .filter(F.col("__candidate")).drop("__candidate"))
 
 
 def scored_candidates(images: DataFrame, tags: DataFrame, policy: Policy,

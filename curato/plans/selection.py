@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from curato.operators import outputs, reconcile, scoring
 from curato.operators.ranking import dedupe_images
@@ -42,19 +43,23 @@ class Selection:
 def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
                          policy: Policy = Policy(), materialize: bool | str = False) -> Selection:
     """``materialize``: False keeps everything lazy; "scored" checkpoints the
-    scored candidates (read by the best-pick window and the old-score join);
+    scored images (read by the best-pick window and the pick status join);
     True also checkpoints the per-pick status, for runs that write several
     outputs from it."""
     if policy.variant != "A":
         raise ValueError("the flagship selection uses scorer A; see scoring.select_variant_b")
     imgs = dedupe_images(images)
-    scored = scoring.scored_candidates(imgs, tags, policy, dedupe=False)
+    # Every image is scored once, with a candidate flag: the best-pick window
+    # reads the candidates, and the picks need one join on the image id for
+    # both the image's state and (for a candidate) its score.
+    scored_all = scoring.score_images(
+        scoring.tagged_images(imgs, tags, policy, dedupe=False, flag="candidate"), policy)
     if materialize:
-        scored = checkpoint(scored)
+        scored_all = checkpoint(scored_all)
+    scored = scored_all.filter(F.col("candidate")).drop("candidate")
     top = scoring.top_images(scored)
     status = reconcile.with_updated_flag(
-        reconcile.with_new_pick(
-            reconcile.with_old_score(reconcile.pick_status(picks, imgs), scored), top))
+        reconcile.with_new_pick(reconcile.pick_status_scored(picks, scored_all), top))
     if materialize is True:
         status = checkpoint(status)   # read by the picks, change feed and metrics outputs
     snap = outputs.snapshot(top)
