@@ -29,10 +29,12 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF)
-    s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(oracle_sql()[name])
-    d_cols, d_rows = canon([c[0] for c in res.description], res.fetchall())
+    table = queries()[name](spark, SF).toArrow()
+    expected = duck.sql(oracle_sql()[name]).to_arrow_table()
+    assert ({f.name: str(f.type) for f in table.schema}
+            == {f.name: str(f.type) for f in expected.schema})
+    s_cols, s_rows = canon(table.column_names, [tuple(r.values()) for r in table.to_pylist()])
+    d_cols, d_rows = canon(expected.column_names, [tuple(r.values()) for r in expected.to_pylist()])
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
