@@ -30,21 +30,28 @@ def snapshot(top: DataFrame, group: str = "hotel_id") -> DataFrame:
 
 
 def cdc(status: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame:
-    """``status`` has one row per current pick with image_id, change_type and
-    old_image_score; ``top`` one row per hotel with its best candidate.
-    One full outer join on the hotel, both sides unique on it."""
-    old = status.select(group, F.col("image_id").alias("old_image_id"),
+    """``status`` has one row per current pick with image_id, change_type,
+    old_image_score and the hotel's new pick (``with_new_pick``); ``top`` one
+    row per hotel with its best candidate.
+
+    Updates and deletes come from ``status`` itself (its left join with the
+    best picks is one AQE can split when a hotel is hot); inserts are best
+    picks of hotels with no current pick, an anti join against the distinct
+    picked hotels.  No full outer join, whose skewed partitions AQE cannot
+    split."""
+    changed = (F.when(F.col("has_new_pick").isNull(), F.lit(DELETE))
+               .when(~F.col("image_id").eqNullSafe(F.col("new_image_id")), F.lit(UPDATE)))
+    old_side = (status.withColumn("op", changed).filter(F.col("op").isNotNull())
+                .select("op", group, F.col("image_id").alias("old_image_id"), "new_image_id",
                         F.col("old_image_score").alias("old_score"),
-                        F.col("change_type").alias("reason"), F.lit(True).alias("_has_old"))
-    new = top.select(group, F.col("image_id").alias("new_image_id"),
-                     F.col("image_score").alias("new_score"), F.lit(True).alias("_has_new"))
-    j = old.join(new, group, "full_outer")
-    op = (F.when(F.col("_has_old").isNull(), F.lit(INSERT))
-          .when(F.col("_has_new").isNull(), F.lit(DELETE))
-          .when(~F.col("old_image_id").eqNullSafe(F.col("new_image_id")), F.lit(UPDATE)))
-    return (j.withColumn("op", op).filter(F.col("op").isNotNull())
-            .select("op", group, "old_image_id", "new_image_id", "old_score", "new_score",
-                    F.coalesce(F.col("reason"), F.lit("new")).alias("reason")))
+                        F.col("new_image_score").alias("new_score"),
+                        F.coalesce(F.col("change_type"), F.lit("deleted")).alias("reason")))
+    inserts = (top.join(status.select(group).distinct(), group, "left_anti")
+               .select(F.lit(INSERT).alias("op"), group, F.lit(None).cast(status.schema["image_id"].dataType)
+                       .alias("old_image_id"), F.col("image_id").alias("new_image_id"),
+                       F.lit(None).cast("double").alias("old_score"), F.col("image_score").alias("new_score"),
+                       F.lit("new").alias("reason")))
+    return old_side.unionByName(inserts)
 
 
 def _counts(df: DataFrame, **named) -> DataFrame:
@@ -79,9 +86,9 @@ def metrics(status: DataFrame, scored: DataFrame, feed: DataFrame, snap: DataFra
 
 def apply_cdc(old_picks: DataFrame, feed: DataFrame, group: str = "hotel_id") -> DataFrame:
     """Apply a change feed to (hotel_id, image_id) picks: the check that the
-    feed and the snapshot agree."""
-    changes = feed.select(group, "op", "new_image_id")
-    j = old_picks.select(group, "image_id").join(changes, group, "full_outer")
-    return (j.filter(F.coalesce(F.col("op"), F.lit("keep")) != F.lit(DELETE))
-            .select(group, F.when(F.col("op").isin(INSERT, UPDATE), F.col("new_image_id"))
-                    .otherwise(F.col("image_id")).alias("image_id")))
+    feed and the snapshot agree.  Picks of hotels the feed touches are
+    replaced by its inserts and updates (deletes leave nothing)."""
+    touched = feed.select(group).distinct()
+    kept = old_picks.select(group, "image_id").join(touched, group, "left_anti")
+    upserts = feed.filter(F.col("op").isin(INSERT, UPDATE)).select(group, F.col("new_image_id").alias("image_id"))
+    return kept.unionByName(upserts)

@@ -67,7 +67,8 @@ def with_new_pick(df: DataFrame, top: DataFrame, group: str = "hotel_id") -> Dat
     """The hotel's best candidate and its score, null when there is none."""
     best = top.select(group, F.col("image_id").alias("new_image_id"),
                       F.col("image_score").alias("new_image_score"),
-                      F.col("cdn_url").alias("new_cdn_url"))
+                      F.col("cdn_url").alias("new_cdn_url"),
+                      F.lit(True).alias("has_new_pick"))
     return df.join(best, group, "left")
 
 
