@@ -23,8 +23,11 @@ def parse_records(raw: DataFrame, text_col: str = "value") -> DataFrame:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a relation that arrives in fewer partitions than the
     cluster can run at once (e.g. one small file), before CPU-heavy work.
-    A large input already has many partitions and is left as it is."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    The target is the cluster's parallelism, capped at the shuffle partition
+    count; a large input already has many partitions and is left as it is."""
+    spark = df.sparkSession
+    want = min_partitions or min(spark.sparkContext.defaultParallelism,
+                                 int(spark.conf.get("spark.sql.shuffle.partitions")))
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
