@@ -42,7 +42,7 @@ def flagship_run(spark, sf: str) -> None:
     """The whole job once: score, pick, reconcile, and every output, with
     the scored relation checkpointed so the outputs share it."""
     images = images_view(spark, sf)
-    sel = select_and_reconcile(images, tags_view(spark, sf), picks_view(spark, sf, images),
+    sel = select_and_reconcile(images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=True),
                                POLICY_A, materialize=True)
     for df in (sel.snapshot, sel.cdc, sel.metrics, sel.updated_picks):
         run_noop(df)

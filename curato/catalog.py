@@ -49,7 +49,7 @@ def _r(col: str) -> F.Column:
 
 def _inputs(spark: SparkSession, sf: str):
     images = images_view(spark, sf)
-    return images, tags_view(spark, sf), picks_view(spark, sf, images)
+    return images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=True)
 
 
 def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A):
