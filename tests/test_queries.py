@@ -79,3 +79,14 @@ def test_fan_out_left_join_has_no_outer_join(spark):
     the enrich join is planned as inner + anti instead."""
     plan = queries()["enrich_left"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan and "LeftAnti" in plan
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_cross_or_full_outer_joins(spark, name):
+    """No query pairs rows without a key, and none uses a full outer join
+    (whose skewed partitions adaptive execution cannot split)."""
+    qe = queries()[name](spark, SF)._jdf.queryExecution()
+    plan = qe.optimizedPlan().toString()
+    assert "Cross" not in plan and "FullOuter" not in plan
+    physical = qe.executedPlan().toString()
+    assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
