@@ -1,15 +1,16 @@
 """The file-to-file job: JSON-lines feeds in, refreshed picks and run outputs out.
 
     images.jsonl, image_tags.jsonl, main_images.jsonl
-      -> contract check per feed (rejected lines quarantined with reasons)
-      -> typed relations -> select_and_reconcile (scored relation checkpointed)
+      -> contract check per feed, written once as a validity-partitioned table
+         (typed valid rows; rejected lines with reasons)
+      -> select_and_reconcile (scored images and pick status checkpointed)
       -> <out>/updated_main_images   key/value JSON lines, one per current pick
          <out>/snapshot, <out>/cdc, <out>/metrics   JSON lines
          <out>/rejected/<feed>       lines that broke their contract
 
-Inputs are never modified.  Each output is one Spark write; the scored
-relation every output reads is checkpointed once, so the scans, the
-contract checks and the ranking shuffles run once per job.
+Inputs are never modified.  Each output is one Spark write; every line is
+parsed and checked once, and the relations the outputs share are
+checkpointed, so the scans and the ranking shuffles run once per job.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from curato.operators import validate
 from curato.plans.selection import Selection, select_and_reconcile
 from curato.policy import Policy
-from curato.session import checkpoint
+from curato.session import scratch_path
 from curato.sources import contracts, sinks
 from curato.sources.feeds import read_lines
 
@@ -35,21 +36,40 @@ class JobResult:
     rejected: dict[str, DataFrame]
 
 
-def load_feed(spark: SparkSession, path: str, contract, glob: str | None = None):
-    """(checked lines, valid lines, rejected lines) of one feed.
-
-    The check runs once: the lines with their violations are checkpointed,
-    and valid lines are parsed again (cheap next to the checks) from there."""
-    checked = checkpoint(validate.check_contract(read_lines(spark, path, glob), contract)
-                         .select("value", "violations"))
-    valid, rejected = validate.split_valid(checked)
-    return checked, valid.withColumn("record", F.try_parse_json("value")), rejected
-
-
-def feed_counts(name: str, checked: DataFrame) -> DataFrame:
+def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = None) -> DataFrame:
+    """Parse and check a feed once, and write it once as a table in the
+    shared checkpoint folder, partitioned by validity: valid lines as typed
+    columns (columnar, far smaller than the JSON text), rejected lines as
+    the raw line and its reasons.  Everything downstream reads this table,
+    so no line is parsed or checked twice and the lineage is cut here."""
+    contract, fields, _ = contracts.FEEDS[name]
+    checked = validate.check_contract(read_lines(spark, path, glob), contract)
     ok = F.size(F.col("violations")) == 0
-    return checked.agg(F.count_if(ok).cast("long").alias("valid"),
-                       F.count_if(~ok).cast("long").alias("rejected")).select(
+    staged = checked.select(
+        ok.alias("valid"),
+        *[F.when(ok, c).alias(n) for n, c in fields().items()],
+        F.when(~ok, F.col("value")).alias("value"),
+        F.when(~ok, F.array_join(F.col("violations"), ";")).alias("reasons"))
+    target = scratch_path(spark, f"feed-{name}")
+    staged.write.partitionBy("valid").parquet(target)
+    return spark.read.schema(staged.schema).parquet(target)
+
+
+def load_feed(spark: SparkSession, path: str, name: str, glob: str | None = None):
+    """(staged table, typed valid rows, rejected lines) of one feed."""
+    _, fields, after = contracts.FEEDS[name]
+    table = stage_feed(spark, path, name, glob)
+    valid = after(table.filter(F.col("valid")).select(*fields().keys()))
+    rejected = table.filter(~F.col("valid")).select("value", "reasons")
+    return table, valid, rejected
+
+
+def feed_counts(name: str, table: DataFrame) -> DataFrame:
+    """Valid and rejected line counts of a staged feed (reads only the
+    partition column)."""
+    ok = F.col("valid")
+    return table.agg(F.count_if(ok).cast("long").alias("valid"),
+                     F.count_if(~ok).cast("long").alias("rejected")).select(
         F.explode(F.array(
             F.struct(F.lit(f"{name}_valid").alias("metric"), F.col("valid").alias("value")),
             F.struct(F.lit(f"{name}_rejected").alias("metric"), F.col("rejected").alias("value")))).alias("m")
@@ -64,7 +84,8 @@ def validation_gate(spark: SparkSession, feeds: dict[str, tuple[str, object]],
     parts = []
     for name, (path, contract) in feeds.items():
         checked = validate.check_contract(read_lines(spark, path), contract)
-        parts.append(feed_counts(name, checked).withColumn("feed", F.lit(name)))
+        counts = checked.select((F.size(F.col("violations")) == 0).alias("valid"))
+        parts.append(feed_counts(name, counts).withColumn("feed", F.lit(name)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -101,17 +122,13 @@ def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: st
 
 def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: str, out_dir: str,
             policy: Policy = Policy(), glob: str | None = None) -> JobResult:
-    feeds = {
-        "images": (images_path, contracts.IMAGE_CONTRACT, contracts.typed_images),
-        "image_tags": (tags_path, contracts.TAGS_CONTRACT, contracts.typed_tags),
-        "main_images": (picks_path, contracts.PICKS_CONTRACT, contracts.typed_picks),
-    }
+    feeds = {"images": images_path, "image_tags": tags_path, "main_images": picks_path}
     typed, rejected, counts = {}, {}, []
-    for name, (path, contract, to_typed) in feeds.items():
-        checked, valid, bad = load_feed(spark, path, contract, glob)
-        typed[name] = to_typed(valid)
+    for name, path in feeds.items():
+        table, valid, bad = load_feed(spark, path, name, glob)
+        typed[name] = valid
         rejected[name] = bad
-        counts.append(feed_counts(name, checked))
+        counts.append(feed_counts(name, table))
 
     sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
                                materialize=True)

@@ -46,28 +46,59 @@ def _get(path: str, t: str):
     return F.try_variant_get(F.col("record"), path, t)
 
 
-def typed_images(valid: DataFrame) -> DataFrame:
+def image_fields() -> dict:
+    """Typed columns of an image line (one per line)."""
     created = _get("$.created_at", "string")
-    return valid.select(
-        _get("$.image_id", "string").alias("image_id"),
-        _get("$.hotel_id", "bigint").alias("hotel_id"),
-        _get("$.cdn_url", "string").alias("cdn_url"),
-        _get("$.hash", "string").alias("hash"),
-        _get("$.width", "bigint").alias("width"),
-        _get("$.height", "bigint").alias("height"),
-        F.coalesce(F.try_to_timestamp(created), created.try_cast("timestamp")).alias("created_at"),
-        _get("$.is_active", "boolean").alias("is_active"))
+    return {
+        "image_id": _get("$.image_id", "string"),
+        "hotel_id": _get("$.hotel_id", "bigint"),
+        "cdn_url": _get("$.cdn_url", "string"),
+        "hash": _get("$.hash", "string"),
+        "width": _get("$.width", "bigint"),
+        "height": _get("$.height", "bigint"),
+        "created_at": F.coalesce(F.try_to_timestamp(created), created.try_cast("timestamp")),
+        "is_active": _get("$.is_active", "boolean"),
+    }
 
 
-def typed_tags(valid: DataFrame) -> DataFrame:
-    """Flat tags; an empty tags array gives no row (as explode does)."""
-    items = _get("$.tags", "array<struct<tag:string,version:string,probability:double>>")
-    return (valid.select(_get("$.image_id", "string").alias("image_id"), F.explode(items).alias("t"))
+def tag_fields() -> dict:
+    """Typed columns of a tags line, still nested (one row per line)."""
+    return {"image_id": _get("$.image_id", "string"),
+            "tags": _get("$.tags", "array<struct<tag:string,version:string,probability:double>>")}
+
+
+def pick_fields() -> dict:
+    return {"hotel_id": _get("$.key.hotel_id", "bigint"),
+            "image_id": _get("$.value.image_id", "string"),
+            "cdn_url": _get("$.value.cdn_url", "string")}
+
+
+def flatten_tag_rows(df: DataFrame) -> DataFrame:
+    """One row per (image, tag); an empty tags array gives no row."""
+    return (df.select("image_id", F.explode("tags").alias("t"))
             .select("image_id", F.col("t.tag").alias("tag"), F.col("t.version").alias("version"),
                     F.col("t.probability").alias("probability")))
 
 
+def typed_images(valid: DataFrame) -> DataFrame:
+    return valid.select(*[c.alias(n) for n, c in image_fields().items()])
+
+
+def typed_tags(valid: DataFrame) -> DataFrame:
+    return flatten_tag_rows(valid.select(*[c.alias(n) for n, c in tag_fields().items()]))
+
+
 def typed_picks(valid: DataFrame) -> DataFrame:
-    return valid.select(_get("$.key.hotel_id", "bigint").alias("hotel_id"),
-                        _get("$.value.image_id", "string").alias("image_id"),
-                        _get("$.value.cdn_url", "string").alias("cdn_url"))
+    return valid.select(*[c.alias(n) for n, c in pick_fields().items()])
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+# Feed name -> (contract, typed columns of a line, step after reading them back).
+FEEDS = {
+    "images": (IMAGE_CONTRACT, image_fields, _same),
+    "image_tags": (TAGS_CONTRACT, tag_fields, flatten_tag_rows),
+    "main_images": (PICKS_CONTRACT, pick_fields, _same),
+}
