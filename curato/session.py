@@ -83,13 +83,3 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_threshold(spark: SparkSession) -> int:
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    value = value.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if value.endswith(suffix):
-            return int(float(value[: -len(suffix)]) * units[suffix])
-    return int(value)
