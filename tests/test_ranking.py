@@ -108,3 +108,19 @@ def test_join_against_chunk_directory(spark, tmp_dir):
     union = sorted((r.image_id, r.tag, r.chunk_id) for r in join_chunks(left, chunks, "image_id").collect())
     assert union == [(1, "a", "chunk_1.jsonl"), (1, "c", "chunk_2.jsonl"), (2, "b", "chunk_1.jsonl")]
     assert [r.image_id for r in join_chunks(left, chunks, "image_id", mode="all").collect()] == [1]
+
+
+def test_rank_in_group_multi_column_groups(spark):
+    rows = [(a, b, float(i % 7), i) for i, (a, b) in enumerate(
+        [(1, "x")] * 40 + [(1, "y")] * 5 + [(2, None)] * 9 + [(None, None)] * 3)]
+    df = spark.createDataFrame(rows, "a long, b string, score double, id long")
+    got = {r.id: (r.rank, r.n) for r in rank_in_group(
+        df, ["a", "b"], [F.col("score").desc(), F.col("id")], size_col="n", num_partitions=5).collect()}
+    want = {}
+    groups = {}
+    for a, b, s, i in rows:
+        groups.setdefault((a, b), []).append((-s, i))
+    for members in groups.values():
+        for pos, (_, i) in enumerate(sorted(members), start=1):
+            want[i] = (pos, len(members))
+    assert got == want
