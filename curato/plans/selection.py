@@ -17,7 +17,7 @@ shuffles that made them, and a lost executor costs a re-read, not a rerun.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,16 +28,50 @@ from curato.policy import Policy
 from curato.session import checkpoint
 
 
-@dataclass(frozen=True)
 class Selection:
-    images: DataFrame          # deduplicated image records
-    scored: DataFrame          # candidates with best tag, features, scores
-    top: DataFrame             # best candidate per hotel
-    status: DataFrame          # picks + image state + old score + new pick + updated flag
-    updated_picks: DataFrame   # one row per current pick with the chosen image
-    snapshot: DataFrame
-    cdc: DataFrame
-    metrics: DataFrame
+    """The relations of one selection run, each built on first use (building
+    a DataFrame costs driver-side analysis, so a caller that needs one output
+    does not pay for the others)."""
+
+    def __init__(self, images: DataFrame, scored_all: DataFrame, picks: DataFrame, policy: Policy,
+                 materialize_status: bool):
+        self.images = images                # deduplicated image records
+        self.scored_all = scored_all        # every image scored, with a candidate flag
+        self._picks, self._policy, self._materialize_status = picks, policy, materialize_status
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Candidates with best tag, features and scores."""
+        return self.scored_all.filter(F.col("candidate")).drop("candidate")
+
+    @cached_property
+    def top(self) -> DataFrame:
+        """Best candidate per hotel."""
+        return scoring.top_images(self.scored)
+
+    @cached_property
+    def status(self) -> DataFrame:
+        """Current picks + image state + old score + new pick + updated flag."""
+        status = reconcile.with_updated_flag(
+            reconcile.with_new_pick(reconcile.pick_status_scored(self._picks, self.scored_all), self.top))
+        return checkpoint(status) if self._materialize_status else status
+
+    @cached_property
+    def updated_picks(self) -> DataFrame:
+        """One row per current pick with the chosen image."""
+        return reconcile.updated_picks(self.status, self._policy)
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        return outputs.snapshot(self.top)
+
+    @cached_property
+    def cdc(self) -> DataFrame:
+        return outputs.cdc(self.status, self.top)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return outputs.metrics(self.status, self.scored, self.cdc, self.snapshot)
 
 
 def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
@@ -56,15 +90,4 @@ def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
         scoring.tagged_images(imgs, tags, policy, dedupe=False, flag="candidate"), policy)
     if materialize:
         scored_all = checkpoint(scored_all)
-    scored = scored_all.filter(F.col("candidate")).drop("candidate")
-    top = scoring.top_images(scored)
-    status = reconcile.with_updated_flag(
-        reconcile.with_new_pick(reconcile.pick_status_scored(picks, scored_all), top))
-    if materialize is True:
-        status = checkpoint(status)   # read by the picks, change feed and metrics outputs
-    snap = outputs.snapshot(top)
-    feed = outputs.cdc(status, top)
-    return Selection(
-        images=imgs, scored=scored, top=top, status=status,
-        updated_picks=reconcile.updated_picks(status, policy),
-        snapshot=snap, cdc=feed, metrics=outputs.metrics(status, scored, feed, snap))
+    return Selection(imgs, scored_all, picks, policy, materialize_status=materialize is True)
