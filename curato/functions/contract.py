@@ -93,6 +93,14 @@ def _type_ok(v: Column, kind: Column, t: str) -> Column:
     raise ValueError(f"unknown contract type {t!r}")
 
 
+def _present(found: list[tuple[str, Column]]) -> Column:
+    """The labels of the checks that failed, in rule order.  Nulls are
+    removed with ``array_except`` (code-generated; labels are unique, so its
+    set semantics change nothing) rather than a lambda filter, which would
+    take the whole projection out of whole-stage codegen."""
+    return F.array_except(F.array(*[c for _, c in found]), F.array(F.lit(None).cast("string")))
+
+
 def _flag(cond: Column, label: str) -> tuple[str, Column]:
     return label, F.when(cond, F.lit(label))
 
@@ -225,7 +233,7 @@ def violations(record: Column, contract: Contract, text: Column | None = None) -
             found: list[tuple[str, Column]] = [_flag(~b["kr"].startswith("OBJECT"), "$:type")]
             _walk(fields, b, b["rec"], b["kr"], contract.rules, contract.additional, "", "$",
                   text, found)
-            return F.array_compact(F.array(*[c for _, c in found]))
+            return _present(found)
         kinds = F.struct(
             vals["rec"].alias("rec"), F.schema_of_variant(vals["rec"]).alias("kr"),
             *[vals[f"v{i}"].alias(f"v{i}") for i in range(len(paths))],
@@ -261,5 +269,5 @@ def staged_checks(contract: Contract, record: str = "record", text: str | None =
     _walk(fields, bound, bound["rec"], bound["kr"], contract.rules, contract.additional, "", "$",
           F.col(text) if text else None, found)
     out = F.when(F.col(record).isNull(), F.array(F.lit("$:malformed"))).otherwise(
-        F.array_compact(F.array(*[c for _, c in found])))
+        _present(found))
     return values, kinds, out

@@ -39,16 +39,17 @@ def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
                    min_partitions: int | None = None) -> DataFrame:
     """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>).
 
-    Each field is extracted and typed once in plain projections, and the
-    violation array is produced by a generator (``inline`` of a one-element
-    array): a later filter on it cannot be pushed below and inline the whole
-    check a second time, so each line is checked once.
+    Each field is extracted and typed once and the violation array built in
+    plain (code-generated) projections; a generator (``inline`` of a
+    one-element array) then hands the array on, so a later filter on it
+    cannot be pushed below and inline the whole check a second time: each
+    line is checked once.
     """
     parsed = parse_records(spread(raw, min_partitions), text_col)
     values, kinds, check = staged_checks(contract, "record", text_col)
-    staged = parsed.withColumns(values).withColumns(kinds)
-    return (staged.select(*parsed.columns, F.inline(F.array(F.struct(check.alias("violations")))))
-            .select(*parsed.columns, "violations"))
+    staged = parsed.withColumns(values).withColumns(kinds).withColumn("__violations", check)
+    return staged.select(*parsed.columns,
+                         F.inline(F.array(F.struct(F.col("__violations").alias("violations")))))
 
 
 def extract(checked: DataFrame, contract: Contract, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
