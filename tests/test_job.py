@@ -71,3 +71,20 @@ def test_gate_and_split(spark, tmp_dir):
     n = images.count()
     size = -(-n // 3)
     assert sum(sizes) == n and max(sizes) == size
+
+
+def test_cli_runs_the_job(spark, tmp_dir):
+    import subprocess
+    import sys
+    paths, _, _, picks = write_feeds(spark, tmp_dir)
+    out = os.path.join(tmp_dir, "cli-out")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run([sys.executable, "-m", "curato.plans.job", "--images", paths["images"],
+                          "--tags", paths["tags"], "--main_images", paths["picks"], "--out", out,
+                          "--as_of", "2006-01-01"],
+                         capture_output=True, text=True, timeout=900, cwd=root)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert "snapshot:" in res.stdout
+    assert spark.read.json(os.path.join(out, "updated_main_images")).count() == picks.count()
+    metrics = {r.metric: r.value for r in spark.read.json(os.path.join(out, "metrics")).collect()}
+    assert metrics["image_tags_rejected"] == 2
