@@ -47,17 +47,19 @@ def _r(col: str) -> F.Column:
     return F.round(F.col(col), DIGITS).alias(col)
 
 
-def _inputs(spark: SparkSession, sf: str):
+def _inputs(spark: SparkSession, sf: str, materialize_picks: bool = False):
     images = images_view(spark, sf)
-    return images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=True)
+    return images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=materialize_picks)
 
 
-def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A):
-    """The reconciled relations.  The scored candidates are checkpointed:
-    several branches of one output read them, and without it each branch
-    would rescan and reshuffle both inputs (exchange reuse does not apply
-    once column pruning makes the branches differ)."""
-    images, tags, picks = _inputs(spark, sf)
+def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A, materialize_picks: bool = False):
+    """The reconciled relations.  The scored images are checkpointed: two
+    branches of every output read them, and without it each branch would
+    rescan and reshuffle both inputs (exchange reuse does not apply once
+    column pruning makes the branches differ).  Outputs that read the pick
+    status in several branches (change feed, metrics) also checkpoint the
+    derived picks, so the ranking behind them runs once."""
+    images, tags, picks = _inputs(spark, sf, materialize_picks)
     return select_and_reconcile(images, tags, picks, policy, materialize="scored"), images, tags, picks
 
 
@@ -280,11 +282,11 @@ def q_snapshot(spark, sf):
 
 
 def q_cdc(spark, sf):
-    return _selection(spark, sf)[0].cdc
+    return _selection(spark, sf, materialize_picks=True)[0].cdc
 
 
 def q_metrics(spark, sf):
-    return _selection(spark, sf)[0].metrics
+    return _selection(spark, sf, materialize_picks=True)[0].metrics
 
 
 # The flagship: best image per hotel with its score (and url).
