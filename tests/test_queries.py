@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from curato.catalog import QUERIES
+from curato.oracle import ORACLE
 from tools.check_oracle import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
@@ -24,13 +26,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    table = queries()[name](spark, SF).toArrow()
-    expected = duck.sql(oracle_sql()[name]).to_arrow_table()
+    table = QUERIES[name](spark, SF).toArrow()
+    expected = duck.sql(ORACLE[name]).to_arrow_table()
     assert ({f.name: str(f.type) for f in table.schema}
             == {f.name: str(f.type) for f in expected.schema})
     s_cols, s_rows = canon(table.column_names, [tuple(r.values()) for r in table.to_pylist()])
@@ -52,40 +54,40 @@ PLAN_QUERIES = ["best_tag", "top_in_group", "rank_in_group", "old_new_scores", "
 
 @pytest.mark.parametrize("name", PLAN_QUERIES)
 def test_plans_stay_in_the_jvm(spark, name):
-    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = queries()["best_tag"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["best_tag"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema"):].split("\n")[0]
     assert "l_orderkey" in read and "l_extendedprice" not in read and "l_shipdate" not in read
 
 
 def test_top_pick_uses_group_limit(spark):
-    plan = queries()["top_in_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["top_in_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
 def test_no_single_partition_window_over_rows(spark):
     """Full ranking must not gather a whole group (or everything) in one task."""
-    plan = queries()["rank_in_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["rank_in_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
 
 def test_fan_out_left_join_has_no_outer_join(spark):
     """A hot key on the right of a left outer join cannot be split by AQE;
     the enrich join is planned as inner + anti instead."""
-    plan = queries()["enrich_left"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES["enrich_left"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan and "LeftAnti" in plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_or_full_outer_joins(spark, name):
     """No query pairs rows without a key, and none uses a full outer join
     (whose skewed partitions adaptive execution cannot split)."""
-    qe = queries()[name](spark, SF)._jdf.queryExecution()
+    qe = QUERIES[name](spark, SF)._jdf.queryExecution()
     plan = qe.optimizedPlan().toString()
     assert "Cross" not in plan and "FullOuter" not in plan
     physical = qe.executedPlan().toString()
