@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from curato.llm import exact_dedup, url_filter
+from curato.llm import exact_dedup, quality_rules, sentencepiece_bpe, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
 }
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op5_quality_rules": quality_rules.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
 }
