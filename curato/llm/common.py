@@ -38,28 +38,31 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(key) % HELD_OUT_FOLDS == 0
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[bytes, int]]:
-    """At most ``bound`` labelled texts of the learning folds, dealt evenly over
-    the label's two values, as (UTF-8 text, label).
-
-    A document counts once however often it is labelled (its largest label
-    holds).  Rows are picked by a hash of their id, so the choice does not
-    depend on partitioning.  The labelled ids are narrowed first, so only the
-    picked rows' texts move."""
+def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[bytes, int, float]]:
+    """At most ``bound`` labelled texts of the learning folds, half of them of
+    each of the label's two values, as (UTF-8 text, label, weight).
+
+    A weight is how many labelled documents of its label a row stands for, so
+    the weighted rows have the label's true frequency.  A document counts once
+    however often it is labelled (its largest label holds).  Rows are picked by
+    a hash of their id, so the choice does not depend on partitioning; ids are
+    picked first, so only the picked rows' texts move."""
     lab = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("__y"))
            .filter(~held_out())
            .withColumn("__h", F.xxhash64(F.lit("fit"), "doc_id")))
+    total = {r["__y"]: r["n"] for r in lab.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
     half = max(1, bound // 2)
     picked = None
     for value in (0, 1):
         part = lab.filter(F.col("__y") == value).orderBy("__h", "doc_id").limit(half)
         picked = part if picked is None else picked.unionByName(part)
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__t"))
-            .join(picked, "doc_id").groupBy("doc_id", "__h", "__y")
-            .agg(F.min("__t").alias("__t")).orderBy("__h", "doc_id")
+            .join(F.broadcast(picked), "doc_id")  # at most ``bound`` rows of two numbers
+            .groupBy("doc_id", "__h", "__y").agg(F.min("__t").alias("__t")).orderBy("__h", "doc_id")
             .select(F.col("__t").cast("binary"), "__y").collect())
-    return [(bytes(t), y) for t, y in rows]
+    share = {v: total.get(v, 0) / max(1, sum(1 for _, y in rows if y == v)) for v in (0, 1)}
+    return [(bytes(t), y, share[y]) for t, y in rows]
 
 
 def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +84,10 @@ def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
-def doc_slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+SEPARATORS = np.frombuffer(b"\t\n\x0b\x0c\r ", dtype=np.uint8)
+
+
+def doc_runs(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Runs [a, b) of whole documents whose bytes stay within ``limit`` (a longer
     document forms a run of its own)."""
     a, n = 0, len(offsets) - 1
@@ -90,3 +96,86 @@ def doc_slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         b = min(max(b, a + 1), n)
         yield a, b
         a = b
+
+
+def pieces(raw: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first document, bytes, offsets) pieces that cover all bytes, none over
+    ``limit``: runs of whole documents, and a longer document in parts that end
+    after white space (or after ``limit`` bytes where it has none).  Where a
+    document is cut depends on its own bytes alone."""
+    for a, b in doc_runs(offsets, limit):
+        start, end = int(offsets[a]), int(offsets[b])
+        if end - start <= limit:
+            yield a, raw[start:end], offsets[a:b + 1] - start
+            continue
+        while start < end:
+            stop = min(end, start + limit)
+            if stop < end:
+                tail = np.flatnonzero(np.isin(raw[max(start, stop - 4096):stop], SEPARATORS))
+                if len(tail):
+                    stop = max(start, stop - 4096) + int(tail[-1]) + 1
+            yield a, raw[start:stop], np.array([0, stop - start], dtype=np.int64)
+            start = stop
+
+
+# -- hashes of words and their beginnings -------------------------------------
+
+_ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS["up"]) < n:
+        for name, base in (("up", _ODD), ("down", _INVERSE)):
+            full = np.full(n, base, dtype=np.uint64)
+            full[0] = 1
+            _POWERS[name] = np.cumprod(full)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit finaliser."""
+    with np.errstate(over="ignore"):
+        x = x ^ np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+        return x ^ (x >> np.uint64(33))
+
+
+def word_table(separators: bytes) -> np.ndarray:
+    """Byte table for ``words_of``: 0 for separators, else the lower-cased byte."""
+    t = np.arange(256, dtype=np.uint8)
+    t[65:91] += 32
+    t[np.frombuffer(separators, dtype=np.uint8)] = 0
+    t[0] = 0
+    return t
+
+
+class Words:
+    """The words of a piece: runs of bytes that the table does not map to 0,
+    never across documents, with hashes of the words and of their beginnings."""
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, table_: np.ndarray):
+        x = table_[raw]
+        inside = x != 0
+        before = np.zeros(len(x), dtype=bool)
+        before[1:] = inside[:-1]
+        cuts = offsets[(offsets > 0) & (offsets < len(x))]
+        before[cuts] = False
+        self.start = np.flatnonzero(inside & ~before)
+        after = np.zeros(len(x), dtype=bool)
+        after[:-1] = inside[1:]
+        after[cuts - 1] = False
+        self.end = np.flatnonzero(inside & ~after) + 1
+        self.doc = np.searchsorted(offsets, self.start, side="right") - 1
+        up, self._down = _powers(len(x) + 1)
+        self._sum = np.zeros(len(x) + 1, dtype=np.uint64)
+        np.cumsum(x.astype(np.uint64) * up[:len(x)], out=self._sum[1:])
+
+    def hashes(self, which=slice(None), first: int | None = None) -> np.ndarray:
+        """Hash of each chosen word, or of its first ``first`` bytes."""
+        start = self.start[which]
+        end = self.end[which] if first is None else start + first
+        with np.errstate(over="ignore"):
+            return mix64((self._sum[end] - self._sum[start]) * self._down[start])

@@ -66,7 +66,8 @@ def default_rules() -> list[Rule]:
     return [
         Rule("word_length", ~F.col("word_chars").between(2 * n, 15 * n), flat),
         Rule("symbols", 10 * F.col("n_symbols") > n, flat),
-        Rule("dup_lines", 10 * F.col("n_dup_lines") > 3 * F.size(F.split(text, "\n")), chars),
+        Rule("dup_lines", (F.col("n_dup_lines") > 3) & (10 * F.col("n_dup_lines") > 3 * F.size(F.split(text, "\n"))),
+             chars),
         Rule("shouting", 2 * upper > letters, 4 * chars),
         Rule("wordless", 10 * with_letter < 6 * n, per_word),
         Rule("cut_lines", 10 * short_lines > 3 * F.size(F.split(text, "\n")), 3 * chars),
@@ -214,7 +215,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
        AND word_chars BETWEEN 2 * n_words AND 15 * n_words
        AND 10 * n_symbols <= n_words
-       AND 10 * n_dup_lines <= 3 * n_lines
+       AND (n_dup_lines <= 3 OR 10 * n_dup_lines <= 3 * n_lines)
        AND 2 * length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) <= length(regexp_replace(text, '[^\p{L}]+', '', 'g'))
        AND 10 * len([x for x in words if regexp_matches(x, '\p{L}')]) >= 6 * n_words
        AND 10 * len([x for x in string_split(text, chr(10)) if regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')])
