@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from curato.llm import exact_dedup, quality_rules, sentencepiece_bpe, url_filter
+from curato.llm import (exact_dedup, language_id, quality_classifier, quality_rules, sentencepiece_bpe, toxicity,
+                        url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op4_language_id": language_id.op4_language_id,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
 }

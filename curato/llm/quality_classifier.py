@@ -10,8 +10,8 @@ logistic unit combines the averages into one probability.
 
 Learning.  On a sample of at most ``SAMPLE`` labelled rows of the learning
 folds (of each at most ``TRAIN_CHUNKS`` chunks, spread evenly over the text; a
-bound on training only; to each comes a short cut of its text, so that the
-network also sees short texts of either label) all tables are learned by Adam on the weighted log
+bound on training only; to each row of label 1 comes a short cut of its text, so
+that being short does not count as a defect) all tables are learned by Adam on the weighted log
 loss; through the max only the winning position gets a gradient.  The model
 has a fixed size (FILTERS x WIDTH x 256 numbers) and goes to the tasks with the
 function.
@@ -43,7 +43,7 @@ FILTERS, WIDTH = 20, 6
 CHUNK = 512
 BLOCK = CHUNK // 2      # chunks start at every block and hold two
 TRAIN_CHUNKS = 6
-EPOCHS, BATCH, RATE = 12, 128, 0.02
+EPOCHS, BATCH, RATE = 16, 64, 0.02
 SNIPPET = (4, 90)       # bytes of the short cuts that training adds
 PIECE = 1 << 17         # a multiple of BLOCK
 THRESHOLD = 0.3
@@ -156,7 +156,7 @@ def _snippet(text: bytes, rng: np.random.Generator) -> bytes:
 def learn(sample: Sequence[tuple[bytes, int, float]], seed: int = 11) -> Network:
     """Fit the network on (text, label, weight) rows."""
     rng = np.random.default_rng(seed)
-    sample = list(sample) + [(_snippet(t, rng), label, 0.5 * w) for t, label, w in sample]
+    sample = list(sample) + [(_snippet(t, rng), label, 0.3 * w) for t, label, w in sample if label]
     y = np.array([r[1] for r in sample], dtype=np.float32)
     weight = np.array([r[2] for r in sample], dtype=np.float32)
     prior = float((y * weight).sum() / weight.sum()) if len(sample) else 0.0
