@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,9 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers of a local session find this package wherever they are started;
+    # a cluster gets it by --py-files or its image, as usual.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -143,12 +147,12 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-def word_table(separators: bytes) -> np.ndarray:
-    """Byte table for ``words_of``: 0 for separators, else the lower-cased byte."""
-    t = np.arange(256, dtype=np.uint8)
-    t[65:91] += 32
+def word_table(separators: bytes, lower: bool = True) -> np.ndarray:
+    """Byte table for ``Words``: 0 for separators, else one more than the (lower-cased) byte."""
+    t = np.arange(1, 257, dtype=np.uint16)
+    if lower:
+        t[65:91] += 32
     t[np.frombuffer(separators, dtype=np.uint8)] = 0
-    t[0] = 0
     return t
 
 
