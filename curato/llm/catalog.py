@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from curato.llm import (exact_dedup, language_id, near_dedup, quality_classifier, quality_rules, sentencepiece_bpe,
-                        toxicity, url_filter)
+                        source_mix, toxicity, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op3_source_mix": source_mix.op3_source_mix,
     "op4_language_id": language_id.op4_language_id,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_toxicity": toxicity.op6_toxicity,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op3_source_mix": source_mix.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
 }
