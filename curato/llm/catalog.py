@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from curato.llm import (exact_dedup, language_id, near_dedup, quality_classifier, quality_rules, sentencepiece_bpe,
-                        source_mix, toxicity, url_filter)
+from curato.llm import (exact_dedup, html_extract, language_id, near_dedup, quality_classifier, quality_rules,
+                        sentencepiece_bpe, source_mix, toxicity, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
+    "op9_html_extract": html_extract.op9_html_extract,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
