@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curato.llm.common import doc_runs, held_out, mix64, pieces, table, utf8_buffers
+from curato.llm.common import doc_runs, held_out, mix64, pieces, staged, table, utf8_buffers
 
 SAMPLE = 300
 GRAM = 4
@@ -50,6 +50,7 @@ PAIRED_LANGUAGES = 12    # with more languages symbols ignore the second one
 ROUNDS = 12
 PENALTY = 3.0            # log-likelihood that one more language must gain, besides half the log of the size
 PIECE = 1 << 20
+MAX_BROADCAST = 100_000  # picked ids; beyond, the join shuffles
 UNKNOWN = "und"
 
 # Separators: all ASCII but letters.  Bytes of other letters stay.
@@ -191,13 +192,23 @@ def learn(sample: Sequence[tuple[bytes, str]]) -> Model | None:
 
 def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[bytes, str]]:
     """At most ``per_language`` (text, language) rows of each language of the
-    learning folds; ids are picked first, so only the picked texts move."""
+    learning folds.  Ids are picked first, so only the picked texts move; and
+    of a language with many documents only those whose hash lies low enough to
+    be picked are ranked at all."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     ids = own.select("doc_id", "lang", F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
-    picked = (ids.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-              .filter(F.col("k") <= per_language).select("doc_id", F.col("lang").alias("l")).distinct())
-    rows = (own.join(picked, (own["doc_id"].eqNullSafe(picked["doc_id"])) & (own["lang"] == picked["l"]))
-            .select(F.col("text").cast("binary").alias("t"), "lang")
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    low = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) * F.col("size") <= 2 * per_language + 50
+    picked = (ids.join(sizes, "lang").filter(low)
+              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+              .filter(F.col("k") <= per_language)
+              .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("lang").alias("l"))
+              .distinct())
+    picked = staged(picked, "language_ids")
+    if picked.count() <= MAX_BROADCAST:
+        picked = F.broadcast(picked)
+    same = (F.coalesce(own["doc_id"].cast("string"), F.lit("")) == picked["id"]) & (own["lang"] == picked["l"])
+    rows = (own.join(picked, same).select(F.col("text").cast("binary").alias("t"), "lang")
             .orderBy("lang", F.xxhash64("t")).collect())
     return [(bytes(r["t"]), r["lang"]) for r in rows]
 
