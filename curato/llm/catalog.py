@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from curato.llm import (exact_dedup, html_extract, language_id, near_dedup, quality_classifier, quality_rules,
                         sentencepiece_bpe, source_mix, toxicity, url_filter)
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

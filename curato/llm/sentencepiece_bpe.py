@@ -32,9 +32,9 @@ import re
 import struct
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from curato.llm.common import table
 
@@ -42,6 +42,7 @@ SPACE_MARK = "▁"
 BEGIN, END, UNKNOWN = 1, 2, 0
 CACHED_WORDS = 400_000
 CACHED_PAIRS = 1_000_000
+OUTPUT_BYTES = 8 << 20  # of kept ids and texts before a batch goes out
 SHORT_WORD = 64  # longer units are not kept in the memory of words
 
 
@@ -229,37 +230,55 @@ def tokenizer(model_path: str) -> PrefixBpe:
     return _LOADED[model_path]
 
 
-def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, keep: Sequence[str] = ()) -> DataFrame:
     """Per document: doc_id, n_tokens, the digests of its ids and of its decoded
-    text, and with ``keep_ids`` the ids and the decoded text themselves."""
-    extra = ", ids array<int>, decoded string" if keep_ids else ""
+    text, and of ``keep`` ("ids", "decoded") the ids and the decoded text themselves."""
+    kinds = {"ids": "array<int>", "decoded": "string"}
+    if not set(keep) <= set(kinds):
+        raise ValueError(f"not kept: {keep}")
+    kept = [k for k in kinds if k in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(model_path)
         begin, end = pack([BEGIN]), pack([END])
         for batch in batches:
-            n, ids_sha, text_sha, ids, texts = [], [], [], [], []
-            for value in batch.column("text"):
+            made: list[tuple[int, str, str]] = []
+            ids, texts, held, first = [], [], 0, 0
+
+            def flush() -> pa.RecordBatch:
+                columns = [batch.column("doc_id").slice(first, len(made)), *(
+                    pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.string())))]
+                for k in kept:
+                    if k == "ids":
+                        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
+                        columns.append(pa.ListArray.from_arrays(
+                            pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))))
+                    else:
+                        columns.append(pa.array(texts, pa.string()))
+                return pa.RecordBatch.from_arrays(
+                    columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *kept])
+
+            for n, value in enumerate(batch.column("text")):
                 packed, raw = bpe.encode_packed(value.as_py() or "")
                 whole = begin + packed + end
                 # All bytes of a character come from one word, so the joined bytes are valid text.
                 decoded = raw[1:] if raw[:1] == b" " else raw
-                n.append(len(whole) // 4)
-                ids_sha.append(hashlib.sha256(whole).hexdigest())
-                text_sha.append(hashlib.sha256(decoded).hexdigest())
-                if keep_ids:
-                    ids.append(unpack(whole))
+                made.append((len(whole) // 4, hashlib.sha256(whole).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                if "ids" in kept:
+                    ids.append(whole)
+                    held += len(whole)
+                if "decoded" in kept:
                     texts.append(decoded.decode())
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                       pa.array(text_sha, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    held += len(decoded)
+                if held >= OUTPUT_BYTES:
+                    yield flush()
+                    made, ids, texts, held, first = [], [], [], 0, n + 1
+            if made or not len(batch):
+                yield flush()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text")).mapInArrow(
+    extra = "".join(f", {k} {kinds[k]}" for k in kept)
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}")
 
 
