@@ -266,7 +266,8 @@ def near_classes(docs: DataFrame, row_id: Column | None = None, weights: str = "
     pairs = staged(keys.join(meeting, "key").filter(F.col("member") != F.col("first"))
                    .select(F.col("first").alias("a"), F.col("member").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
-    sets = staged(rows.select("row_id", "n", "shingles").join(wanted, "row_id", "left_semi")
+    # The wanted ids grow with the corpus, so this join is a shuffle at every size.
+    sets = staged(rows.select("row_id", "n", "shingles").join(wanted.hint("merge"), "row_id", "left_semi")
                   .withColumnRenamed("row_id", "member"), "sets")
     links = staged(check_pairs(pairs, sets), "links")
     labels = connect(links)
