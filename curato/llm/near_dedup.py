@@ -20,7 +20,7 @@ Steps.
    and they meet again under much sharper keys (``SHARP_KEYS`` keys of
    ``SHARP_ROWS`` coordinates of a longer signature).  In keys that still hold
    several classes the members outside the key's main class are checked
-   against the others.
+   against the others, as part of the join on the key.
 
 Two documents of similarity 0.8 share no band key with a chance of 2 in
 100,000, and (if they failed step 3's candidates too) no sharp key with about
@@ -156,13 +156,16 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by their exact intersection."""
     left = sets.select(F.col("member").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("member").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    near = 10 * both >= round(10 * SIMILARITY) * (F.col("na") + F.col("nb") - both)
-    return pairs.join(left, "a").join(right, "b").filter(_sizes_fit("na", "nb")).filter(near).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(_near()).select("a", "b")
 
 
-def _sizes_fit(na: str, nb: str) -> Column:
-    return F.least(na, nb) * 10 >= F.greatest(na, nb) * round(10 * SIMILARITY)
+def _near() -> Column:
+    """The similarity of the sets (na, sa) and (nb, sb) is high enough; sizes too
+    far apart are seen before the intersection is made."""
+    share = round(10 * SIMILARITY)
+    both = F.size(F.array_intersect("sa", "sb"))
+    return F.when(10 * F.least("na", "nb") < share * F.greatest("na", "nb"), F.lit(False)).otherwise(
+        10 * both >= share * (F.col("na") + F.col("nb") - both))
 
 
 def connect(links: DataFrame) -> DataFrame:
@@ -223,8 +226,11 @@ def _sharp_keys(sets: DataFrame) -> DataFrame:
     return sets.select("member", "shingles").mapInArrow(run, "key bigint, member bigint")
 
 
-def missed_candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of different classes that may still be linked (step 4)."""
+def missed_links(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between members of different classes (step 4).
+
+    Members meet in their keys with their sets and are checked there, so no
+    list of candidate pairs is ever made."""
     # Shingles that another candidate holds: only they can count in an intersection.
     held = sets.select("member", F.explode("shingles").alias("s"))
     shared = (held.join(held.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1").select("s"), "s")
@@ -233,19 +239,21 @@ def missed_candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
         sets.join(shared, "member").filter(10 * F.col("k") >= round(10 * SIMILARITY) * F.col("n"))
         .join(labels, "member", "left")
         .select("member", "n", "k", F.coalesce("class", "member").alias("class"), "shingles"), "able")
-    keys = _sharp_keys(able).join(able.select("member", "n", "k", "class"), "member")
+    keys = _sharp_keys(able).join(able.select("member", "class"), "member")
     # Only keys that hold several classes; the class with most members in the key is its main one.
     per_class = keys.groupBy("key", "class").agg(F.count(F.lit(1)).alias("m"))
     mixed = (per_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max_by("class", "m").alias("main"))
              .filter("classes > 1").select("key", "main"))
-    inside = staged(keys.join(mixed, "key"), "mixed_keys")
+    inside = staged(keys.join(mixed, "key").join(able.drop("class"), "member"), "mixed_keys")
     x = inside.filter(F.col("class") != F.col("main")).select(
-        "key", F.col("member").alias("a"), F.col("class").alias("ca"), F.col("n").alias("na"), F.col("k").alias("ka"))
+        "key", F.col("member").alias("a"), F.col("class").alias("ca"), F.col("n").alias("na"), F.col("k").alias("ka"),
+        F.col("shingles").alias("sa"))
     y = inside.select("key", F.col("member").alias("b"), F.col("class").alias("cb"), F.col("n").alias("nb"),
-                      F.col("k").alias("kb"))
-    most = F.least("ka", "kb")
+                      F.col("k").alias("kb"), F.col("shingles").alias("sb"))
+    most = F.least("ka", "kb")   # no intersection is larger than what either shares with anyone
     able_pair = 10 * most >= round(10 * SIMILARITY) * (F.col("na") + F.col("nb") - most)
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("ca") != F.col("cb")) & able_pair)
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("ca") != F.col("cb"))
+                 & F.when(able_pair, _near()).otherwise(F.lit(False)))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -271,7 +279,7 @@ def near_classes(docs: DataFrame, row_id: Column | None = None, weights: str = "
                   .withColumnRenamed("row_id", "member"), "sets")
     links = staged(check_pairs(pairs, sets), "links")
     labels = connect(links)
-    more = staged(check_pairs(missed_candidates(sets, labels), sets), "more_links")
+    more = staged(missed_links(sets, labels), "more_links")
     if not more.isEmpty():
         labels = connect(links.unionByName(more))
     settled = (reps.join(labels, "member", "left").withColumn("class", F.coalesce("class", "member"))
