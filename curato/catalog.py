@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from curato.functions.contract import Contract, Rule
 from curato.operators import chunking, metrics, outputs, reconcile, scoring, shape, validate
 from curato.operators.ranking import best_tag, dedupe_images
+from curato.plans.job import load_feed
 from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
 from curato.session import scratch_path
 from curato.sources import sinks
-from curato.sources.feeds import read_typed
+from curato.sources.edge_lines import EDGE_SCHEMA, edge_lines
+from curato.sources.feeds import IMAGES_SCHEMA, read_chunk_dir, read_typed
 from curato.sources.tables import (images_view, nested_picks_view, nested_tags_view, picks_view,
-                                   table, tags_view)
+                                   repeated_images_view, table, tags_view, text_images_view)
 
 # Fixed values of the checks: the day scores are measured from, and the
 # rounding applied to doubles before comparing engines.
@@ -53,14 +55,15 @@ def _inputs(spark: SparkSession, sf: str, materialize_picks: bool = False):
 
 
 def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A, materialize_picks: bool = False):
-    """The reconciled relations.  The scored images are checkpointed: two
-    branches of every output read them, and without it each branch would
-    rescan and reshuffle both inputs (exchange reuse does not apply once
-    column pruning makes the branches differ).  Outputs that read the pick
-    status in several branches (change feed, metrics) also checkpoint the
-    derived picks, so the ranking behind them runs once."""
+    """The reconciled relations.  The scored images are staged: two branches of
+    every output read them, and without it each branch would rescan and
+    reshuffle both inputs (exchange reuse does not apply once column pruning
+    makes the branches differ).  Outputs that read the pick status in several
+    branches (change feed, metrics) stage it, the best picks and the derived
+    picks as well."""
     images, tags, picks = _inputs(spark, sf, materialize_picks)
-    return select_and_reconcile(images, tags, picks, policy, materialize="scored"), images, tags, picks
+    return (select_and_reconcile(images, tags, picks, policy, materialize=True if materialize_picks else "scored"),
+            images, tags, picks)
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +101,7 @@ def q_composite_a(spark, sf):
 
 
 def q_rank_in_group(spark, sf):
-    return scoring.rank_images(_scored(spark, sf)).select("hotel_id", "image_id", "image_score", "rank")
+    return scoring.rank_images(_scored(spark, sf).select("hotel_id", "image_id", "image_score"))
 
 
 def q_top_in_group(spark, sf):
@@ -135,8 +138,8 @@ def q_updated_picks_legacy_url(spark, sf):
 
 
 def q_new_groups(spark, sf):
-    sel, _, _, picks = _selection(spark, sf)
-    return reconcile.new_groups(sel.scored, picks).select("hotel_id", "image_id", "image_score")
+    picks = _inputs(spark, sf)[2]
+    return reconcile.new_groups(_scored(spark, sf).select("hotel_id", "image_id", "image_score"), picks)
 
 
 def q_live_groups_from_images(spark, sf):
@@ -157,7 +160,8 @@ def q_updated_flag(spark, sf):
 # -- W29-W33: metrics ------------------------------------------------------------
 
 def q_deleted_picks(spark, sf):
-    return metrics.deleted_picks(_selection(spark, sf)[0].status)
+    images, _, picks = _inputs(spark, sf)
+    return metrics.deleted_picks(reconcile.pick_status(picks, dedupe_images(images)))
 
 
 def q_images_processed(spark, sf):
@@ -190,13 +194,29 @@ def q_flatten_picks(spark, sf):
 
 
 def q_enrich_left(spark, sf):
-    return shape.enrich(shape.images(images_view(spark, sf)), tags_view(spark, sf), "image_id", "left")
+    return shape.enrich(shape.images(images_view(spark, sf)), tags_view(spark, sf), "image_id", "left",
+                        stage_left=False)
 
 
 def q_enrich_inner(spark, sf):
     return shape.enrich(shape.images(images_view(spark, sf)), tags_view(spark, sf), "image_id", "inner")
 
 
+def q_enrich_shared_columns(spark, sf):
+    """Both sides have a hotel and a url besides the key."""
+    images, _, picks = _inputs(spark, sf)
+    return shape.enrich(images.select("image_id", "hotel_id", "cdn_url"), picks, "image_id", "left")
+
+
+def q_dedupe_images(spark, sf):
+    return dedupe_images(repeated_images_view(spark, sf)).select("image_id", "hotel_id", "created_at", "cdn_url")
+
+
+def q_typed_images(spark, sf):
+    typed = shape.images(text_images_view(spark, sf))
+    return typed.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 # -- W01-W04: record contract ----------------------------------------------------
 
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,6 +251,52 @@ def q_violation_summary(spark, sf):
     return validate.violation_summary(_checked_events(spark, sf))
 
 
+def q_contract_edge_cases(spark, sf):
+    """Lines that meet every rule, against a contract from a JSON-Schema document."""
+    checked = validate.check_contract(edge_lines(spark, sf), Contract.from_json_schema(EDGE_SCHEMA))
+    return checked.select("event_id", F.array_join("violations", ";").alias("reasons"))
+
+
+def q_contract_edge_summary(spark, sf):
+    return validate.violation_summary(
+        validate.check_contract(edge_lines(spark, sf), Contract.from_json_schema(EDGE_SCHEMA)))
+
+
+def _image_lines(spark, sf) -> DataFrame:
+    """The image feed as JSON lines; some are cut short, some hold a bad value."""
+    k = F.col("image_id")
+    rows = images_view(spark, sf).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    fields = [k.cast("string").alias("image_id"), "hotel_id", "width",
+              F.when(k % 47 == 0, F.lit(-1)).otherwise(F.col("height")).cast("long").alias("height"),
+              "created_at", "is_active", "cdn_url"]
+    return rows.select("image_id", F.to_json(F.struct(*fields)).alias("line")).select(
+        "image_id", F.when(k % 43 == 0, F.expr("left(line, 20)"))
+        .when(k % 41 == 0, F.replace("line", F.lit('"hotel_id":'), F.lit('"hotel_id":"no","x":')))
+        .otherwise(F.col("line")).alias("value"))
+
+
+def q_validated_load(spark, sf):
+    """Lines written as text, loaded through the staged, checked feed."""
+    path = scratch_path(spark, "image_lines")
+    _image_lines(spark, sf).select("value").write.text(path)
+    _, valid, _ = load_feed(spark, path, "images")
+    return valid.select("image_id", "hotel_id", "width", "height", "is_active", "cdn_url",
+                        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
+def q_split_sink(spark, sf):
+    """Valid and rejected lines written in one pass and read back."""
+    path = scratch_path(spark, "split")
+    halves = sinks.write_split(_checked_events(spark, sf), path)
+    back = None
+    for name, folder in halves.items():
+        part = spark.read.schema("value string, reasons string").json(folder)
+        part = part.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+                           F.lit(name == "valid").alias("valid"), "reasons")
+        back = part if back is None else back.unionByName(part)
+    return back
+
+
 # -- W09-W10: chunks --------------------------------------------------------------
 
 def _tag_lines(spark, sf) -> DataFrame:
@@ -265,6 +331,25 @@ def q_join_chunks_all(spark, sf):
     return chunking.join_chunks(images, _tag_chunks(spark, sf, 2), "image_id", mode="all")
 
 
+def q_chunk_roundtrip(spark, sf):
+    """Lines written in three chunks, and the chunks read back as typed records."""
+    lines = images_view(spark, sf).select(
+        F.col("image_id").cast("string").alias("image_id"),
+        F.to_json(F.struct(F.col("image_id").cast("string").alias("image_id"), "hotel_id", "width")).alias("value"))
+    path = scratch_path(spark, "chunks")
+    sinks.write_line_chunks(lines, 3, [F.col("image_id").asc()], path)
+    return read_chunk_dir(spark, path, IMAGES_SCHEMA).select(
+        "image_id", "hotel_id", "width", F.col("chunk_id").cast("int").alias("chunk_id"))
+
+
+def q_join_chunks_empty(spark, sf):
+    """No chunk at all leaves the rows as they are, in both modes."""
+    images = images_view(spark, sf).select("image_id", "hotel_id")
+    none = _tag_chunks(spark, sf, 3).filter("chunk_id > 3")
+    both = [chunking.join_chunks(images, none, "image_id", mode=m).withColumn("mode", F.lit(m)) for m in ("union", "all")]
+    return both[0].unionByName(both[1])
+
+
 # -- W34-W37: outputs ---------------------------------------------------------------
 
 def q_key_value(spark, sf):
@@ -331,4 +416,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot": q_snapshot,
     "cdc": q_cdc,
     "metrics": q_metrics,
+    "dedupe_images": q_dedupe_images,
+    "typed_images": q_typed_images,
+    "enrich_shared_columns": q_enrich_shared_columns,
+    "contract_edge_cases": q_contract_edge_cases,
+    "contract_edge_summary": q_contract_edge_summary,
+    "validated_load": q_validated_load,
+    "split_sink": q_split_sink,
+    "chunk_roundtrip": q_chunk_roundtrip,
+    "join_chunks_empty": q_join_chunks_empty,
 }

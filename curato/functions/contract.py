@@ -7,14 +7,18 @@ executors evaluate over a VARIANT parse of each line — no Python runs per row.
 
 Violation strings are ``<path>:<rule>``, e.g. ``props.k:maximum``.
 
+A line that repeats a key in one object is malformed (the VARIANT parser is
+stricter there than one that keeps the last value).
+
 Supported rules: required, type (string, integer, number, boolean, object,
-array, null), nullable, enum, minimum, maximum, min_length, max_length,
+array, null, or several of them), nullable, enum, minimum, maximum, min_length, max_length,
 pattern, items (a rule every array element must meet), properties (nested
 object rules) and additional (whether undeclared keys are allowed).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -23,16 +27,18 @@ from pyspark.sql import functions as F
 _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT"]
 _FLOATING = ["FLOAT", "DOUBLE"]
 
-# Spark type used to extract a value of each contract type.
-EXTRACT_TYPES = {
-    "string": "string", "integer": "bigint", "number": "double", "boolean": "boolean",
-}
+TYPES = ("string", "integer", "number", "boolean", "object", "array", "null")
+
+# JSON-Schema keywords that constrain nothing.
+_NOTES = frozenset(["$schema", "$id", "$comment", "title", "description", "default", "examples"])
+_KEYWORDS = frozenset(["type", "properties", "required", "additionalProperties", "enum", "const", "minimum", "maximum",
+                       "minLength", "maxLength", "pattern", "items"])
 
 
 @dataclass(frozen=True)
 class Rule:
     name: str
-    type: str | None = None
+    type: str | tuple[str, ...] | None = None   # several: any of them
     required: bool = False
     nullable: bool = False
     enum: tuple | None = None
@@ -52,13 +58,60 @@ class Contract:
     additional: bool = False
     name: str = "record"
 
-    def extract_schema(self) -> list[tuple[str, str]]:
-        """(name, Spark type) of the top-level scalar fields."""
-        out = []
-        for r in self.rules:
-            if r.type in EXTRACT_TYPES:
-                out.append((r.name, EXTRACT_TYPES[r.type]))
-        return out
+    @classmethod
+    def from_json_schema(cls, schema: Mapping, name: str = "record") -> Contract:
+        """The contract that a JSON-Schema document states.
+
+        Supported: type (one or several), properties, required,
+        additionalProperties (true or false), enum, const, minimum, maximum,
+        minLength, maxLength, pattern and items (one schema).  Any other
+        keyword that could constrain a record raises ``ValueError``, so a
+        contract never checks less than its document.  ``name`` labels it."""
+        root = _rule_from(schema, name, False, "$")
+        if schema.get("type", "object") != "object":
+            raise ValueError("a record's schema must be of type object")
+        return cls(rules=root.properties, additional=root.additional, name=name)
+
+
+def _rule_from(schema: Mapping, name: str, required: bool, path: str) -> Rule:
+    if not isinstance(schema, Mapping):
+        raise ValueError(f"{path}: not a schema: {schema!r}")
+    unknown = sorted(set(schema) - _KEYWORDS - _NOTES)
+    if unknown:
+        raise ValueError(f"{path}: unsupported keywords {', '.join(unknown)}")
+    stated = schema.get("type")
+    types = [stated] if isinstance(stated, str) else list(stated or [])
+    for t in types:
+        if t not in TYPES:
+            raise ValueError(f"{path}: unknown type {t!r}")
+    enum = tuple(schema["enum"]) if "enum" in schema else None
+    if "const" in schema:
+        enum = (schema["const"],) if enum is None else tuple(e for e in enum if _same_value(e, schema["const"]))
+    for e in enum or ():
+        if not (e is None or isinstance(e, (str, bool, int, float))):
+            raise ValueError(f"{path}: only scalar values can be enumerated")
+    nullable = (not types or "null" in types) and (enum is None or None in enum)
+    live = tuple(t for t in types if t != "null")
+    extra = schema.get("additionalProperties", True)
+    if not isinstance(extra, bool):
+        raise ValueError(f"{path}: additionalProperties must be true or false")
+    must = list(schema.get("required", ()))
+    fields = dict(schema.get("properties", {}))
+    rules = [_rule_from(sub, n, n in must, f"{path}.{n}") for n, sub in fields.items()]
+    rules += [Rule(n, required=True, nullable=True) for n in must if n not in fields]
+    if not extra and len(rules) > len(fields):
+        raise ValueError(f"{path}: required names that are not properties can never be present")
+    return Rule(name, type=(live[0] if len(live) == 1 else live) if live else "null" if types else None,
+                required=required, nullable=nullable, enum=enum, minimum=schema.get("minimum"),
+                maximum=schema.get("maximum"), min_length=schema.get("minLength"),
+                max_length=schema.get("maxLength"), pattern=schema.get("pattern"),
+                items=_rule_from(schema["items"], name, False, f"{path}[]") if "items" in schema else None,
+                properties=tuple(rules), additional=extra)
+
+
+def _same_value(a, b) -> bool:
+    """Equal as JSON values: true is not 1, 1 is 1.0."""
+    return isinstance(a, bool) == isinstance(b, bool) and a == b
 
 
 def _kind(v: Column) -> Column:
@@ -75,7 +128,12 @@ def _is_integer(v: Column, kind: Column) -> Column:
     return kind.isin(*_INTEGRAL) | ((kind.startswith("DECIMAL") | kind.isin(*_FLOATING)) & whole)
 
 
-def _type_ok(v: Column, kind: Column, t: str) -> Column:
+def _type_ok(v: Column, kind: Column, t: str | tuple[str, ...]) -> Column:
+    if not isinstance(t, str):
+        fits = F.lit(False)
+        for one in t:
+            fits = fits | _type_ok(v, kind, one)
+        return fits
     if t == "string":
         return kind == "STRING"
     if t == "integer":
@@ -101,6 +159,20 @@ def _present(found: list[tuple[str, Column]]) -> Column:
     return F.array_except(F.array(*[c for _, c in found]), F.array(F.lit(None).cast("string")))
 
 
+def _one_of(v: Column, kind: Column, values: tuple) -> Column:
+    """The value is one of ``values``, compared as JSON values: text with text,
+    numbers with numbers (1 is 1.0), true and false with themselves."""
+    numbers = [float(e) for e in values if isinstance(e, (int, float)) and not isinstance(e, bool)]
+    found = F.lit(False)
+    for is_kind, spark_type, own in (
+            (kind == "STRING", "string", [e for e in values if isinstance(e, str)]),
+            (kind == "BOOLEAN", "boolean", [e for e in values if isinstance(e, bool)]),
+            (_is_number(kind), "double", numbers)):
+        if own:
+            found = found | (is_kind & F.coalesce(F.try_variant_get(v, "$", spark_type).isin(*own), F.lit(False)))
+    return found
+
+
 def _flag(cond: Column, label: str) -> tuple[str, Column]:
     return label, F.when(cond, F.lit(label))
 
@@ -111,14 +183,12 @@ def _scalar_checks(v: Column, kind: Column, rule: Rule, path: str) -> list[tuple
     is_null = kind == "VOID"
     live = ~is_null
     checks: list[tuple[str, Column]] = []
-    if not rule.nullable and rule.type != "null":
+    if not rule.nullable and rule.type != "null" and None not in (rule.enum or ()):
         checks.append(_flag(is_null, f"{path}:null"))
     if rule.type:
         checks.append(_flag(live & ~_type_ok(v, kind, rule.type), f"{path}:type"))
     if rule.enum is not None:
-        as_text = F.try_variant_get(v, "$", "string")
-        checks.append(_flag(live & ~F.coalesce(as_text.isin(*[str(e) for e in rule.enum]), F.lit(False)),
-                            f"{path}:enum"))
+        checks.append(_flag(live & ~_one_of(v, kind, rule.enum), f"{path}:enum"))
     if rule.minimum is not None or rule.maximum is not None:
         num = F.when(_is_number(kind), F.try_variant_get(v, "$", "double"))
         if rule.minimum is not None:
@@ -210,47 +280,9 @@ def _quote(name: str) -> str:
     return "['" + name.replace("'", "\\'") + "']"
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding), so
-    an expression that uses it many times does not repeat the work, even
-    after the optimizer inlines it into a pushed-down filter."""
-    return F.transform(F.array(value), body)[0]
-
-
-def violations(record: Column, contract: Contract, text: Column | None = None) -> Column:
-    """``array<string>`` of violations of the VARIANT ``record``; a null
-    record (a line that is not JSON) gives ``['$:malformed']``.  ``text`` is
-    the raw line, used to list top-level keys without re-serialising.
-
-    Each field is extracted from the record once and typed once: three
-    nested bindings (record -> field values -> type names) feed the checks.
-    """
-    paths = _paths(contract.rules, "$")
-    fields = {p: i for i, p in enumerate(paths)}
-
-    def with_kinds(vals: Column) -> Column:
-        def checks_of(b: Column) -> Column:
-            found: list[tuple[str, Column]] = [_flag(~b["kr"].startswith("OBJECT"), "$:type")]
-            _walk(fields, b, b["rec"], b["kr"], contract.rules, contract.additional, "", "$",
-                  text, found)
-            return _present(found)
-        kinds = F.struct(
-            vals["rec"].alias("rec"), F.schema_of_variant(vals["rec"]).alias("kr"),
-            *[vals[f"v{i}"].alias(f"v{i}") for i in range(len(paths))],
-            *[F.schema_of_variant(vals[f"v{i}"]).alias(f"k{i}") for i in range(len(paths))])
-        return _let(kinds, checks_of)
-
-    def with_values(rec: Column) -> Column:
-        vals = F.struct(rec.alias("rec"),
-                        *[F.try_variant_get(rec, p, "variant").alias(f"v{i}") for i, p in enumerate(paths)])
-        return _let(vals, with_kinds)
-
-    return F.when(record.isNull(), F.array(F.lit("$:malformed"))).otherwise(_let(record, with_values))
-
-
 def staged_checks(contract: Contract, record: str = "record", text: str | None = "value"):
-    """The same checks as ``violations`` as staged projections, for a
-    DataFrame operator: ``(values, kinds, violations)`` where ``values``
+    """The checks as staged projections, for a DataFrame operator:
+    ``(values, kinds, violations)`` where ``values``
     extracts each field once, ``kinds`` types each once (both dicts of
     helper columns to add in that order) and ``violations`` reads only
     those columns.  Plain projections stay in whole-stage codegen.  With the

@@ -26,10 +26,8 @@ def lifecycle(is_active: Column) -> Column:
 
 
 def updated_flag(change_type: Column, image_id: Column, new_image_id: Column) -> Column:
-    """True for every deleted or inactive pick, and for a live pick whose best
-    candidate is another image; false otherwise (also when there is no
-    candidate at all)."""
-    return (F.when(change_type == F.lit(DELETED), F.lit(True))
-            .when(change_type == F.lit(INACTIVE), F.lit(True))
-            .when((change_type == F.lit(OTHER)) & (image_id != new_image_id), F.lit(True))
-            .otherwise(F.lit(False)))
+    """A pick stays as it is only while its image is live and no other image
+    outranks it; without any candidate nothing outranks it.  A pick without a
+    class stays too."""
+    outranked = F.coalesce(image_id != new_image_id, F.lit(False))
+    return F.when(change_type == F.lit(OTHER), outranked).otherwise(change_type.isNotNull())

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curato.operators.ranking import rank_in_group
+from curato.session import stage
 
 
 def assign_chunks(df: DataFrame, n: int, order: Sequence[Column],
@@ -34,17 +35,22 @@ def join_chunks(df: DataFrame, chunks: DataFrame, key: str, mode: str = "union",
                 chunk_col: str = "chunk_id") -> DataFrame:
     """Join ``df`` with a set of chunks (rows tagged by ``chunk_col``).
 
+    An empty chunk set leaves ``df`` as it is, in either mode.
     mode="union": one inner join with all chunks at once (the chunk id is
     kept), instead of the original's fold of joins, which on disjoint chunks
     returns nothing and repeats column names.
     mode="all": rows of ``df`` whose key occurs in every chunk (a semi join;
-    no pairs are built).
+    no pairs are built).  The chunks are cut to their distinct (key, chunk)
+    pairs once, and both counts are taken from that table.
     """
-    if mode == "union":
-        return df.join(chunks, key, "inner")
-    if mode != "all":
+    if mode not in ("union", "all"):
         raise ValueError("mode must be 'union' or 'all'")
-    per_key = chunks.groupBy(key).agg(F.count_distinct(chunk_col).alias("__in"))
-    total = chunks.agg(F.count_distinct(chunk_col).alias("__in"))   # one row
-    everywhere = per_key.join(F.broadcast(total), "__in").select(key)
+    if mode == "union":
+        return df if chunks.isEmpty() else df.join(chunks, key, "inner")
+    occurs = stage(chunks.select(key, chunk_col).distinct(), "chunk_keys")
+    total = occurs.agg(F.count_distinct(chunk_col)).first()[0]
+    if total == 0:
+        return df
+    everywhere = (occurs.filter(F.col(chunk_col).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__in"))
+                  .filter(F.col("__in") == total).select(key))
     return df.join(everywhere, key, "left_semi")

@@ -30,22 +30,26 @@ def distinct_flags(images: DataFrame) -> DataFrame:
 
 def join_counts(left: DataFrame, right: DataFrame, key: str, chunk: DataFrame | None = None) -> DataFrame:
     """Row counts of both inputs, of their inner join and (optionally) of
-    one chunk joined with the right side, as (metric, value) rows.  The join
-    count is computed as sum over keys of left-count x right-count, so no
-    pair is materialised even for a hot key."""
-    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("ln"))
-    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("rn"))
-    rows = [
-        left.agg(F.count(F.lit(1)).cast("long").alias("value")).select(F.lit("left_rows").alias("metric"), "value"),
-        right.agg(F.count(F.lit(1)).cast("long").alias("value")).select(F.lit("right_rows").alias("metric"), "value"),
-        lc.join(rc, key).agg(F.sum(F.col("ln") * F.col("rn")).cast("long").alias("value"))
-        .select(F.lit("joined_rows").alias("metric"), F.coalesce("value", F.lit(0)).alias("value")),
-    ]
+    one chunk joined with the right side, as (metric, value) rows.
+
+    The sides' keys are marked and counted together, one row per key; a join's
+    count is the sum over keys of the product of both sides' counts, so each
+    side is read once and no pair is materialised even for a hot key."""
+    sides = {"l": left, "r": right} | ({"c": chunk} if chunk is not None else {})
+    marked = None
+    for name, side in sides.items():
+        rows = side.select(F.col(key).alias("k"), *[F.lit(int(name == s)).alias(s) for s in sides])
+        marked = rows if marked is None else marked.unionByName(rows)
+    per_key = marked.groupBy("k").agg(*[F.sum(s).alias(s) for s in sides])
+    paired = F.col("k").isNotNull()
+    counts = {"left_rows": F.sum("l"), "right_rows": F.sum("r"),
+              "joined_rows": F.sum(F.when(paired, F.col("l") * F.col("r")))}
     if chunk is not None:
-        cc = chunk.groupBy(key).agg(F.count(F.lit(1)).alias("cn"))
-        rows.append(cc.join(rc, key).agg(F.sum(F.col("cn") * F.col("rn")).cast("long").alias("value"))
-                    .select(F.lit("chunk_joined_rows").alias("metric"), F.coalesce("value", F.lit(0)).alias("value")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        counts["chunk_joined_rows"] = F.sum(F.when(paired, F.col("c") * F.col("r")))
+    return as_rows(per_key.agg(*[F.coalesce(v, F.lit(0)).cast("long").alias(n) for n, v in counts.items()]))
+
+
+def as_rows(one: DataFrame) -> DataFrame:
+    """A single row of counts as (metric, value) rows."""
+    return one.select(F.inline(F.array(
+        *[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in one.columns])))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curato.operators.metrics import as_rows
+
 # Change feed operations.
 INSERT = "insert"
 UPDATE = "update"
@@ -29,6 +31,12 @@ def snapshot(top: DataFrame, group: str = "hotel_id") -> DataFrame:
     return top.select(group, "image_id", "cdn_url", "image_score")
 
 
+def _operation() -> F.Column:
+    """What the change feed says about a current pick; null for no change."""
+    return (F.when(F.col("has_new_pick").isNull(), F.lit(DELETE))
+            .when(~F.col("image_id").eqNullSafe(F.col("new_image_id")), F.lit(UPDATE)))
+
+
 def cdc(status: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame:
     """``status`` has one row per current pick with image_id, change_type,
     old_image_score and the hotel's new pick (``with_new_pick``); ``top`` one
@@ -39,14 +47,12 @@ def cdc(status: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame
     picks of hotels with no current pick, an anti join against the distinct
     picked hotels.  No full outer join, whose skewed partitions AQE cannot
     split."""
-    changed = (F.when(F.col("has_new_pick").isNull(), F.lit(DELETE))
-               .when(~F.col("image_id").eqNullSafe(F.col("new_image_id")), F.lit(UPDATE)))
-    old_side = (status.withColumn("op", changed).filter(F.col("op").isNotNull())
+    old_side = (status.withColumn("op", _operation()).filter(F.col("op").isNotNull())
                 .select("op", group, F.col("image_id").alias("old_image_id"), "new_image_id",
                         F.col("old_image_score").alias("old_score"),
                         F.col("new_image_score").alias("new_score"),
                         F.coalesce(F.col("change_type"), F.lit("deleted")).alias("reason")))
-    inserts = (top.join(status.select(group).distinct(), group, "left_anti")
+    inserts = (_inserted(status, top, group)
                .select(F.lit(INSERT).alias("op"), group, F.lit(None).cast(status.schema["image_id"].dataType)
                        .alias("old_image_id"), F.col("image_id").alias("new_image_id"),
                        F.lit(None).cast("double").alias("old_score"), F.col("image_score").alias("new_score"),
@@ -54,34 +60,26 @@ def cdc(status: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame
     return old_side.unionByName(inserts)
 
 
-def _counts(df: DataFrame, **named) -> DataFrame:
-    """One aggregation over ``df`` giving several counts, unpivoted into
-    (metric, value) rows."""
-    agg = df.agg(*[c.cast("long").alias(n) for n, c in named.items()])
-    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in named])
-    return agg.select(F.inline(rows))
-
-
-def metrics(status: DataFrame, scored: DataFrame, feed: DataFrame, snap: DataFrame,
-            extra: list[DataFrame] | None = None) -> DataFrame:
-    """One row per metric.  Each source is aggregated once (partial
-    aggregation, one row out) and the rows are unioned: no driver round trip."""
-    parts = [
-        _counts(status,
-                picks_deleted=F.count_if(F.col("change_type") == "deleted"),
-                picks_updated=F.count_if(F.col("updated")),
-                picks_unchanged=F.count_if(~F.col("updated"))),
-        _counts(scored.select("image_id").distinct(), images_processed=F.count(F.lit(1))),
-        _counts(feed,
-                cdc_inserts=F.count_if(F.col("op") == INSERT),
-                cdc_updates=F.count_if(F.col("op") == UPDATE),
-                cdc_deletes=F.count_if(F.col("op") == DELETE)),
-        _counts(snap, snapshot_rows=F.count(F.lit(1))),
-    ]
-    out = parts[0]
-    for r in parts[1:] + list(extra or []):
-        out = out.unionByName(r)
-    return out
+def _inserted(status: DataFrame, top: DataFrame, group: str) -> DataFrame:
+    return top.join(status.select(group).distinct(), group, "left_anti")
+
+
+def metrics(status: DataFrame, scored: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame:
+    """One row per metric.  All counts over the picks, the feed's updates
+    and deletes among them, are one aggregate of ``status``; the picked hotels
+    are met with ``top`` once, which gives the inserts and the snapshot's size.
+    The three one-row aggregates are unioned: no driver round trip."""
+    op = _operation()
+    of_picks = status.agg(
+        F.count_if(F.col("change_type") == "deleted").alias("picks_deleted"),
+        F.count_if(F.col("updated")).alias("picks_updated"),
+        F.count_if(~F.col("updated")).alias("picks_unchanged"),
+        F.count_if(op == UPDATE).alias("cdc_updates"), F.count_if(op == DELETE).alias("cdc_deletes"))
+    of_images = scored.select("image_id").distinct().agg(F.count(F.lit(1)).alias("images_processed"))
+    picked = status.select(group).distinct().withColumn("__picked", F.lit(True))
+    of_top = top.select(group).join(picked, group, "left").agg(
+        F.count_if(F.col("__picked").isNull()).alias("cdc_inserts"), F.count(F.lit(1)).alias("snapshot_rows"))
+    return as_rows(of_picks).unionByName(as_rows(of_images)).unionByName(as_rows(of_top))
 
 
 def apply_cdc(old_picks: DataFrame, feed: DataFrame, group: str = "hotel_id") -> DataFrame:

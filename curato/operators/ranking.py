@@ -7,8 +7,8 @@ a group holding a third of all rows still sends at most one row per map task.
 ``rank_in_group`` numbers *every* row of a group.  A plain window would put a
 hot group into one task, so rows are range-partitioned on (group, order) —
 which splits a large group over many partitions — numbered per (partition,
-group) slice, and shifted by the number of the group's rows in earlier
-partitions.
+group) slice, and a slice that goes on from an earlier partition is shifted by
+the group's rows there.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curato.session import checkpoint
+from curato.session import stage
 
 _PART = "__part"
 _GROUP = "__group"
@@ -63,39 +63,43 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     """Add ``rank_col`` = 1-based position of each row inside its group.
 
     ``order`` must be a total order inside a group (end it with a unique key).
-    ``size_col``, if given, receives the number of rows of the group.
+    ``size_col``, if given, receives the number of rows of the group.  All
+    columns of ``df`` are written once, so pass only the ones needed.
 
     Plan: range exchange on (group, order), which cuts a large group into
-    slices over several partitions -> checkpoint (fixes which rows sit in
-    which partition, and survives executor loss) -> rows per (partition,
-    group) slice, about one row per group, and a running sum of those over
-    the partitions of each group = the offset of every slice -> row_number
-    within each slice, joined with the offsets on (partition, group), which
-    is the key the numbering already shuffles on.  No task ever holds more
-    than one range partition of a group.
-
-    The range exchange samples its input in a job of its own; upstream
-    shuffles are materialized stages by then, so only the narrow tail of the
-    input's plan runs twice.
+    slices over several partitions -> staged table (fixes which rows sit in
+    which partition, and survives executor loss) -> row_number within each
+    (partition, group) slice.  Only a partition's first and last group can go
+    on in a neighbour, so the rows before a slice and the size of a cut group
+    come from at most two counts per partition: a broadcast bounded by the
+    number of partitions.  No task ever holds more than one range partition.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gcols = _cols(group)
-    ranged = checkpoint(
+    ranged = stage(
         df.repartitionByRange(n, *gcols, *order)
-        .withColumns({_PART: F.spark_partition_id(), _GROUP: F.struct(*gcols)}))
-
-    slices = ranged.groupBy(_PART, _GROUP).agg(F.count(F.lit(1)).alias(_LOCAL_N))
+        .withColumns({_PART: F.spark_partition_id(), _GROUP: F.struct(*gcols)}), "ranged")
+
+    # Ranges ascend by group, so a partition's least and greatest groups are its ends.
+    ends = ranged.groupBy(_PART).agg(F.min(_GROUP).alias("__lo"), F.max(_GROUP).alias("__hi"))
+    at_end = F.col(_GROUP).eqNullSafe(F.col("__lo")) | F.col(_GROUP).eqNullSafe(F.col("__hi"))
+    slices = (ranged.select(_PART, _GROUP).join(F.broadcast(ends), _PART)     # n rows
+              .filter(at_end)
+              .groupBy(_PART, _GROUP).agg(F.count(F.lit(1)).alias(_LOCAL_N)))
     before = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        _PART, _GROUP,
+    cut = slices.select(
+        F.col(_PART).alias("__p"), F.col(_GROUP).alias("__g"),
         F.coalesce(F.sum(_LOCAL_N).over(before), F.lit(0)).alias(_OFFSET),
-        *([F.sum(_LOCAL_N).over(Window.partitionBy(_GROUP)).alias(size_col)] if size_col else []))
+        F.sum(_LOCAL_N).over(Window.partitionBy(_GROUP)).alias("__whole"))
 
-    local = ranged.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(_PART, _GROUP).orderBy(*order)))
-    out = local.join(offsets, [_PART, _GROUP])
-    out = out.withColumn(rank_col, (F.col(_LOCAL) + F.col(_OFFSET)).cast("long"))
+    own = Window.partitionBy(_PART, _GROUP)
+    local = ranged.withColumn(_LOCAL, F.row_number().over(own.orderBy(*order)))
+    if size_col:
+        local = local.withColumn("__n", F.count(F.lit(1)).over(own))
+    out = local.join(F.broadcast(cut), (F.col(_PART) == F.col("__p"))         # two rows a partition
+                     & F.col(_GROUP).eqNullSafe(F.col("__g")), "left")
+    out = out.withColumn(rank_col, (F.col(_LOCAL) + F.coalesce(_OFFSET, F.lit(0))).cast("long"))
     if size_col:
-        out = out.withColumn(size_col, F.col(size_col).cast("long"))
-    return out.drop(_PART, _GROUP, _LOCAL, _OFFSET)
+        out = out.withColumn(size_col, F.coalesce("__whole", "__n").cast("long")).drop("__n")
+    return out.drop(_PART, _GROUP, _LOCAL, _OFFSET, "__p", "__g", "__whole")

@@ -35,32 +35,23 @@ def candidates(df: DataFrame, policy: Policy) -> DataFrame:
     return with_lifecycle(df).filter(is_candidate(F.col("change_type"), policy))
 
 
-def pick_status(picks: DataFrame, images: DataFrame, key: str = "image_id") -> DataFrame:
-    """Every current pick with the state of its image.
-
-    The pick's hotel is kept (not the image's); a pick whose image is gone
-    gets null image columns and the class 'deleted'."""
-    imgs = images.drop("hotel_id")
-    return with_lifecycle(picks.drop("cdn_url").join(imgs, key, "left"))
+def pick_status(picks: DataFrame, images: DataFrame, key: str = "image_id",
+                keep: tuple[str, ...] = ("is_active", "cdn_url")) -> DataFrame:
+    """Every current pick (its hotel and image id) with ``keep`` of its
+    image's columns and the image's class.  A pick whose image is gone gets
+    nulls and the class 'deleted'."""
+    state = images.select(key, *[c for c in keep if c in images.columns])
+    return with_lifecycle(picks.select("hotel_id", key).join(state, key, "left"))
 
 
 def pick_status_scored(picks: DataFrame, scored_images: DataFrame, key: str = "image_id",
                        flag: str = "candidate") -> DataFrame:
-    """W22+W23 in one join: every current pick with the state of its image
-    and, when that image is a candidate, its score as ``old_image_score``.
-    ``scored_images`` holds every (deduplicated) image, scored, with a
-    boolean ``flag`` column marking candidates."""
-    derived = ["hotel_id", "change_type", "tag", "version", "probability", "resolution", "aspect_ratio",
-               "freshness_days", "score_resolution", "score_aspect_ratio", "score_freshness",
-               "score_tag_priority", "image_score", flag]
-    imgs = (scored_images.withColumn("old_image_score", F.when(F.col(flag), F.col("image_score")))
-            .drop(*derived))
-    return with_lifecycle(picks.drop("cdn_url").join(imgs, key, "left"))
-
-
-def with_old_score(status: DataFrame, scored: DataFrame, key: str = "image_id") -> DataFrame:
-    """The current pick's score, null when it is not a candidate."""
-    return status.join(scored.select(key, F.col("image_score").alias("old_image_score")), key, "left")
+    """W22+W23 in one join: the status, and for an image that is a candidate
+    its score as ``old_image_score``.  ``scored_images`` holds every
+    (deduplicated) image, scored, with a boolean ``flag`` for candidates."""
+    old = F.when(F.col(flag), F.col("image_score")).alias("old_image_score")
+    return pick_status(picks, scored_images.select(key, "is_active", "cdn_url", old), key,
+                       ("is_active", "cdn_url", "old_image_score"))
 
 
 def with_new_pick(df: DataFrame, top: DataFrame, group: str = "hotel_id") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curato.functions import features as fx
 from curato.operators.ranking import best_tag, dedupe_images, rank_in_group, top_in_group
-from curato.operators.reconcile import candidates, is_candidate, with_lifecycle
+from curato.operators.reconcile import is_candidate, with_lifecycle
 from curato.policy import Policy
 
 SCORE_COLUMNS = ["score_resolution", "score_aspect_ratio", "score_freshness", "score_tag_priority"]
@@ -104,6 +104,9 @@ def select_variant_b(images: DataFrame, tags: DataFrame, policy: Policy,
     probability (the tag weight is not negative), so an image's best row is
     its most probable tag; the tags are reduced to that row first, which
     gives the same winners without the fan-out through the join.
+
+    Every image given is scored, live or not: a caller that wants only live
+    ones filters before.
     """
     if policy.variant != "B":
         raise ValueError("select_variant_b needs a policy with variant='B'")
@@ -112,6 +115,6 @@ def select_variant_b(images: DataFrame, tags: DataFrame, policy: Policy,
     t = tags.select(key, "tag", "version",
                     F.coalesce(F.col("probability").cast("double"), F.lit(0.0)).alias("probability"))
     top_tag = best_tag(t, key)
-    joined = candidates(dedupe_images(images, key), policy).join(top_tag, key, "left")
+    joined = dedupe_images(images, key).join(top_tag, key, "left")
     joined = joined.withColumn("probability", F.coalesce(F.col("probability"), F.lit(0.0)))
     return top_in_group(score_images(joined, policy), [group], score_order(True))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
+from curato.session import stage
+
 # Target types of the image record; ``None`` keeps the input type.
 IMAGE_TYPES = {
     "image_id": None, "hotel_id": "bigint", "cdn_url": "string", "hash": "string",
@@ -49,19 +51,27 @@ def flatten_picks(nested: DataFrame) -> DataFrame:
 
 
 def enrich(left: DataFrame, right: DataFrame, key: str | list[str] = "image_id",
-           how: str = "left") -> DataFrame:
+           how: str = "left", suffix: str = "_right", stage_left: bool = True) -> DataFrame:
     """Equi-join by column name(s); Spark picks the join method.
+    Other columns that both sides have get ``suffix`` on the right side.
 
     A left join that fans out (many right rows per key) is run as an inner
     join plus the left rows without a match: adaptive execution can split a
     hot key of either side of an inner join, but not the right side of a
     left outer join.  The unmatched rows come from an anti join against the
     right side's distinct keys, which partial aggregation shrinks to one row
-    per key and map task before the shuffle.
+    per key and map task before the shuffle.  Both joins read the left side,
+    so it is staged first; ``stage_left=False`` saves that for a plain scan,
+    which gives the same rows twice.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    mine, keyed = {c.lower() for c in left.columns}, {k.lower() for k in keys}
+    right = right.select(*[
+        F.col(f"`{c}`").alias(c + suffix if c.lower() in mine and c.lower() not in keyed else c) for c in right.columns])
     if how not in ("left", "left_outer", "leftouter"):
         return left.join(right, keys, how)
+    if stage_left:
+        left = stage(left, "enrich_left")
     matched = left.join(right, keys, "inner")
     unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

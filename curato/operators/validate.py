@@ -1,8 +1,9 @@
 """Record contract checks over raw JSON lines.
 
 ``check_contract`` parses each line once into a VARIANT and adds a
-``violations`` array; valid rows are the ones with an empty array.  Nothing
-is dropped silently: every line lands in exactly one of valid / rejected.
+``violations`` array; valid rows are the ones with an empty array.  Blank lines
+are skipped; every other line, a null one too, lands in exactly one of valid /
+rejected.
 """
 
 from __future__ import annotations
@@ -14,29 +15,14 @@ from curato.functions.contract import Contract, staged_checks
 
 
 def parse_records(raw: DataFrame, text_col: str = "value") -> DataFrame:
-    """Drop blank lines and parse the rest into a VARIANT column ``record``
-    (null when the line is not JSON)."""
-    return (raw.filter(F.trim(F.col(text_col)) != "")
-            .withColumn("record", F.try_parse_json(F.col(text_col))))
+    """Drop blank lines (white space only) and parse the rest into a VARIANT
+    column ``record``, null when the line is null or not JSON."""
+    text = F.col(text_col)
+    return (raw.filter(text.isNull() | text.rlike(r"\S"))
+            .withColumn("record", F.try_parse_json(text)))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a relation that arrives in fewer partitions than the
-    cluster can run at once (e.g. one small file), before CPU-heavy work.
-    The target is the cluster's parallelism, capped at the shuffle partition
-    count; a large input already has many partitions and is left as it is."""
-    spark = df.sparkSession
-    try:
-        want = min_partitions or min(spark.sparkContext.defaultParallelism,
-                                     int(spark.conf.get("spark.sql.shuffle.partitions")))
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the layout alone
-        return df
-    return df.repartition(want) if have < want else df
-
-
-def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
-                   min_partitions: int | None = None) -> DataFrame:
+def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value") -> DataFrame:
     """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>).
 
     Each field is extracted and typed once and the violation array built in
@@ -45,21 +31,13 @@ def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
     cannot be pushed below and inline the whole check a second time: each
     line is checked once.
     """
-    parsed = parse_records(spread(raw, min_partitions), text_col)
+    parsed = parse_records(raw, text_col)
     values, kinds, check = staged_checks(contract, "record", text_col)
     staged = parsed.withColumns(values).withColumns(kinds).withColumn("__violations", check)
     return staged.select(*parsed.columns,
                          F.inline(F.array(F.struct(F.col("__violations").alias("violations")))))
 
 
-def extract(checked: DataFrame, contract: Contract, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Typed top-level fields of the records (VARIANT -> Spark types)."""
-    cols = [F.col(c) for c in keep]
-    cols += [F.try_variant_get(F.col("record"), f"$.{name}", t).alias(name)
-             for name, t in contract.extract_schema()]
-    return checked.select(*cols)
-
-
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with a ``reasons`` string)."""
     ok = F.size(F.col("violations")) == 0

@@ -7,6 +7,8 @@ every order states its null placement, as in the Spark queries.
 
 from __future__ import annotations
 
+from curato.sources.edge_lines import EDGE_LINES
+
 LIFE = ("CASE WHEN {c} = false THEN 'inactive' WHEN {c} IS NULL THEN 'deleted' "
         "ELSE 'other' END")
 
@@ -131,13 +133,13 @@ def _r(c: str) -> str:
 
 SUB_SCORES = ["score_resolution", "score_aspect_ratio", "score_freshness", "score_tag_priority"]
 
-# Scorer B, checked by brute force: every tag row is a candidate (fan-out),
-# a missing probability counts 0, CASE clamps keep nulls.
+# Scorer B, checked by brute force: every image it is given takes part, live or
+# not, every tag row is a candidate (fan-out), a missing probability counts 0,
+# CASE clamps keep nulls.
 B_CTES = (IMAGES, TAGS, IMGS, """candb AS (
   SELECT i.image_id, i.hotel_id, i.width, i.height, i.created_at, i.cdn_url,
     t.tag, t.version, coalesce(t.probability, 0.0::DOUBLE) AS probability
-  FROM imgs i LEFT JOIN tags t ON i.image_id = t.image_id
-  WHERE """ + LIFE.format(c="i.is_active") + """ <> 'inactive')""",
+  FROM imgs i LEFT JOIN tags t ON i.image_id = t.image_id)""",
           FEAT.format(src="candb"), """subs0 AS (
   SELECT *,
     CASE WHEN resolution <= 0 THEN 0.0::DOUBLE
@@ -178,6 +180,32 @@ def _tag_chunks(n: int) -> str:
   FROM lineitem)"""
 
 
+def _edge_expected() -> str:
+    """The answers written beside the edge lines, by the id's remainder; blank lines are left out."""
+    n = len(EDGE_LINES)
+    cases = " ".join(f"WHEN {i} THEN '{a}'" for i, (_, a) in enumerate(EDGE_LINES) if a is not None)
+    blank = ", ".join(str(i) for i, (_, a) in enumerate(EDGE_LINES) if a is None)
+    return f"""edge AS (
+  SELECT event_id, CASE event_id % {n} {cases} END AS reasons FROM events WHERE event_id % {n} NOT IN ({blank}))"""
+
+
+# Line items as nested tag records: null, empty, or one to three tags each.
+NESTED = """nested AS (
+  SELECT l_orderkey AS image_id, concat(l_returnflag, l_linestatus) AS tag, l_linenumber AS line, l_discount AS d,
+    (l_linenumber + CAST(trunc(l_quantity) AS INTEGER)) % 5 AS kind FROM lineitem),
+flat AS (
+  SELECT image_id, unnest(CASE kind WHEN 0 THEN NULL WHEN 1 THEN [] WHEN 2 THEN [0] WHEN 3 THEN [0, 1]
+                          ELSE [0, 1, 2] END) AS j, tag, line, d FROM nested)"""
+
+REPEATED = """repeated AS (
+  SELECT image_id, hotel_id, created_at, cdn_url FROM images
+  UNION ALL SELECT image_id, hotel_id, created_at - INTERVAL 1 YEAR, cdn_url FROM images WHERE image_id % 3 = 0
+  UNION ALL SELECT image_id, hotel_id, NULL, cdn_url FROM images WHERE image_id % 5 = 0
+  UNION ALL SELECT image_id, hotel_id, created_at, cdn_url || '?again' FROM images WHERE image_id % 7 = 0)"""
+
+STAMP = "strftime(created_at, '%Y-%m-%d %H:%M:%S')"
+
+
 ORACLE: dict[str, str] = {
     "best_tag": _with(TAGS, BEST_TAG) + "SELECT image_id, tag, version, probability FROM best_tag",
     "lifecycle_counts": _with(IMAGES) + f"""SELECT {LIFE.format(c='is_active')} AS change_type,
@@ -228,7 +256,31 @@ ORACLE: dict[str, str] = {
           (SELECT image_id, (row_number() OVER (ORDER BY image_id) - 1)
                   // CAST(ceil(count(*) OVER () / 3) AS BIGINT) + 1 AS chunk_id FROM images) c
           JOIN tags t ON c.image_id = t.image_id WHERE c.chunk_id = 1)""",
-    "flatten_tags": _with(TAGS) + "SELECT image_id, tag, version, probability FROM tags",
+    "flatten_tags": _with(NESTED) + """SELECT image_id, tag, line || '.' || j AS version,
+        CASE WHEN j < 2 THEN greatest(round(d * 10 - j / 10.0::DOUBLE, 6), 0.0::DOUBLE) END AS probability FROM flat""",
+    "dedupe_images": _with(IMAGES, REPEATED) + """SELECT image_id, hotel_id, created_at, cdn_url FROM (
+        SELECT *, row_number() OVER (PARTITION BY image_id
+          ORDER BY created_at DESC NULLS LAST, cdn_url ASC) AS rn FROM repeated) d WHERE rn = 1""",
+    "typed_images": _with(IMAGES) + f"""SELECT CAST(image_id AS VARCHAR) AS image_id, hotel_id, cdn_url,
+        CASE WHEN image_id % 11 <> 0 THEN width END AS width, CASE WHEN image_id % 13 <> 0 THEN height END AS height,
+        CASE WHEN image_id % 17 <> 0 AND image_id % 19 <> 0 THEN {STAMP} END AS created_at,
+        CASE WHEN image_id % 23 = 0 THEN NULL WHEN image_id % 29 = 0 THEN true ELSE is_active END AS is_active
+      FROM images""",
+    "enrich_shared_columns": _with(IMAGES, PICKS) + """SELECT i.image_id, i.hotel_id, i.cdn_url,
+        p.hotel_id AS hotel_id_right, p.cdn_url AS cdn_url_right FROM images i LEFT JOIN picks p ON i.image_id = p.image_id""",
+    "contract_edge_cases": _with(_edge_expected()) + "SELECT event_id, reasons FROM edge",
+    "contract_edge_summary": _with(_edge_expected()) + """SELECT rule, count(*) AS n
+      FROM (SELECT unnest(string_split(reasons, ';')) AS rule FROM edge WHERE reasons <> '') r GROUP BY rule""",
+    "validated_load": _with(IMAGES) + f"""SELECT CAST(image_id AS VARCHAR) AS image_id, hotel_id, width, height,
+        is_active, cdn_url, {STAMP} AS created_at FROM images
+      WHERE image_id % 43 <> 0 AND image_id % 41 <> 0 AND image_id % 47 <> 0""",
+    "split_sink": _with(EVENTS_CHECKED) + """SELECT event_id, reasons = '' AS valid,
+        CASE WHEN reasons <> '' THEN reasons END AS reasons FROM checked""",
+    "chunk_roundtrip": _with(IMAGES) + """SELECT CAST(image_id AS VARCHAR) AS image_id, hotel_id, width,
+        CAST((row_number() OVER (ORDER BY CAST(image_id AS VARCHAR)) - 1)
+             // CAST(ceil(count(*) OVER () / 3) AS BIGINT) + 1 AS INTEGER) AS chunk_id FROM images""",
+    "join_chunks_empty": _with(IMAGES) + """SELECT image_id, hotel_id, mode FROM images,
+        (VALUES ('union'), ('all')) m(mode)""",
     "flatten_picks": _with(IMAGES, PICKS) + "SELECT hotel_id, image_id, cdn_url FROM picks",
     "contract_valid": _with(EVENTS_CHECKED) + """SELECT event_id, user_id, event_type,
         round(value, 6) AS value, k FROM checked WHERE reasons = ''""",

@@ -1,49 +1,63 @@
 """The file-to-file job: JSON-lines feeds in, refreshed picks and run outputs out.
 
     images.jsonl, image_tags.jsonl, main_images.jsonl
-      -> contract check per feed, written once as a validity-partitioned table
+      -> contract check per feed (the default contract, or a JSON-Schema
+         document), written once as a validity-partitioned table
          (typed valid rows; rejected lines with reasons)
-      -> select_and_reconcile (scored images and pick status checkpointed)
+      -> select_and_reconcile (scored images, best picks and status staged)
       -> <out>/updated_main_images   key/value JSON lines, one per current pick
          <out>/snapshot, <out>/cdc, <out>/metrics   JSON lines
          <out>/rejected/<feed>       lines that broke their contract
 
 Inputs are never modified.  Each output is one Spark write; every line is
-parsed and checked once, and the relations the outputs share are
-checkpointed, so the scans and the ranking shuffles run once per job.
+parsed and checked once, and the relations the outputs share are staged, so
+the scans and the ranking shuffles run once per job.  The staged tables are
+deleted when the job ends, also when it fails.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curato.functions.contract import Contract
 from curato.operators import validate
-from curato.plans.selection import Selection, select_and_reconcile
+from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
-from curato.session import scratch_path
+from curato.session import drop_tables, scratch_path
 from curato.sources import contracts, sinks
 from curato.sources.feeds import read_lines
 
 
 @dataclass(frozen=True)
 class JobResult:
-    selection: Selection
+    """Paths of the outputs, and of each feed's rejected lines."""
+
     outputs: dict[str, str]
-    rejected: dict[str, DataFrame]
+    rejected: dict[str, str]
+
 
+def _contract(stated: Contract | Mapping | None, name: str) -> Contract:
+    """A feed's contract: as given, from a JSON-Schema document, or the default."""
+    if stated is None:
+        return contracts.FEEDS[name][0]
+    return stated if isinstance(stated, Contract) else Contract.from_json_schema(stated, name)
 
-def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = None) -> DataFrame:
+
+def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = None,
+               contract: Contract | Mapping | None = None, record: list[str] | None = None) -> DataFrame:
     """Parse and check a feed once, and write it once as a table in the
     shared checkpoint folder, partitioned by validity: valid lines as typed
     columns (columnar, far smaller than the JSON text), rejected lines as
     the raw line and its reasons.  Everything downstream reads this table,
     so no line is parsed or checked twice and the lineage is cut here."""
-    contract, fields, _ = contracts.FEEDS[name]
-    checked = validate.check_contract(read_lines(spark, path, glob), contract)
+    _, fields, _ = contracts.FEEDS[name]
+    checked = validate.check_contract(read_lines(spark, path, glob), _contract(contract, name))
     ok = F.size(F.col("violations")) == 0
     staged = checked.select(
         ok.alias("valid"),
@@ -51,14 +65,17 @@ def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = Non
         F.when(~ok, F.col("value")).alias("value"),
         F.when(~ok, F.array_join(F.col("violations"), ";")).alias("reasons"))
     target = scratch_path(spark, f"feed-{name}")
+    if record is not None:
+        record.append(target)
     staged.write.partitionBy("valid").parquet(target)
     return spark.read.schema(staged.schema).parquet(target)
 
 
-def load_feed(spark: SparkSession, path: str, name: str, glob: str | None = None):
+def load_feed(spark: SparkSession, path: str, name: str, glob: str | None = None,
+              contract: Contract | Mapping | None = None, record: list[str] | None = None):
     """(staged table, typed valid rows, rejected lines) of one feed."""
     _, fields, after = contracts.FEEDS[name]
-    table = stage_feed(spark, path, name, glob)
+    table = stage_feed(spark, path, name, glob, contract, record)
     valid = after(table.filter(F.col("valid")).select(*fields().keys()))
     rejected = table.filter(~F.col("valid")).select("value", "reasons")
     return table, valid, rejected
@@ -108,49 +125,54 @@ def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: st
         return {}
     if which not in choices:
         raise ValueError(f"which must be one of {sorted(choices)} or None")
-    from curato.sources.sinks import write_chunks
     paths = {"images": images_path, "tags": tags_path}
     out = {}
     for name in choices[which]:
-        lines = read_lines(spark, paths[name]).filter(F.trim("value") != "")
+        lines = read_lines(spark, paths[name]).filter(F.col("value").rlike(r"\S"))
         keyed = lines.withColumn("image_id", F.get_json_object("value", "$.image_id"))
         target = f"{out_dir.rstrip('/')}/{name}_chunks"
-        write_chunks(keyed, n, [F.col("image_id").asc_nulls_last(), F.col("value").asc()], target)
+        sinks.write_line_chunks(keyed, n, [F.col("image_id").asc_nulls_last(), F.col("value").asc()], target)
         out[name] = target
     return out
 
 
 def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: str, out_dir: str,
-            policy: Policy = Policy(), glob: str | None = None) -> JobResult:
+            policy: Policy = Policy(), glob: str | None = None,
+            feed_contracts: Mapping[str, Contract | Mapping] | None = None) -> JobResult:
+    """``feed_contracts`` gives the contract, or the JSON-Schema document, of
+    the feeds ('images', 'image_tags', 'main_images') that do not use the default."""
+    stated = dict(feed_contracts or {})
     feeds = {"images": images_path, "image_tags": tags_path, "main_images": picks_path}
-    typed, rejected, counts = {}, {}, []
-    for name, path in feeds.items():
-        table, valid, bad = load_feed(spark, path, name, glob)
-        typed[name] = valid
-        rejected[name] = bad
-        counts.append(feed_counts(name, table))
-
-    sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
-                               materialize=True)
+    if set(stated) - set(feeds):
+        raise ValueError(f"contracts for unknown feeds: {sorted(set(stated) - set(feeds))}")
+    tables: list[str] = []
     out = out_dir.rstrip("/")
-    paths = {
-        "updated_main_images": f"{out}/updated_main_images",
-        "snapshot": f"{out}/snapshot",
-        "cdc": f"{out}/cdc",
-        "metrics": f"{out}/metrics",
-    }
-    sinks.write_key_value(sel.updated_picks, paths["updated_main_images"])
-    sinks.write_jsonl(sel.snapshot, paths["snapshot"])
-    sinks.write_jsonl(sel.cdc, paths["cdc"])
-    metrics = sel.metrics
-    for c in counts:
-        metrics = metrics.unionByName(c)
-    sinks.write_jsonl(metrics.coalesce(1), paths["metrics"])   # a handful of rows
-    for name, bad in rejected.items():
-        p = f"{out}/rejected/{name}"
-        bad.select("value", "reasons").write.mode("overwrite").json(p)
-        paths[f"rejected_{name}"] = p
-    return JobResult(selection=sel, outputs=paths, rejected=rejected)
+    try:
+        typed, rejected, counts = {}, {}, []
+        for name, path in feeds.items():
+            table, typed[name], rejected[name] = load_feed(spark, path, name, glob, stated.get(name), tables)
+            counts.append(feed_counts(name, table))
+        sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
+                                   materialize=True, tables=tables)
+        paths = {n: f"{out}/{n}" for n in ("updated_main_images", "snapshot", "cdc", "metrics")}
+        sinks.write_key_value(sel.updated_picks, paths["updated_main_images"])
+        sinks.write_jsonl(sel.snapshot, paths["snapshot"])
+        sinks.write_jsonl(sel.cdc, paths["cdc"])
+        metrics = sel.metrics
+        for c in counts:
+            metrics = metrics.unionByName(c)
+        sinks.write_jsonl(metrics.coalesce(1), paths["metrics"])   # a handful of rows
+        for name, bad in rejected.items():
+            paths[f"rejected_{name}"] = f"{out}/rejected/{name}"
+            sinks.write_jsonl(bad, paths[f"rejected_{name}"])
+    finally:
+        drop_tables(spark, tables)
+    return JobResult(outputs=paths, rejected={n: paths[f"rejected_{n}"] for n in feeds})
+
+
+def read_schema(spark: SparkSession, path: str) -> dict:
+    """A JSON-Schema document, wherever Spark can read it."""
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -161,13 +183,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", default="output", help="output folder")
     ap.add_argument("--as_of", default=None, help="date freshness is measured from (YYYY-MM-DD); default today")
     ap.add_argument("--legacy_url", action="store_true", help="pair the new pick with the old pick's url")
+    for feed in contracts.FEEDS:
+        ap.add_argument(f"--{feed}_schema", default=None, help=f"JSON-Schema document of the {feed} feed")
     args = ap.parse_args(argv)
     import datetime as dt
     from curato.session import build_session
     policy = Policy(as_of=dt.date.fromisoformat(args.as_of) if args.as_of else None, legacy_url=args.legacy_url)
     spark = build_session(app_name="curato-job")
     try:
-        res = run_job(spark, args.images, args.tags, args.main_images, args.out, policy)
+        given = {feed: getattr(args, f"{feed}_schema") for feed in contracts.FEEDS}
+        res = run_job(spark, args.images, args.tags, args.main_images, args.out, policy,
+                      feed_contracts={f: read_schema(spark, p) for f, p in given.items() if p})
         for k, v in res.outputs.items():
             print(f"{k}: {v}")
     finally:

@@ -9,10 +9,10 @@
       -> updated picks, snapshot, change feed, metrics
 
 Everything is a lazy DataFrame; ``Selection`` just names the relations.
-``materialize`` cuts the lineage of the scored relation and of the per-pick
-status (which the outputs read) by checkpointing them into the cluster's
-checkpoint folder, so writing several outputs does not rerun the scans and
-shuffles that made them, and a lost executor costs a re-read, not a rerun.
+``materialize`` writes what several outputs read as narrow tables in the
+shared checkpoint folder: of the scored images the six columns that picking
+and reconciling use, one row per hotel of the best picks, and one row per
+current pick.  A lost executor costs a re-read, not a rerun.
 """
 
 from __future__ import annotations
@@ -25,7 +25,11 @@ from pyspark.sql import functions as F
 from curato.operators import outputs, reconcile, scoring
 from curato.operators.ranking import dedupe_images
 from curato.policy import Policy
-from curato.session import checkpoint
+from curato.session import stage
+
+
+# What picking and reconciling read of a scored image.
+STAGED_COLUMNS = ("image_id", "hotel_id", "is_active", "cdn_url", "image_score", "candidate")
 
 
 class Selection:
@@ -34,27 +38,32 @@ class Selection:
     does not pay for the others)."""
 
     def __init__(self, images: DataFrame, scored_all: DataFrame, picks: DataFrame, policy: Policy,
-                 materialize_status: bool):
+                 materialize_status: bool, tables: list[str]):
         self.images = images                # deduplicated image records
         self.scored_all = scored_all        # every image scored, with a candidate flag
-        self._picks, self._policy, self._materialize_status = picks, policy, materialize_status
+        self.tables = tables                # paths of the staged tables
+        self._picks, self._policy, self._materialize = picks, policy, materialize_status
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name, self.tables) if self._materialize else df
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Candidates with best tag, features and scores."""
+        """Candidates with their scores."""
         return self.scored_all.filter(F.col("candidate")).drop("candidate")
 
     @cached_property
     def top(self) -> DataFrame:
         """Best candidate per hotel."""
-        return scoring.top_images(self.scored)
+        best = scoring.top_images(self.scored.select("hotel_id", "image_id", "image_score", "cdn_url"))
+        return self._kept(best, "top")
 
     @cached_property
     def status(self) -> DataFrame:
         """Current picks + image state + old score + new pick + updated flag."""
         status = reconcile.with_updated_flag(
             reconcile.with_new_pick(reconcile.pick_status_scored(self._picks, self.scored_all), self.top))
-        return checkpoint(status) if self._materialize_status else status
+        return self._kept(status, "status")
 
     @cached_property
     def updated_picks(self) -> DataFrame:
@@ -71,15 +80,17 @@ class Selection:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return outputs.metrics(self.status, self.scored, self.cdc, self.snapshot)
+        return outputs.metrics(self.status, self.scored, self.top)
 
 
 def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
-                         policy: Policy = Policy(), materialize: bool | str = False) -> Selection:
-    """``materialize``: False keeps everything lazy; "scored" checkpoints the
+                         policy: Policy = Policy(), materialize: bool | str = False,
+                         tables: list[str] | None = None) -> Selection:
+    """``materialize``: False keeps everything lazy; "scored" stages the
     scored images (read by the best-pick window and the pick status join);
-    True also checkpoints the per-pick status, for runs that write several
-    outputs from it."""
+    True also stages the best picks and the per-pick status, for runs that
+    write several outputs from them.  ``tables`` collects the staged tables'
+    paths, for a caller that deletes them."""
     if policy.variant != "A":
         raise ValueError("the flagship selection uses scorer A; see scoring.select_variant_b")
     imgs = dedupe_images(images)
@@ -88,6 +99,7 @@ def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
     # both the image's state and (for a candidate) its score.
     scored_all = scoring.score_images(
         scoring.tagged_images(imgs, tags, policy, dedupe=False, flag="candidate"), policy)
+    tables = [] if tables is None else tables
     if materialize:
-        scored_all = checkpoint(scored_all)
-    return Selection(imgs, scored_all, picks, policy, materialize_status=materialize is True)
+        scored_all = stage(scored_all.select(*STAGED_COLUMNS), "scored", tables)
+    return Selection(imgs, scored_all, picks, policy, materialize_status=materialize is True, tables=tables)

@@ -1,5 +1,5 @@
-"""Session helpers: a tuned local/cluster session, the shared checkpoint folder,
-and a size check that guards every explicit broadcast."""
+"""Session helpers: a tuned local/cluster session, and tables in the shared
+checkpoint folder."""
 
 from __future__ import annotations
 
@@ -40,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master and master.startswith("local"):
         # Local mode runs every task in the driver JVM: give it the memory an
         # executor would have (only takes effect when this call starts the JVM).
-        builder = builder.config("spark.driver.memory", os.environ.get("CURATO_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("CURATO_DRIVER_MEMORY", "8g"))
     return builder.getOrCreate()
 
 
@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; staged tables need a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -74,12 +77,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{os.urandom(6).hex()}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the reliable checkpoint folder.
+#: When set to a list, ``stage`` appends (name, physical plan) to it: the plan
+#: tools show every segment of a query, not only what follows the last table.
+STAGED_PLANS: list[tuple[str, str]] | None = None
 
-    Used where later steps must see exactly the same rows in the same
-    partitions (numbering, offsets), and so that a lost executor never forces
-    a recompute of the upstream shuffle.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def stage(df: DataFrame, name: str, record: list[str] | None = None) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table under the shared folder.
+
+    Used where several steps read a relation, or must see exactly the same
+    rows in the same partitions.  The table is columnar, so a later step still
+    reads only its columns, and a lost executor costs a re-read, not a rerun.
+    ``record`` receives the path, for ``drop_tables``."""
+    path = scratch_path(df.sparkSession, name)
+    if STAGED_PLANS is not None:
+        STAGED_PLANS.append((name, df._jdf.queryExecution().executedPlan().toString()))
+    df.write.parquet(path)
+    if record is not None:
+        record.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables, wherever their file system is."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curato.functions.contract import Contract, Rule
+from curato.operators.shape import flatten_tags
 
 IMAGE_CONTRACT = Contract(name="images", rules=(
     Rule("image_id", type="string", required=True, min_length=1),
@@ -73,25 +74,6 @@ def pick_fields() -> dict:
             "cdn_url": _get("$.value.cdn_url", "string")}
 
 
-def flatten_tag_rows(df: DataFrame) -> DataFrame:
-    """One row per (image, tag); an empty tags array gives no row."""
-    return (df.select("image_id", F.explode("tags").alias("t"))
-            .select("image_id", F.col("t.tag").alias("tag"), F.col("t.version").alias("version"),
-                    F.col("t.probability").alias("probability")))
-
-
-def typed_images(valid: DataFrame) -> DataFrame:
-    return valid.select(*[c.alias(n) for n, c in image_fields().items()])
-
-
-def typed_tags(valid: DataFrame) -> DataFrame:
-    return flatten_tag_rows(valid.select(*[c.alias(n) for n, c in tag_fields().items()]))
-
-
-def typed_picks(valid: DataFrame) -> DataFrame:
-    return valid.select(*[c.alias(n) for n, c in pick_fields().items()])
-
-
 def _same(df: DataFrame) -> DataFrame:
     return df
 
@@ -99,6 +81,6 @@ def _same(df: DataFrame) -> DataFrame:
 # Feed name -> (contract, typed columns of a line, step after reading them back).
 FEEDS = {
     "images": (IMAGE_CONTRACT, image_fields, _same),
-    "image_tags": (TAGS_CONTRACT, tag_fields, flatten_tag_rows),
+    "image_tags": (TAGS_CONTRACT, tag_fields, flatten_tags),
     "main_images": (PICKS_CONTRACT, pick_fields, _same),
 }

@@ -61,9 +61,14 @@ def read_typed(spark: SparkSession, path: str | list[str], schema: StructType,
     return reader.json(path)
 
 
-def read_chunk_dir(spark: SparkSession, directory: str, schema: StructType, glob: str = "*.jsonl",
+def read_chunk_dir(spark: SparkSession, directory: str, schema: StructType, glob: str = "{*.jsonl,part-*}",
                    chunk_col: str = "chunk_id") -> DataFrame:
-    """Typed rows of every matching file in ``directory``, each tagged with
-    its file name as ``chunk_col`` (for ``chunking.join_chunks``)."""
-    df = read_typed(spark, directory, schema, glob)
-    return df.withColumn(chunk_col, F.col("_metadata.file_name"))
+    """Typed rows of every matching file in ``directory``, each tagged with its
+    chunk as ``chunk_col`` (for ``chunking.join_chunks``): the partition folder
+    ``chunk_id=...`` that the chunk sink writes, so a chunk of several files is
+    one chunk, or the file's name in a flat directory.  ``glob`` takes JSONL
+    files and Spark's own part files."""
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/chunk_id=([^/]*)/", 1)
+    return reader.json(directory).withColumn(
+        chunk_col, F.when(folder != "", folder).otherwise(F.col("_metadata.file_name")))

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curato.operators.chunking import assign_chunks
-from curato.operators.validate import split_valid
 
 
 def key_value(picks: DataFrame, group: str = "hotel_id") -> DataFrame:
@@ -28,17 +27,25 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("lineSep", "\n").json(path)
 
 
-def write_split(checked: DataFrame, valid_path: str, rejected_path: str | None = None,
-                text_col: str = "value", mode: str = "overwrite") -> None:
-    """Valid lines to one path, rejected lines (with reasons) to another.
-    The rejected write happens only when asked for."""
-    valid, rejected = split_valid(checked)
-    valid.select(text_col).write.mode(mode).text(valid_path)
-    if rejected_path:
-        rejected.select(text_col, "reasons").write.mode(mode).option("lineSep", "\n").json(rejected_path)
+def write_split(checked: DataFrame, path: str, text_col: str = "value", mode: str = "overwrite") -> dict[str, str]:
+    """The lines in one pass, so each is checked once: a table of (line,
+    reasons) partitioned by ``valid``.  Returns the folder of either half; the
+    reasons of a valid line are null."""
+    ok = F.size(F.col("violations")) == 0
+    (checked.select(F.col(text_col).alias("value"),
+                    F.when(~ok, F.array_join(F.col("violations"), ";")).alias("reasons"), ok.alias("valid"))
+     .write.mode(mode).partitionBy("valid").option("lineSep", "\n").json(path))
+    return {"valid": f"{path}/valid=true", "rejected": f"{path}/valid=false"}
 
 
 def write_chunks(df: DataFrame, n: int, order, path: str, mode: str = "overwrite") -> None:
     """Write ``df`` as n contiguous chunks (``chunk_id=1`` ... folders, JSON
     lines), in ``order``; sizes are ceil(N/n), so there may be fewer than n."""
     assign_chunks(df, n, order).write.mode(mode).partitionBy("chunk_id").json(path)
+
+
+def write_line_chunks(lines: DataFrame, n: int, order, path: str, text_col: str = "value",
+                      mode: str = "overwrite") -> None:
+    """The same for raw lines: every chunk holds the input's lines unchanged."""
+    (assign_chunks(lines, n, order).select(text_col, "chunk_id")
+     .write.mode(mode).partitionBy("chunk_id").text(path))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curato.operators.ranking import rank_in_group
-from curato.session import checkpoint
+from curato.session import stage
 
 # The url prefix of the image views and the offset of
 # current picks that point at images which no longer exist.
@@ -76,7 +76,7 @@ def picks_view(spark: SparkSession, sf_dir: str, images: DataFrame | None = None
     multiple of 13, its (1 + hotel_id mod n)-th image by id; every 11th hotel
     points at an image id that does not exist.
 
-    ``materialize`` checkpoints the result (one row per hotel), as a stored
+    ``materialize`` stages the result (one row per hotel), as a stored
     picks feed would be, so plans that read it in several branches do not
     repeat the ranking behind it."""
     images = images if images is not None else images_view(spark, sf_dir)
@@ -90,15 +90,56 @@ def picks_view(spark: SparkSession, sf_dir: str, images: DataFrame | None = None
                  F.when(h % 11 == 0, F.lit(MISSING_IMAGE_BASE) + h).otherwise(F.col("image_id"))
                  .alias("image_id"),
                  F.concat(F.lit(CDN_PREFIX), F.col("image_id").cast("string")).alias("cdn_url")))
-    return checkpoint(picks) if materialize else picks
+    return stage(picks, "picks") if materialize else picks
 
 
 def nested_tags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested tag feed shape (image_id, tags array<struct>), one record
-    per line item, so no group is gathered into one array."""
-    return tags_view(spark, sf_dir).select(
-        "image_id",
-        F.array(F.struct("tag", "version", "probability")).alias("tags"))
+    per line item, built per row: by line number and quantity the array is
+    null, empty, or holds one to three tags (the j-th with version
+    ``<line>.<j>`` and the probability lowered by j tenths, at least 0; the
+    third has no probability)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_quantity")
+
+    def tag(j: int):
+        p = F.lit(None).cast("double") if j == 2 else F.greatest(F.round(F.col("l_discount") * 10 - j / 10, 6), F.lit(0.0))
+        return F.struct(F.concat("l_returnflag", "l_linestatus").alias("tag"),
+                        F.concat_ws(".", F.col("l_linenumber").cast("string"), F.lit(str(j))).alias("version"),
+                        p.alias("probability"))
+
+    n = (F.col("l_linenumber") + F.col("l_quantity").cast("int")) % 5
+    kind = "array<struct<tag:string,version:string,probability:double>>"
+    tags = (F.when(n == 0, F.lit(None).cast(kind)).when(n == 1, F.array().cast(kind))
+            .when(n == 2, F.array(tag(0))).when(n == 3, F.array(tag(0), tag(1))).otherwise(F.array(tag(0), tag(1), tag(2))))
+    return li.select(F.col("l_orderkey").alias("image_id"), tags.alias("tags"))
+
+
+def repeated_images_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image feed with repeated ids: every third image comes again a year
+    older, every fifth without a date, every seventh unchanged but for a
+    larger url."""
+    images = images_view(spark, sf_dir)
+    k = F.col("image_id")
+    older = images.filter(k % 3 == 0).withColumn("created_at", F.col("created_at") - F.expr("INTERVAL 1 YEAR"))
+    undated = images.filter(k % 5 == 0).withColumn("created_at", F.lit(None).cast(images.schema["created_at"].dataType))
+    again = images.filter(k % 7 == 0).withColumn("cdn_url", F.concat("cdn_url", F.lit("?again")))
+    return images.unionByName(older).unionByName(undated).unionByName(again)
+
+
+def text_images_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image feed as text, some values bad: sizes that are no numbers,
+    flags that are no booleans, dates that no calendar has."""
+    images = images_view(spark, sf_dir)
+    k = F.col("image_id")
+    return images.select(
+        k.cast("string").alias("image_id"), F.col("hotel_id").cast("string").alias("hotel_id"), "cdn_url",
+        F.when(k % 11 == 0, F.lit("wide")).otherwise(F.col("width").cast("string")).alias("width"),
+        F.when(k % 13 == 0, F.lit("")).otherwise(F.col("height").cast("string")).alias("height"),
+        F.when(k % 17 == 0, F.lit("2005-13-45 00:00:00")).when(k % 19 == 0, F.lit("soon"))
+        .otherwise(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).alias("created_at"),
+        F.when(k % 23 == 0, F.lit("maybe")).when(k % 29 == 0, F.lit("TRUE"))
+        .otherwise(F.col("is_active").cast("string")).alias("is_active"))
 
 
 def nested_picks_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from curato.functions.contract import Contract, Rule
 from curato.operators import shape, validate
 from curato.sources import sinks
@@ -40,6 +42,8 @@ LINES = {
     "bad_url": '{"image_id":"i13","hotel_id":7,"cdn_url":"ftp://x"}',
     "not_object": '[1,2]',
     "null_id": '{"image_id":null,"hotel_id":7}',
+    "null_line": None,
+    "repeated_key": '{"image_id":"i14","hotel_id":7,"hotel_id":8}',
 }
 
 EXPECTED = {
@@ -49,18 +53,19 @@ EXPECTED = {
     "prob_out": ["tags[].probability:maximum"], "tag_extra": ["tags[]:additional"],
     "extra_field": ["$:additional"], "tags_not_array": ["tags:type"], "bad_url": ["cdn_url:pattern"],
     "not_object": ["$:type"], "null_id": ["image_id:null"],
+    "null_line": ["$:malformed"], "repeated_key": ["$:malformed"],
 }
 
 
 def checked_frame(spark):
-    rows = [(k, v) for k, v in LINES.items()] + [("blank", "   ")]
+    rows = [(k, v) for k, v in LINES.items()] + [("blank", "   "), ("tab", "\t\n"), ("empty", "")]
     raw = spark.createDataFrame(rows, "name string, value string")
-    return validate.check_contract(raw, IMAGE_CONTRACT, min_partitions=1)
+    return validate.check_contract(raw, IMAGE_CONTRACT)
 
 
 def test_each_edge_case(spark):
     got = {r.name: list(r.violations) for r in checked_frame(spark).collect()}
-    assert "blank" not in got                      # blank lines are skipped, not errors
+    assert not {"blank", "tab", "empty"} & set(got)    # blank lines are skipped, not errors; a null line is one
     assert got == EXPECTED
 
 
@@ -70,7 +75,7 @@ def test_valid_plus_rejected_is_input(spark):
     assert valid.count() + rejected.count() == len(LINES)
     assert {r.name for r in valid.collect()} == {k for k, v in EXPECTED.items() if not v}
     summary = {r.rule: r.n for r in validate.violation_summary(checked).collect()}
-    assert summary["width:type"] == 2 and summary["$:malformed"] == 1
+    assert summary["width:type"] == 2 and summary["$:malformed"] == 3
 
 
 def test_plan_has_no_python(spark):
@@ -82,18 +87,23 @@ def test_jsonl_files_round_trip(spark, tmp_dir):
     src = os.path.join(tmp_dir, "feed")
     os.makedirs(src)
     with open(os.path.join(src, "part-a.jsonl"), "w") as f:
-        f.write("\n".join(LINES.values()) + "\n\n")
+        f.write("\n".join(v for v in LINES.values() if v is not None) + "\n\n \t\n")
     with open(os.path.join(src, "ignored.txt"), "w") as f:
         f.write('{"image_id":"zz","hotel_id":1}\n')
     raw = read_lines(spark, src, glob="*.jsonl")
     checked = validate.check_contract(raw, IMAGE_CONTRACT)
-    assert checked.count() == len(LINES)
-    valid_path, rejected_path = os.path.join(tmp_dir, "valid"), os.path.join(tmp_dir, "rejected")
-    sinks.write_split(checked, valid_path, rejected_path)
-    again = validate.check_contract(read_lines(spark, valid_path), IMAGE_CONTRACT)
+    lines = sum(1 for v in LINES.values() if v is not None)
+    assert checked.count() == lines
+    halves = sinks.write_split(checked, os.path.join(tmp_dir, "split"))
+    valid = spark.read.json(halves["valid"]).select("value")
+    again = validate.check_contract(valid, IMAGE_CONTRACT)
     assert again.filter("size(violations) > 0").count() == 0
-    assert spark.read.json(rejected_path).count() == sum(1 for v in EXPECTED.values() if v)
-    typed = shape.images(read_typed(spark, valid_path, IMAGES_SCHEMA))
+    rejected = spark.read.json(halves["rejected"])
+    assert valid.count() + rejected.count() == lines
+    assert rejected.filter("reasons is null").count() == 0
+    plain = os.path.join(tmp_dir, "plain")
+    valid.write.text(plain)
+    typed = shape.images(read_typed(spark, plain, IMAGES_SCHEMA))
     assert dict(typed.dtypes)["width"] == "bigint"
 
 
@@ -118,12 +128,34 @@ def test_key_value_writer_omits_nulls(spark, tmp_dir):
     assert sorted([tuple(r) for r in back.collect()], key=str) == sorted([(1, "a", "u"), (2, None, None)], key=str)
 
 
-def test_column_form_matches_staged_form(spark):
-    from pyspark.sql import functions as F
-    from curato.functions.contract import violations
-    rows = [(k, v) for k, v in LINES.items()]
-    raw = spark.createDataFrame(rows, "name string, value string")
-    parsed = validate.parse_records(raw)
-    col_form = {r.name: list(r.v) for r in parsed.select(
-        "name", violations(F.col("record"), IMAGE_CONTRACT, F.col("value")).alias("v")).collect()}
-    assert col_form == EXPECTED
+def test_enum_compares_json_values(spark):
+    contract = Contract(rules=(
+        Rule("b", enum=(True,)), Rule("n", enum=(1.0, 2)), Rule("t", enum=("1",)),
+        Rule("z", enum=("a", None))), additional=False)
+    lines = {'{"b":true}': [], '{"b":1}': ["b:enum"], '{"b":"true"}': ["b:enum"], '{"n":1}': [], '{"n":2.0}': [],
+             '{"n":"1"}': ["n:enum"], '{"n":true}': ["n:enum"], '{"t":"1"}': [], '{"t":1}': ["t:enum"],
+             '{"z":null}': [], '{"z":"a"}': [], '{"z":"b"}': ["z:enum"], '{"n":null}': ["n:null"], '{"n":[1]}': ["n:enum"]}
+    raw = spark.createDataFrame([(k,) for k in lines], "value string")
+    assert {r.value: list(r.violations) for r in validate.check_contract(raw, contract).collect()} == lines
+
+
+def test_contract_from_a_json_schema(spark):
+    schema = {"type": "object", "required": ["id", "free"], "title": "t", "properties": {
+        "id": {"type": "integer", "minimum": 1}, "kind": {"const": "x"}, "when": {"type": ["string", "null"]},
+        "at": {"type": "object", "properties": {"k": {"type": "integer"}}, "required": ["k"]}}}
+    lines = {'{"id":1,"free":null}': [], '{"id":0,"free":1}': ["id:minimum"], '{"id":2}': ["free:required"],
+             '{"id":2,"free":1,"kind":"y"}': ["kind:enum"], '{"id":2,"free":1,"when":null,"more":1}': [],
+             '{"id":2,"free":1,"when":3}': ["when:type"], '{"id":2,"free":1,"at":{}}': ["at.k:required"]}
+    raw = spark.createDataFrame([(k,) for k in lines], "value string")
+    got = validate.check_contract(raw, Contract.from_json_schema(schema))
+    assert {r.value: list(r.violations) for r in got.collect()} == lines
+
+
+@pytest.mark.parametrize("schema", [
+    {"type": "array"}, {"properties": {"a": {"oneOf": []}}}, {"properties": {"a": {"type": "date"}}},
+    {"properties": {"a": {"format": "email"}}}, {"additionalProperties": {"type": "string"}}, {"$ref": "#/x"},
+    {"properties": {"a": {"items": [{"type": "string"}]}}}, {"properties": {"a": {"enum": [[1]]}}},
+    {"required": ["a"], "additionalProperties": False}])
+def test_what_a_contract_cannot_check_raises(schema):
+    with pytest.raises(ValueError):
+        Contract.from_json_schema(schema)

@@ -10,6 +10,7 @@ from curato.operators import outputs
 from curato.plans.job import run_job
 from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
+from curato.sources.feeds import IMAGES_SCHEMA, read_chunk_dir
 from curato.sources.tables import images_view, picks_view, tags_view
 
 SF = "/root/testdata/sf0.001"
@@ -66,11 +67,35 @@ def test_gate_and_split(spark, tmp_dir):
     with pytest.raises(ValueError):
         validation_gate(spark, {"image_tags": (paths["tags"], contracts.TAGS_CONTRACT)}, fail_on_reject=True)
     out = split_feeds(spark, paths["images"], paths["tags"], "images", 3, os.path.join(tmp_dir, "chunks"))
-    back = spark.read.json(out["images"])
+    back = read_chunk_dir(spark, out["images"], IMAGES_SCHEMA)
     sizes = sorted(r["count"] for r in back.groupBy("chunk_id").count().collect())
     n = images.count()
     size = -(-n // 3)
-    assert sum(sizes) == n and max(sizes) == size
+    assert len(sizes) == 3 and sum(sizes) == n and max(sizes) == size
+    # The chunks hold the input's lines, unchanged.
+    lines = sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(out["images"]).collect())
+    assert lines == sorted(r.value for r in spark.read.text(paths["images"]).collect())
+    assert back.filter("width is not null").count() == images.filter("width is not null").count()
+
+
+def test_job_takes_a_json_schema_and_leaves_nothing_behind(spark, tmp_dir):
+    from curato.session import ensure_checkpoint_dir
+    paths, images, _, _ = write_feeds(spark, tmp_dir)
+    schema = {"type": "object", "required": ["image_id"], "properties": {
+        "image_id": {"type": "string"}, "hotel_id": {"type": "integer", "maximum": 20}}}
+    tables = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    picks_before = before
+    res = run_job(spark, paths["images"], paths["tags"], paths["picks"], os.path.join(tmp_dir, "out2"), POLICY,
+                  feed_contracts={"images": schema})
+    m = {r.metric: r.value for r in spark.read.json(res.outputs["metrics"]).collect()}
+    assert m["images_valid"] == images.filter("hotel_id <= 20").count() and m["images_rejected"] > 0
+    reasons = {r.reasons for r in spark.read.json(res.rejected["images"]).collect()}
+    assert reasons == {"hotel_id:maximum"}
+    assert set(os.listdir(tables)) == picks_before
+    with pytest.raises(ValueError):
+        run_job(spark, paths["images"], paths["tags"], paths["picks"], tmp_dir, POLICY, feed_contracts={"x": schema})
+    assert set(os.listdir(tables)) == picks_before
 
 
 def test_cli_runs_the_job(spark, tmp_dir):

@@ -116,15 +116,15 @@ def test_variant_b_matches_fan_out(spark, policy_b):
     """The reduced plan picks what the literal fan-out (every tag a candidate) picks."""
     images = spark.createDataFrame(
         [(1, 1, 1920, 1080, ts(2005, 1, 1), True, "u1"), (2, 1, 1920, 1080, ts(2005, 1, 1), True, "u2"),
-         (3, 2, 800, 600, ts(2004, 1, 1), None, "u3"), (4, 2, 800, 600, ts(2004, 1, 1), False, "u4")],
+         (3, 2, 800, 600, ts(2004, 1, 1), None, "u3"), (4, 2, 800, 600, ts(2004, 1, 1), False, "u4"),
+         (5, 1, 4000, 3000, ts(2005, 12, 1), False, "u5")],
         "image_id long, hotel_id long, width long, height long, created_at timestamp, is_active boolean, cdn_url string")
     tags = spark.createDataFrame(
-        [(1, "a", "1", 0.2), (1, "b", "1", 0.9), (2, "a", "1", 0.8), (2, "c", "2", None), (4, "z", "1", 1.0)],
+        [(1, "a", "1", 0.2), (1, "b", "1", 0.9), (2, "a", "1", 0.8), (2, "c", "2", None), (4, "z", "1", 1.0), (5, "b", "1", 0.9)],
         "image_id long, tag string, version string, probability double")
     top = {r.hotel_id: r for r in scoring.select_variant_b(images, tags, policy_b).collect()}
     # brute force
-    fan = (images.filter(F.col("is_active").isNull() | F.col("is_active"))
-           .join(tags, "image_id", "left").fillna({"probability": 0.0}))
+    fan = images.join(tags, "image_id", "left").fillna({"probability": 0.0})
     fan = scoring.score_images(fan, policy_b)
     best = {}
     for r in fan.collect():
@@ -132,6 +132,7 @@ def test_variant_b_matches_fan_out(spark, policy_b):
         if r.hotel_id not in best or k < best[r.hotel_id][0]:
             best[r.hotel_id] = (k, r)
     assert set(top) == set(best)
+    assert top[2].image_id == 4 and top[1].image_id == 5     # inactive images win: scorer B does not look
     for h, (_, r) in best.items():
         assert (top[h].image_id, top[h].tag, top[h].probability) == (r.image_id, r.tag, r.probability)
         assert top[h].image_score == pytest.approx(r.image_score)
