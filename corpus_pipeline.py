@@ -3,6 +3,10 @@
 Every stage is one operator of ``curato.llm`` applied to all rows that the
 stage before it kept.  All stages but the last return the columns of the
 documents as they came; the last returns one row per document with its ids.
+
+A stage's result reads tables that the stage has staged in the shared folder.
+It is written before the next stage begins, so each stage first deletes what
+the one before it staged, and the disk holds one stage's tables at a time.
 """
 
 from __future__ import annotations
@@ -10,32 +14,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from curato.llm import exact_dedup, near_dedup, quality_classifier, sentencepiece_bpe, source_mix
-from curato.llm.common import fit_sample, staged, table
+from curato.llm.common import fit_sample, release_staged, table
+from curato.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network accepts."""
+    release_staged(spark)
     sample = fit_sample(docs, table(spark, sf_dir, "labels"), "quality", quality_classifier.SAMPLE)
     return quality_classifier.quality_stage(docs, quality_classifier.learn(sample))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    release_staged(spark)
     return exact_dedup.dedup_stage(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
+    release_staged(spark)
     return near_dedup.near_dedup_stage(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that bring the sources to their target weights."""
+    release_staged(spark)
     return source_mix.mix_stage(docs, source_mix.PIPELINE)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of the ids and the decoded text."""
+    release_staged(spark)
     return sentencepiece_bpe.encode_documents(docs, sentencepiece_bpe.default_model(), keep=("ids",))
 
 
@@ -46,7 +56,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage_{name}")
+        path = scratch_path(spark, f"stage_{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.session import scratch_path
+from curato.session import drop_tables, scratch_path
 
 # Fixed values of the contracts: the white-space class and the word class.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -27,15 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STAGED: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table under the shared checkpoint folder and read it
     back: a lineage cut that outlives executors, keeps its rows fixed, and
-    still lets later steps prune columns."""
+    still lets later steps prune columns.  ``release_staged`` deletes it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> None:
+    """Delete the tables staged so far, once every result that reads them has
+    been written (paths of another session's folder are gone with it)."""
+    drop_tables(spark, _STAGED)
+    _STAGED.clear()
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as the empty text."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")

@@ -121,12 +121,14 @@ def in_filter(built: tuple[int, int, int, bytes], keys: np.ndarray) -> np.ndarra
 
 # -- arrivals and snapshots ----------------------------------------------------
 
-def digest_rows(docs: DataFrame, row_id: Column | None = None) -> DataFrame:
+def normalised(text: str = "text") -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
+
+
+def digest_rows(docs: DataFrame) -> DataFrame:
     """One staged row per document: its row id, doc_id, digest and normalised text."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    number = F.monotonically_increasing_id() if row_id is None else row_id
-    rows = docs.select(number.alias("row_id"), "doc_id", text.alias("norm")).select(
-        "row_id", "doc_id", F.sha2("norm", 256).alias("sha"), "norm")
+    rows = docs.select("doc_id", normalised().alias("norm")).select(
+        F.monotonically_increasing_id().alias("row_id"), "doc_id", F.sha2("norm", 256).alias("sha"), "norm")
     return staged(rows, "digests")
 
 
@@ -201,11 +203,16 @@ def confirm(passed: DataFrame, arrival: DataFrame, buckets: DataFrame, rows: Dat
             .filter(F.col("a") == F.col("b")).select("sha"))
 
 
-def find_copies(docs: DataFrame, row_id: Column | None = None) -> DataFrame:
-    """``docs`` arrives in two batches (dealt by a hash of the id): the first
-    becomes the snapshot, the second is screened against it.  One row per
-    document: row_id, doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = digest_rows(docs, row_id).withColumn(
+def find_copies(docs: DataFrame) -> DataFrame:
+    """One row per document: row_id, doc_id, keep_id, group_size, kept, text_sha256."""
+    return settle(digest_rows(docs))
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """``find_copies`` of digest rows (row_id, doc_id, sha, norm).  They arrive in
+    two batches (dealt by a hash of the id): the first becomes the snapshot,
+    the second is screened against it."""
+    rows = rows.withColumn(
         "batch", F.when(F.pmod(F.xxhash64(F.lit("batch"), "doc_id"), F.lit(2)) == 0, 0).otherwise(1))
     narrow = rows.select("row_id", "doc_id", "sha", "batch")
     groups = [staged(group_arrival(narrow.filter(F.col("batch") == b)), f"arrival{b}") for b in (0, 1)]
@@ -228,8 +235,10 @@ def find_copies(docs: DataFrame, row_id: Column | None = None) -> DataFrame:
 def dedup_stage(docs: DataFrame) -> DataFrame:
     """The documents without their copies, all columns as they came."""
     cols = docs.columns
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup_in")
-    keep = find_copies(rows, F.col("__row")).filter("kept").select(F.col("row_id").alias("__row"))
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id())
+                  .withColumn("__sha", F.sha2(normalised(), 256)), "dedup_in")
+    digests = rows.select(F.col("__row").alias("row_id"), "doc_id", F.col("__sha").alias("sha"), normalised().alias("norm"))
+    keep = settle(digests).filter("kept").select(F.col("row_id").alias("__row"))
     return rows.join(keep, "__row").select(*[F.col(f"`{c}`") for c in cols])
 
 
