@@ -11,41 +11,58 @@ the one before it staged, and the disk holds one stage's tables at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from curato.llm import exact_dedup, near_dedup, quality_classifier, sentencepiece_bpe, source_mix
-from curato.llm.common import fit_sample, release_staged, table
-from curato.session import scratch_path
+from curato.llm.common import fit_sample, recording, table
+from curato.session import drop_tables, scratch_path
+
+
+_LEFT: list[str] = []   # tables of the stage before
+
+
+def _only_own_tables(stage: Callable) -> Callable:
+    """A stage that first deletes the tables of the stage before."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _LEFT)
+        _LEFT.clear()
+        with recording(_LEFT):
+            return stage(spark, docs, sf_dir)
+    return run_stage
 
 
+@_only_own_tables
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network accepts."""
-    release_staged(spark)
     sample = fit_sample(docs, table(spark, sf_dir, "labels"), "quality", quality_classifier.SAMPLE)
     return quality_classifier.quality_stage(docs, quality_classifier.learn(sample))
 
 
+@_only_own_tables
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    release_staged(spark)
     return exact_dedup.dedup_stage(docs)
 
 
+@_only_own_tables
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
-    release_staged(spark)
     return near_dedup.near_dedup_stage(docs)
 
 
+@_only_own_tables
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that bring the sources to their target weights."""
-    release_staged(spark)
     return source_mix.mix_stage(docs, source_mix.PIPELINE)
 
 
+@_only_own_tables
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of the ids and the decoded text."""
-    release_staged(spark)
     return sentencepiece_bpe.encode_documents(docs, sentencepiece_bpe.default_model(), keep=("ids",))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.session import drop_tables, scratch_path
+from curato.session import stage
 
 # Fixed values of the contracts: the white-space class and the word class.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -27,24 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_STAGED: list[str] = []
+_RECORD: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Collect the paths of the tables staged inside, for a caller that deletes
+    them once every result that reads them has been written."""
+    _RECORD.append(paths)
+    try:
+        yield
+    finally:
+        _RECORD.pop()
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table under the shared checkpoint folder and read it
     back: a lineage cut that outlives executors, keeps its rows fixed, and
-    still lets later steps prune columns.  ``release_staged`` deletes it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    _STAGED.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release_staged(spark: SparkSession) -> None:
-    """Delete the tables staged so far, once every result that reads them has
-    been written (paths of another session's folder are gone with it)."""
-    drop_tables(spark, _STAGED)
-    _STAGED.clear()
+    still lets later steps prune columns."""
+    return stage(df, name, _RECORD[-1] if _RECORD else None)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
