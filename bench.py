@@ -1,4 +1,4 @@
-"""Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Benchmark: run every query of the reference's operators at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line:
 {"metric": "total_query_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
@@ -25,22 +25,13 @@ from curato.catalog import POLICY_A  # noqa: E402
 from curato.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from curato.sources.tables import images_view, picks_view, tags_view  # noqa: E402
 
-HEADLINE = [
-    "best_tag", "candidates", "composite_a", "rank_in_group", "top_in_group", "top_in_group_b",
-    "pick_status", "old_new_scores", "updated_picks", "new_groups", "updated_flag",
-    "picks_by_flag", "images_processed", "join_counts", "flatten_tags", "flatten_picks",
-    "contract_valid", "contract_rejected", "violation_summary", "assign_chunks",
-    "join_chunks_union", "join_chunks_all", "enrich_left", "key_value", "snapshot", "cdc", "metrics",
-]
-
-
 def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
 def flagship_run(spark, sf: str) -> None:
     """The whole job once: score, pick, reconcile, and every output, with
-    the scored relation checkpointed so the outputs share it."""
+    the scored relation staged so the outputs share it."""
     images = images_view(spark, sf)
     sel = select_and_reconcile(images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=True),
                                POLICY_A, materialize=True)
@@ -52,7 +43,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    names = only or HEADLINE
+    names = only or list(QUERIES)
     spark = (build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="curato-bench"))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

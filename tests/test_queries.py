@@ -92,3 +92,44 @@ def test_no_cross_or_full_outer_joins(spark, name):
     assert "Cross" not in plan and "FullOuter" not in plan
     physical = qe.executedPlan().toString()
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
+
+
+def _segments(spark, name):
+    from curato import session
+    session.STAGED_PLANS = []
+    try:
+        result = QUERIES[name](spark, SF)
+        return [*session.STAGED_PLANS, ("result", result._jdf.queryExecution().executedPlan().toString())]
+    finally:
+        session.STAGED_PLANS = None
+
+
+def test_staged_relations_hold_only_what_is_read(spark):
+    """The scored images are projected before they are written."""
+    from curato.catalog import _selection
+    from curato.plans.selection import STAGED_COLUMNS
+    sel = _selection(spark, SF)[0]
+    assert tuple(sel.scored_all.columns) == STAGED_COLUMNS
+    read = set(sel.updated_picks.columns) | set(sel.cdc.columns) | set(sel.status.columns)
+    assert {"image_id", "hotel_id", "is_active", "cdn_url"} <= read
+    for name, most in (("rank_in_group", 5), ("assign_chunks", 4)):
+        ranged = [plan for title, plan in _segments(spark, name) if title == "ranged"]
+        assert len(ranged) == 1
+        import re
+        top = re.search(r"Project \[([^\]]*)\]", ranged[0])
+        assert top and len(re.findall(r"#\d+L?", top[1])) <= most + 3
+
+
+def test_outputs_read_each_staged_table_at_most_twice(spark):
+    segments = _segments(spark, "metrics")
+    result = segments[-1][1]
+    assert [t for t, _ in segments[:-1]].count("status") == 1
+    assert 0 < result.count("FileScan") <= 5          # status twice, best picks once, scored images once
+    counts = _segments(spark, "join_counts")[-1][1]
+    assert counts.count("l_orderkey") > 0 and len([x for x in counts.split("FileScan") if "lineitem.parquet" in x]) == 1
+    assert all("lineitem" not in plan for _, plan in _segments(spark, "deleted_picks"))
+
+
+def test_rank_offsets_are_broadcast(spark):
+    plan = _segments(spark, "rank_in_group")[-1][1]
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
