@@ -82,6 +82,13 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> li
     return [(bytes(t), y, share[y]) for t, y in rows]
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; at their end Arrow gives its unused memory back, for the
+    worker stays and shares the executor's memory with the next stage."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes as uint8, offsets) of a string column; a null reads as empty.
 

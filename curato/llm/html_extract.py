@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curato.llm.common import table
+from curato.llm.common import freed, table
 
 # -- blocks --------------------------------------------------------------------------
 
@@ -314,7 +314,7 @@ def main_text(page: str | None, tree: Node) -> str:
 def extract_pages(pages: DataFrame, tree: Node) -> DataFrame:
     """Per page: page_id, url, text and n_chars."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             texts = [main_text(page.as_py(), tree) for page in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import Words, doc_runs, mix64, pieces, staged, table, utf8_buffers, word_table
+from curato.llm.common import Words, doc_runs, freed, mix64, pieces, staged, table, utf8_buffers, word_table
 from curato.llm.dart_minhash import band_keys, signatures
 
 SHINGLE = 5
@@ -123,7 +123,7 @@ def sketch_documents(docs: DataFrame, row_id: Column, weights: str = "distinct")
         raise ValueError(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             raw, offsets = utf8_buffers(batch.column("text"))
             for a, b in _runs(offsets):
                 sets = b - a
@@ -204,7 +204,7 @@ def _sharp_keys(sets: DataFrame) -> DataFrame:
                         for i in range(SHARP_KEYS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
                 own = part.column("shingles")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import fit_sample, held_out, table, utf8_buffers
+from curato.llm.common import fit_sample, freed, held_out, table, utf8_buffers
 
 SAMPLE = 3000
 FILTERS, WIDTH = 20, 6
@@ -206,7 +206,7 @@ def learn(sample: Sequence[tuple[bytes, int, float]], seed: int = 11) -> Network
 def score_documents(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score and predicted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             score = net.scores(*utf8_buffers(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()),
@@ -225,7 +225,7 @@ def quality_stage(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             score = net.scores(*utf8_buffers(batch.column(names.index("text"))))
             yield batch.filter(pa.array(score >= threshold))
 

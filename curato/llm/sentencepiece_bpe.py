@@ -36,12 +36,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curato.llm.common import table
+from curato.llm.common import freed, table
 
 SPACE_MARK = "▁"
 BEGIN, END, UNKNOWN = 1, 2, 0
-CACHED_WORDS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_WORDS = 300_000   # about 200 bytes each, per worker
+CACHED_PAIRS = 300_000
 OUTPUT_BYTES = 8 << 20  # of kept ids and texts before a batch goes out
 SHORT_WORD = 64  # longer units are not kept in the memory of words
 
@@ -80,7 +80,8 @@ class PrefixBpe:
             raise ValueError("a piece holds a character that is no piece")
         self.is_byte = [model.is_byte(i) for i in range(len(self.pieces))]
         self.pairs: dict[int, bool] = {}  # left << 20 | right
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, bytes] = {}
+        self.changed: dict[str, bytes] = {}   # words whose ids decode to something else than the word
         # Pieces that merging can reach: those that their own text encodes to.
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.id_of.items():
@@ -137,12 +138,15 @@ class PrefixBpe:
         ids.reverse()
         return ids
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
+    def _word(self, word: str) -> bytes:
         ids = self.encode_marked(word)
-        made = pack(ids), b"".join([self.bytes_of[i] for i in ids])
+        made, decoded = pack(ids), b"".join([self.bytes_of[i] for i in ids])
+        if len(self.words) >= CACHED_WORDS:
+            self.words.clear()
+            self.changed.clear()
+        if decoded != word.replace(SPACE_MARK, " ").encode():
+            self.changed[word] = decoded
         if len(word) <= SHORT_WORD:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
             self.words[word] = made
         return made
 
@@ -152,15 +156,24 @@ class PrefixBpe:
         marked = SPACE_MARK + text.replace(" ", SPACE_MARK) if text else ""
         return _UNITS.findall(marked) if "\n" not in self.alphabet else _WORDS.findall(marked)
 
-    def encode_packed(self, text: str) -> tuple[bytes, bytes]:
-        """(ids as little-endian 32-bit integers without begin and end, the bytes they stand for)."""
-        words, make = self.words, self._word
-        made = [words.get(unit) or make(unit) for unit in self.units(text)]
-        return b"".join([m[0] for m in made]), b"".join([m[1] for m in made])
+    def round_trip(self, text: str) -> tuple[bytes, bytes]:
+        """(packed ids, UTF-8 text that they decode to).
+
+        All bytes of a character come from one word, so a text's ids decode to
+        what its words' ids decode to, one after the other.  Each word's ids
+        are decoded when the word is encoded, and the outcome is kept only
+        where it differs from the word; the first piece loses the space mark
+        that every text gets."""
+        words, make, units = self.words, self._word, self.units(text)
+        packed = b"".join([words.get(unit) or make(unit) for unit in units])
+        if self.changed and not self.changed.keys().isdisjoint(units):
+            raw = b"".join([self.changed.get(u) or u.replace(SPACE_MARK, " ").encode() for u in units])
+        else:
+            raw = "".join(units).replace(SPACE_MARK, " ").encode()
+        return packed, raw[1:] if raw[:1] == b" " else raw
 
     def encode(self, text: str) -> list[int]:
-        packed, _ = self.encode_packed(text)
-        return [BEGIN, *unpack(packed), END]
+        return [BEGIN, *unpack(self.round_trip(text)[0]), END]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of any ids: control ids are silent, the first piece loses one
@@ -241,7 +254,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep: Sequence[str] = ())
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(model_path)
         begin, end = pack([BEGIN]), pack([END])
-        for batch in batches:
+        for batch in freed(batches):
             made: list[tuple[int, str, str]] = []
             ids, texts, held, first = [], [], 0, 0
 
@@ -259,10 +272,8 @@ def encode_documents(docs: DataFrame, model_path: str, keep: Sequence[str] = ())
                     columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *kept])
 
             for n, value in enumerate(batch.column("text")):
-                packed, raw = bpe.encode_packed(value.as_py() or "")
+                packed, decoded = bpe.round_trip(value.as_py() or "")
                 whole = begin + packed + end
-                # All bytes of a character come from one word, so the joined bytes are valid text.
-                decoded = raw[1:] if raw[:1] == b" " else raw
                 made.append((len(whole) // 4, hashlib.sha256(whole).hexdigest(), hashlib.sha256(decoded).hexdigest()))
                 if "ids" in kept:
                     ids.append(whole)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import Words, doc_runs, fit_sample, held_out, pieces, table, utf8_buffers, word_table
+from curato.llm.common import Words, doc_runs, fit_sample, freed, held_out, pieces, table, utf8_buffers, word_table
 
 SAMPLE = 6000
 TERMS = 1024
@@ -162,7 +162,7 @@ def _likelihood_ratio(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
 def score_documents(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score and predicted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             score = machine.scores(*utf8_buffers(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()),
