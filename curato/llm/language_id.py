@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curato.llm.common import doc_runs, held_out, mix64, pieces, staged, table, utf8_buffers
+from curato.llm.common import doc_runs, freed, held_out, mix64, pieces, staged, table, utf8_buffers
 
 SAMPLE = 300
 GRAM = 4
@@ -50,7 +50,7 @@ PAIRED_LANGUAGES = 12    # with more languages symbols ignore the second one
 ROUNDS = 12
 PENALTY = 3.0            # log-likelihood that one more language must gain, besides half the log of the size
 PIECE = 1 << 20
-MAX_BROADCAST = 100_000  # picked ids; beyond, the join shuffles
+MAX_BROADCAST = 100_000  # rows of two columns; beyond, a join shuffles
 UNKNOWN = "und"
 
 # Separators: all ASCII but letters.  Bytes of other letters stay.
@@ -197,7 +197,9 @@ def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[b
     be picked are ranked at all."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     ids = own.select("doc_id", "lang", F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
-    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    sizes = staged(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language_sizes")
+    if sizes.count() <= MAX_BROADCAST:
+        sizes = F.broadcast(sizes)
     low = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) * F.col("size") <= 2 * per_language + 50
     picked = (ids.join(sizes, "lang").filter(low)
               .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
@@ -216,7 +218,7 @@ def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[b
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score and the number of languages found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             if model is None:
                 names = np.full(len(letters), UNKNOWN, dtype=object)
