@@ -36,13 +36,6 @@ NESTED_TAGS_SCHEMA = StructType([
     StructField("tags", ArrayType(TAG_SCHEMA)),
 ])
 
-NESTED_PICKS_SCHEMA = StructType([
-    StructField("key", StructType([StructField("hotel_id", LongType())])),
-    StructField("value", StructType([StructField("image_id", StringType()),
-                                     StructField("cdn_url", StringType())])),
-])
-
-
 def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Raw lines (``value`` string) of one or more JSONL files."""
     reader = spark.read

@@ -38,14 +38,10 @@ def write_split(checked: DataFrame, path: str, text_col: str = "value", mode: st
     return {"valid": f"{path}/valid=true", "rejected": f"{path}/valid=false"}
 
 
-def write_chunks(df: DataFrame, n: int, order, path: str, mode: str = "overwrite") -> None:
-    """Write ``df`` as n contiguous chunks (``chunk_id=1`` ... folders, JSON
-    lines), in ``order``; sizes are ceil(N/n), so there may be fewer than n."""
-    assign_chunks(df, n, order).write.mode(mode).partitionBy("chunk_id").json(path)
-
-
 def write_line_chunks(lines: DataFrame, n: int, order, path: str, text_col: str = "value",
                       mode: str = "overwrite") -> None:
-    """The same for raw lines: every chunk holds the input's lines unchanged."""
+    """Write raw lines as n contiguous chunks (``chunk_id=1`` ... folders), in
+    ``order``, each holding its lines unchanged; sizes are ceil(N/n), so there
+    may be fewer than n."""
     (assign_chunks(lines, n, order).select(text_col, "chunk_id")
      .write.mode(mode).partitionBy("chunk_id").text(path))
