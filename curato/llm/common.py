@@ -18,7 +18,6 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 HELD_OUT_FOLDS = 5
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

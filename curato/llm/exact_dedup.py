@@ -27,8 +27,6 @@ columns are ignored by ``find_copies`` and kept by ``dedup_stage``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession

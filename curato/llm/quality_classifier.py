@@ -34,7 +34,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from curato.llm.common import fit_sample, freed, held_out, table, utf8_buffers
 
