@@ -22,3 +22,37 @@ def test_largest_task_share_stays_below_hot_key_share():
     stages = re.findall(r"^\s*\d+\s+(\d+)\s+\d+\s+[0-9.]+$", out.stdout, re.M)
     assert len(stages) >= 5                      # the shuffles were measured
     assert float(m.group(1)) < 0.25               # a hot key in one task would be >= 1/3
+
+
+SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "8",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_hot_key_of_either_side_is_split(spark, how):
+    """A third of the right rows on one key: the adaptive join deals it to several tasks."""
+    from pyspark.sql import functions as F
+
+    from curato.operators.shape import enrich
+
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(20000).select(F.col("id").alias("image_id"), F.sha2(F.col("id").cast("string"), 256).alias("url"))
+        right = spark.range(120000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 15000).alias("image_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("tag"))
+        for a, b in ((left, right), (right.withColumnRenamed("tag", "url"), left.withColumnRenamed("url", "tag"))):
+            out = enrich(a.repartition(6), b.repartition(6), "image_id", how, stage_left=False)
+            rows = out.count()
+            assert rows == a.join(b, "image_id", how).count()
+            out = enrich(a.repartition(6), b.repartition(6), "image_id", how, stage_left=False)
+            out.write.format("noop").mode("overwrite").save()
+            out.foreach(lambda _: None)
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
