@@ -49,21 +49,19 @@ def _r(col: str) -> F.Column:
     return F.round(F.col(col), DIGITS).alias(col)
 
 
-def _inputs(spark: SparkSession, sf: str, materialize_picks: bool = False):
+def _inputs(spark: SparkSession, sf: str):
     images = images_view(spark, sf)
-    return images, tags_view(spark, sf), picks_view(spark, sf, images, materialize=materialize_picks)
+    return images, tags_view(spark, sf), picks_view(spark, sf, images)
 
 
-def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A, materialize_picks: bool = False):
+def _selection(spark: SparkSession, sf: str, policy: Policy = POLICY_A, materialize: bool | str = "scored"):
     """The reconciled relations.  The scored images are staged: two branches of
     every output read them, and without it each branch would rescan and
     reshuffle both inputs (exchange reuse does not apply once column pruning
     makes the branches differ).  Outputs that read the pick status in several
-    branches (change feed, metrics) stage it, the best picks and the derived
-    picks as well."""
-    images, tags, picks = _inputs(spark, sf, materialize_picks)
-    return (select_and_reconcile(images, tags, picks, policy, materialize=True if materialize_picks else "scored"),
-            images, tags, picks)
+    branches (change feed, metrics) stage it and the best picks as well."""
+    images, tags, picks = _inputs(spark, sf)
+    return select_and_reconcile(images, tags, picks, policy, materialize=materialize), images, tags, picks
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,11 +365,11 @@ def q_snapshot(spark, sf):
 
 
 def q_cdc(spark, sf):
-    return _selection(spark, sf, materialize_picks=True)[0].cdc
+    return _selection(spark, sf, materialize=True)[0].cdc
 
 
 def q_metrics(spark, sf):
-    return _selection(spark, sf, materialize_picks=True)[0].metrics
+    return _selection(spark, sf, materialize=True)[0].metrics
 
 
 # The flagship: best image per hotel with its score (and url).

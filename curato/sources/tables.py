@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curato.operators.ranking import rank_in_group
-from curato.session import stage
 
 # The url prefix of the image views and the offset of
 # current picks that point at images which no longer exist.
@@ -70,27 +69,21 @@ def tags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def picks_view(spark: SparkSession, sf_dir: str, images: DataFrame | None = None,
-               materialize: bool = False) -> DataFrame:
+def picks_view(spark: SparkSession, sf_dir: str, images: DataFrame | None = None) -> DataFrame:
     """Current picks (hotel_id, image_id, cdn_url): for each hotel not a
     multiple of 13, its (1 + hotel_id mod n)-th image by id; every 11th hotel
-    points at an image id that does not exist.
-
-    ``materialize`` stages the result (one row per hotel), as a stored
-    picks feed would be, so plans that read it in several branches do not
-    repeat the ranking behind it."""
+    points at an image id that does not exist."""
     images = images if images is not None else images_view(spark, sf_dir)
     ranked = rank_in_group(images.select("image_id", "hotel_id"), ["hotel_id"],
                            [F.col("image_id").asc_nulls_last()], rank_col="rn", size_col="n")
     h = F.col("hotel_id")
-    picks = (ranked
-             .filter((F.col("rn") == 1 + h % F.col("n")) & (h % 13 != 0))
-             .select(
-                 h,
-                 F.when(h % 11 == 0, F.lit(MISSING_IMAGE_BASE) + h).otherwise(F.col("image_id"))
-                 .alias("image_id"),
-                 F.concat(F.lit(CDN_PREFIX), F.col("image_id").cast("string")).alias("cdn_url")))
-    return stage(picks, "picks") if materialize else picks
+    return (ranked
+            .filter((F.col("rn") == 1 + h % F.col("n")) & (h % 13 != 0))
+            .select(
+                h,
+                F.when(h % 11 == 0, F.lit(MISSING_IMAGE_BASE) + h).otherwise(F.col("image_id"))
+                .alias("image_id"),
+                F.concat(F.lit(CDN_PREFIX), F.col("image_id").cast("string")).alias("cdn_url")))
 
 
 def nested_tags_view(spark: SparkSession, sf_dir: str) -> DataFrame:

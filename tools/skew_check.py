@@ -40,7 +40,7 @@ def skewed_inputs(spark, sf):
     tags = tags_view(spark, sf).withColumn(
         "image_id", F.when(F.hash("image_id", "version", "tag") % 3 == 0, F.lit(HOT_IMAGE))
         .otherwise(F.col("image_id")))
-    return images, tags, picks_view(spark, sf, images, materialize=True)
+    return images, tags, picks_view(spark, sf, images)
 
 
 def task_shares(event_dir: str, group: str):
