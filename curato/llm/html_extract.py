@@ -19,8 +19,9 @@ time and memory proportional to its length, and the tree goes to the tasks
 with the function.
 
 Defined cases.  Null or empty html gives the empty text; html without tags is
-one block.  Unclosed tags end with their parent or the page, stray closing
-tags are ignored, and a ``<`` that starts no tag is text.  Repeated pages give
+one block.  Unclosed tags end with their parent or the page (an unclosed script,
+style, iframe, textarea or title hides the rest of the page, as in a browser),
+stray closing tags are ignored, and a ``<`` that starts no tag is text.  Repeated pages give
 repeated rows; extra columns are not read.
 """
 
@@ -41,12 +42,20 @@ from curato.llm.common import freed, table
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select|title)\b(?:[^>]*)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^<>]*\Z",
     re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Elements without text of the page: what holds no tags runs to its end tag or the
+# page's end, and of the others an unclosed one ends with its parent.
+RAW = frozenset("script style iframe textarea title".split())
+SKIPPED = frozenset("noscript template svg object select".split())
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
+# Start tags that end an svg, unless they lie in one of its parts that hold HTML.
+BREAKOUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
+    listing menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var""".split())
+SVG_HTML = ("foreignobject", "desc", "title")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,6 +79,7 @@ class Block:
     heading: int = 0
 
 
+SKIP = -3   # place of what is inside a skipped element
 # Of these, the ones that a page's layout element may carry around its article.
 LAYOUT = frozenset("nav navbar navigation menu menus sidebar aside toolbar banner widget widgets share sharing".split())
 
@@ -78,6 +88,8 @@ def _place(tag: str, attributes: str, outer: int) -> int:
     """Where the content of an element lies, given where the element lies: 1 in
     the article, 0 nowhere, -1 in something with a layout name (an article
     inside it is one all the same), -2 in something else."""
+    if tag in SKIPPED or outer == SKIP:
+        return SKIP
     if outer == -2 or tag in OUTSIDE or tag == "header" and outer == 0:
         return -2
     names = {w for found in _NAMES.findall(attributes) for w in re.split(r"[^a-z]+", "".join(found).lower())} & OTHER
@@ -92,50 +104,88 @@ def blocks_of(page: str) -> list[Block]:
     """The non-empty text blocks of a page in order."""
     out: list[Block] = []
     open_: list[tuple[str, int]] = []   # enclosing elements with the place of their content
-    depth: dict[str, int] = {}
+    spots: dict[str, list[int]] = {}    # their positions in open_ by tag
     block, link, heading = Block(), False, 0
 
+    def place() -> int:
+        return open_[-1][1] if open_ else 0
+
     def cut() -> None:
         nonlocal block
+        if place() == SKIP:
+            return
         if any(not p.isspace() for p in block.parts if p):
             out.append(block)
-        block = Block(place=open_[-1][1] if open_ else 0, heading=heading)
+        block = Block(place=place(), heading=heading)
 
     def enter(tag: str, place: int) -> None:
+        spots.setdefault(tag, []).append(len(open_))
         open_.append((tag, place))
-        depth[tag] = depth.get(tag, 0) + 1
 
-    def close() -> str:
-        tag, _ = open_.pop()
-        depth[tag] -= 1
-        return tag
+    def last(tag: str) -> int:
+        """The position of the innermost open element of a tag, or -1."""
+        found = spots.get(tag)
+        return found[-1] if found else -1
+
+    def close(to: int) -> None:
+        """End the open elements from position ``to`` on."""
+        while len(open_) > to:
+            spots[open_.pop()[0]].pop()
 
     def text(part: str) -> None:
-        if part:
+        if part and place() != SKIP:
             block.parts.append(part)
             if link:
                 block.linked.append(part)
 
     at = 0
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         text(page[at:m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
-        if not tag or m[1]:
-            if m[1] and m[1].lower() in ("textarea", "select", "title"):
+        tag = (m[2] or "").lower()
+        if not tag:
+            continue
+        closing, attributes = bool(m[1]), m[3] or ""
+        if place() == SKIP:
+            if last("svg") > max(map(last, SVG_HTML)) and (tag == "p" if closing else tag in BREAKOUT):
+                while last("svg") > max(map(last, SVG_HTML)):
+                    close(last("svg"))
+            elif closing and tag in SKIPPED and last(tag) >= 0:
+                close(last(tag))
+                if tag == "select":
+                    cut()
+                continue
+        in_svg = last("svg") > max(map(last, SVG_HTML))
+        if tag in RAW and not closing and not in_svg:
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
+            if tag in ("textarea", "title"):
                 cut()
             continue
-        closing = bool(m[2])
+        if place() == SKIP or tag in SKIPPED:
+            if not closing:
+                if tag in ("noscript", "select") and last(tag) >= 0:
+                    close(last(tag))   # it cannot hold itself
+                if not (attributes.endswith("/") or tag in VOID or tag in INLINE):
+                    if tag == "select":
+                        cut()
+                    enter(tag, SKIP)
+                continue
+            if last(tag) < 0:
+                continue
+            if open_[last(tag)][1] == SKIP:
+                close(last(tag))
+                continue
         if tag == "a":
             link = not closing
             continue
         if tag in INLINE:
-            if not closing and "=" in (m[4] or "") and _place(tag, m[4], 0) < 0:
+            if not closing and "=" in attributes and _place(tag, attributes, 0) < 0:
                 cut()   # a named inline element is a block of its own
                 enter(tag, -2)
                 block.place = -2
             elif closing and open_ and open_[-1][0] == tag:
-                close()
+                close(len(open_) - 1)
                 cut()
             continue
         if tag in HEADINGS:
@@ -146,19 +196,19 @@ def blocks_of(page: str) -> list[Block]:
             if tag in ("br", "hr"):
                 cut()
             continue
-        named = tag not in LIGHT or "=" in (m[4] or "")
+        named = tag not in LIGHT or "=" in attributes
         if closing:
-            if depth.get(tag):   # a stray closing tag has nothing to end
-                while close() != tag:
-                    pass
+            if last(tag) >= 0:   # a stray closing tag has nothing to end
+                close(last(tag))
             link = False
-        elif named and not (m[4] or "").endswith("/"):
-            outer = open_[-1][1] if open_ else 0
-            where = _place(tag, m[4] or "", outer)
+        elif named and not attributes.endswith("/"):
+            outer = place()
+            where = _place(tag, attributes, outer)
             if tag not in LIGHT or where != outer and tag not in ("html", "body"):
                 enter(tag, where)
         cut()
     text(page[at:])
+    close(0)
     cut()
     return out
 

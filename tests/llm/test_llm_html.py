@@ -37,6 +37,30 @@ def test_pages(page, text):
     assert H.main_text(page, TREE) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one</p><svg class=\"i\"/><p>two</p></article>", "one two"),
+    ("<article><p>one</p><svg class='i' data-x='a>b' /><p>two</p></article><svg><text>no</text></svg>", "one two"),
+    ("<article><p>one</p><svg-icon></svg-icon><p>two</p><p>three</p></article>", "one two three"),
+    ("<article><select-menu>a</select-menu><title-bar>b</title-bar><object-viewer>c</object-viewer></article>", "a b c"),
+    ("<article><p>one</p><svg><path d=''><p>two</p></article>", "one two"),
+    ("<article><p>one<svg><title/><g><svg><text>no</text></svg></g><text>no</text></svg>s</p><p>two</p></article>", "ones two"),
+    ("<article><p>one</p><svg><foreignObject><p>no</p></foreignObject><desc>no</desc></svg><p>two</p></article>", "one two"),
+    ("<main><article>one<object data=x>no</article>two<noscript>no</main>", "one two"),
+    ("<article>one<object><object>no</object>no</object>two<template><div>no</div></template>three</article>",
+     "onetwothree"),
+    ("<article>one<noscript></noscript>two<script>no</script >three</article>", "onetwothree"),
+    ("<article>one<iframe>no</article>", "one"),
+])
+def test_skipped_elements_end_where_html_ends_them(page, text):
+    assert H.main_text(page, TREE) == text
+
+
+def test_unclosed_skipped_elements_take_linear_time():
+    for tag in ("svg", "object", "noscript", "select", "template", "title"):
+        assert H.main_text("<article>x</article>" + f"<{tag}>" * 50_000, TREE) == "x"
+    assert H.main_text("<article>" + "<svg/>x" * 50_000, TREE) == "x" * 50_000
+
+
 def test_page_without_article_by_words_and_links():
     prose = "this paragraph has many plain words in it and goes on for a while " * 2
     page = f"<ul><li><a href=1>a</a><li><a href=2>b</a></ul><div><p>{prose}</p><p>{prose}</p></div><ul><li><a>c</a><li><a>d</a></ul>"
