@@ -21,7 +21,8 @@ with the function.
 Defined cases.  Null or empty html gives the empty text; html without tags is
 one block.  Unclosed tags end with their parent or the page (an unclosed script,
 style, iframe, textarea or title hides the rest of the page, as in a browser),
-stray closing tags are ignored, and a ``<`` that starts no tag is text.  Repeated pages give
+an opening paragraph, block, list item, table part or option ends what HTML ends
+there, stray closing tags are ignored, and a ``<`` that starts no tag is text.  Repeated pages give
 repeated rows; extra columns are not read.
 """
 
@@ -61,6 +62,24 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LIGHT = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6 thead tbody tfoot html body head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What HTML ends at a start tag: open elements of some kinds, as far out as the nearest that bounds them.
+_BOX = frozenset("button caption table td th marquee applet".split()) | SKIPPED | frozenset(SVG_HTML)
+_ITEM = _BOX | HEADINGS | frozenset("""article aside blockquote body center details dialog dir dl fieldset figcaption
+    figure footer form frameset header hgroup html iframe listing main menu nav ol optgroup pre search section summary
+    tbody tfoot thead tr ul""".split())
+_TABLE = SKIPPED | frozenset(SVG_HTML) | {"table"}
+BOUNDS = {"p": "in_box", "li": "in_list", "dt": "in_terms", "dd": "in_terms", "option": "in_list", "optgroup": "in_box",
+          **dict.fromkeys("td th tr thead tbody tfoot caption".split(), "in_table"), **dict.fromkeys(HEADINGS, "in_box")}
+_WITHIN = {"in_box": _BOX, "in_list": _ITEM | {"dd", "dt"}, "in_terms": _ITEM | {"li"}, "in_table": _TABLE}
+KEYS = {tag: (tag, *(k for k, tags in _WITHIN.items() if tag in tags)) for tag in frozenset().union(*_WITHIN.values())}
+_CELLS = ("td", "th", "caption")
+_ROWS = ("tr", *_CELLS)
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
+        "td": _CELLS, "th": _CELLS, "tr": _ROWS,
+        **dict.fromkeys("thead tbody tfoot caption".split(), ("thead", "tbody", "tfoot", *_ROWS))}
+ENDS_P = HEADINGS | frozenset("""address article aside blockquote center dd details dialog dir div dl dt fieldset
+    figcaption figure footer form header hgroup hr li listing main menu nav ol p pre search section summary table
+    ul""".split())
 INSIDE = frozenset("article main".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog button".split())
 # Words of a class, id or role that name something else than the article.
@@ -104,7 +123,7 @@ def blocks_of(page: str) -> list[Block]:
     """The non-empty text blocks of a page in order."""
     out: list[Block] = []
     open_: list[tuple[str, int]] = []   # enclosing elements with the place of their content
-    spots: dict[str, list[int]] = {}    # their positions in open_ by tag
+    spots: dict[str, list[int]] = {}    # their positions in open_ by tag, and by what they bound
     block, link, heading = Block(), False, 0
 
     def place() -> int:
@@ -119,7 +138,8 @@ def blocks_of(page: str) -> list[Block]:
         block = Block(place=place(), heading=heading)
 
     def enter(tag: str, place: int) -> None:
-        spots.setdefault(tag, []).append(len(open_))
+        for key in KEYS.get(tag, (tag,)):
+            spots.setdefault(key, []).append(len(open_))
         open_.append((tag, place))
 
     def last(tag: str) -> int:
@@ -130,7 +150,15 @@ def blocks_of(page: str) -> list[Block]:
     def close(to: int) -> None:
         """End the open elements from position ``to`` on."""
         while len(open_) > to:
-            spots[open_.pop()[0]].pop()
+            tag, _ = open_.pop()
+            for key in KEYS.get(tag, (tag,)):
+                spots[key].pop()
+
+    def end(*tags: str) -> None:
+        """End the open elements of some kinds that nothing open bounds."""
+        edge = last(BOUNDS[tags[0]])
+        while (inner := max(map(last, tags))) > edge:
+            close(inner)
 
     def text(part: str) -> None:
         if part and place() != SKIP:
@@ -157,8 +185,8 @@ def blocks_of(page: str) -> list[Block]:
                 continue
         in_svg = last("svg") > max(map(last, SVG_HTML))
         if tag in RAW and not closing and not in_svg:
-            end = _RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
+            stop = _RAW_END[tag].search(page, at)
+            at = stop.end() if stop else len(page)
             if tag in ("textarea", "title"):
                 cut()
             continue
@@ -192,19 +220,32 @@ def blocks_of(page: str) -> list[Block]:
             heading = 0 if closing else 1
         elif tag in ("p", "li", "div", "section"):
             heading = 0
+        if not closing:
+            if tag in ENDS:
+                end(*ENDS[tag])
+            if tag in ENDS_P:
+                end("p")
+            if tag in HEADINGS and open_ and open_[-1][0] in HEADINGS:
+                close(len(open_) - 1)
         if tag in VOID:
             if tag in ("br", "hr"):
                 cut()
             continue
-        named = tag not in LIGHT or "=" in attributes
         if closing:
-            if last(tag) >= 0:   # a stray closing tag has nothing to end
+            if tag in HEADINGS:
+                inner = max(map(last, HEADINGS))
+                if inner > last("in_box"):
+                    close(inner)
+            elif tag in BOUNDS:
+                if last(tag) > last(BOUNDS[tag]):
+                    close(last(tag))
+            elif last(tag) >= 0:   # a stray closing tag has nothing to end
                 close(last(tag))
             link = False
-        elif named and not attributes.endswith("/"):
+        elif not attributes.endswith("/"):
             outer = place()
-            where = _place(tag, attributes, outer)
-            if tag not in LIGHT or where != outer and tag not in ("html", "body"):
+            where = _place(tag, attributes, outer) if tag not in LIGHT or "=" in attributes else outer
+            if tag not in ("html", "body", "head") or where != outer and tag == "head":
                 enter(tag, where)
         cut()
     text(page[at:])

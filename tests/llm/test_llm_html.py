@@ -55,6 +55,34 @@ def test_skipped_elements_end_where_html_ends_them(page, text):
     assert H.main_text(page, TREE) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p class=\"ad\">buy<p>real text<p>more</article>", "real text more"),
+    ("<article><p class=ad>buy<p>real</p>more</article>", "real more"),
+    ("<article><p class=ad>buy<div>real</div></article>", "real"),
+    ("<article><p class=ad>buy <b>now <span>here<h2>real</h2>text</article>", "real text"),
+    ("<article><p class=ad>buy<button><p>no</p></button>no<p>real</article>", "real"),
+    ("<article><p>one<noscript><p>no</p></noscript>s<p>two</article>", "ones two"),
+    ("<article><ul><li class=ad>buy<li>one<li><p>two</ul>three</article>", "one two three"),
+    ("<article><ul><li class=ad>buy<ul><li>no</li></ul>no<li>one</ul>two</article>", "one two"),
+    ("<article><ul><li class=ad><div>buy<li>one</ul></article>", "one"),
+    ("<article><dl><dt class=ad>buy<dd>one<dd class=ad>buy<dl><dd>no</dl>no<dt>two</dl></article>", "one two"),
+    ("<article><table><tr><td class=ad>buy<td>one<tr class=ad><td>buy<tr><th>two</table></article>", "one two"),
+    ("<article><table><tr><td class=ad>buy<table><tr><td>no<tr><td>no</table>no<td>one</table></article>", "one"),
+    ("<article><table><thead class=ad><tr><td>buy<tbody><tr><td>one</table></article>", "one"),
+    ("<article><datalist><option class=ad>buy<option>one</datalist></article>", "one"),
+    ("<article><h2 class=ad>buy<h3>one</h3>two</article>", "one two"),
+    ("<article><h2 class=ad>buy</h3>one</article>", "one"),
+])
+def test_implied_end_tags(page, text):
+    assert H.main_text(page, TREE) == text
+
+
+def test_implied_end_tags_take_linear_time():
+    for inner in ("<div>", "</li>", "</p>", "<p>", "<li>", "<td>", "<h2>", "</h2>", "<x-y>"):
+        page = "<article>x<ul><li><p><button>" + "<div>" * 50_000 + inner * 50_000
+        assert H.main_text(page, TREE) == "x"
+
+
 def test_unclosed_skipped_elements_take_linear_time():
     for tag in ("svg", "object", "noscript", "select", "template", "title"):
         assert H.main_text("<article>x</article>" + f"<{tag}>" * 50_000, TREE) == "x"
