@@ -77,6 +77,40 @@ def test_implied_end_tags(page, text):
     assert H.main_text(page, TREE) == text
 
 
+PROSE = "this paragraph has many plain words in it and goes on for a while"
+
+
+@pytest.mark.parametrize("name", [
+    "id=discussion", "id='related-work'", "id=legal-framework", "id=search-algorithms", "class='post no-comments'",
+    "data-class=ad", "data-id='comments'", "title='a class=ad b'", "id=cookies", "class=discussion",
+    "aria-label='Search and recommendations'"])
+def test_article_text_in_named_elements_stays(name):
+    page = f"<article><p>x</p><section {name}><h2>Work</h2><p>{PROSE}</p><p>short</p></section>y</article>"
+    assert H.main_text(page, TREE) == f"x Work {PROSE} short y"
+    page = f"<div {name}><p>{PROSE}</p><p>{PROSE}</p></div>"
+    if name != "id=cookies":
+        assert H.main_text(page, TREE) == f"{PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("name", [
+    "class=ad", "class='box comments'", "role=search", "role=complementary", "class=\"x\"id=y role=banner"])
+def test_sure_names_veto_in_an_article(name):
+    assert H.main_text(f"<article>x<div {name}><p>{PROSE}</p></div>y</article>", TREE) == "x y"
+
+
+@pytest.mark.parametrize("name", ["id=related-posts", "class=related", "class='share-links'", "id=discussion"])
+def test_links_under_a_name_in_doubt_are_left_out(name):
+    page = f"<article><p>{PROSE}</p><div {name}><h3>More</h3><ul><li><a>one two</a><li><a>three</a></ul></div></article>"
+    assert H.main_text(page, TREE) == PROSE
+    page = f"<article><p>{PROSE}</p><div {name}><a>one two</a></div><p>{PROSE}</p></article>"
+    assert H.main_text(page, TREE) == f"{PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("name", ["id=cookie-notice", "class=comment-list", "id=ad-1", "class=newsletter-form"])
+def test_sure_names_veto_outside_an_article(name):
+    assert H.main_text(f"<div {name}><p>{PROSE}</p></div><div><p>{PROSE} too</p></div>", TREE) == f"{PROSE} too"
+
+
 def test_implied_end_tags_take_linear_time():
     for inner in ("<div>", "</li>", "</p>", "<p>", "<li>", "<td>", "<h2>", "</h2>", "<x-y>"):
         page = "<article>x<ul><li><p><button>" + "<div>" * 50_000 + inner * 50_000
