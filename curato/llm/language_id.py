@@ -18,7 +18,7 @@ one short count vector, whatever its length, and all documents of a batch go
 through the inference together.
 
 Learning.  At most ``SAMPLE`` documents of each language of the learning folds
-are counted, picked by a hash of the id.  The model is a fixed-size table.
+are counted, picked by a hash of the id; of rows that repeat an id in a language one counts.  The model is a fixed-size table.
 
 Scale.  Prediction is one pass over Arrow batches without a shuffle; texts are
 read whole, in pieces of at most ``PIECE`` bytes.
@@ -192,25 +192,26 @@ def learn(sample: Sequence[tuple[bytes, str]]) -> Model | None:
 
 def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[bytes, str]]:
     """At most ``per_language`` (text, language) rows of each language of the
-    learning folds.  Ids are picked first, so only the picked texts move; and
-    of a language with many documents only those whose hash lies low enough to
-    be picked are ranked at all."""
+    learning folds.  An id counts once in a language, however often it repeats,
+    and brings its smallest text.  Ids are picked first, so only the picked
+    texts move; and of a language with many ids only those whose hash lies low
+    enough to be picked are ranked at all."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     ids = own.select("doc_id", "lang", F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
-    sizes = staged(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language_sizes")
+    sizes = staged(ids.select("doc_id", "lang").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("size")),
+                   "language_sizes")
     if sizes.count() <= MAX_BROADCAST:
         sizes = F.broadcast(sizes)
     low = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) * F.col("size") <= 2 * per_language + 50
-    picked = (ids.join(sizes, "lang").filter(low)
+    picked = (ids.join(sizes, "lang").filter(low).select("doc_id", "lang", "h").distinct()
               .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
               .filter(F.col("k") <= per_language)
-              .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("lang").alias("l"))
-              .distinct())
+              .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("lang").alias("l")))
     picked = staged(picked, "language_ids")
     if picked.count() <= MAX_BROADCAST:
         picked = F.broadcast(picked)
     same = (F.coalesce(own["doc_id"].cast("string"), F.lit("")) == picked["id"]) & (own["lang"] == picked["l"])
-    rows = (own.join(picked, same).select(F.col("text").cast("binary").alias("t"), "lang")
+    rows = (own.join(picked, same).groupBy("id", "lang").agg(F.min("text").cast("binary").alias("t"))
             .orderBy("lang", F.xxhash64("t")).collect())
     return [(bytes(r["t"]), r["lang"]) for r in rows]
 

@@ -151,6 +151,18 @@ def test_mixture_finds_the_languages_of_a_document():
     assert score[2] == pytest.approx(share.max())
 
 
+def test_language_sample_counts_a_repeated_id_once(spark):
+    ids = [i for i in range(200) if not held(i)]
+    rows = [(i, f"text {i} {j}", "aa") for i in ids[:40] for j in range(30)]        # every id repeats
+    rows += [(i, f"text {i}", "bb") for i in ids[40:80]]
+    rows += [(i, f"copy {j:04}", f"l{i}") for i in ids[80:84] for j in range(500)]   # one id is the language
+    got = L.language_sample(documents(spark, rows), 10)
+    texts = {lang: [t.decode() for t, x in got if x == lang] for _, lang in got}
+    assert {k: len(v) for k, v in texts.items()} == {"aa": 10, "bb": 10} | {f"l{i}": 1 for i in ids[80:84]}
+    assert all(t.endswith(" 0") for t in texts["aa"]) and len(set(texts["aa"])) == 10
+    assert all(texts[f"l{i}"] == ["copy 0000"] for i in ids[80:84])
+
+
 @pytest.mark.parametrize("kind", ["quality", "toxic", "lang"])
 def test_odd_rows_and_empty_tables(spark, kind):
     df = odd_documents(spark)
