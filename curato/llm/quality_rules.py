@@ -14,8 +14,9 @@ decides speed only, never a result.
 
 Scale.  Everything is computed inside a document's row: no shuffle, no Python.
 Repeated windows are found by sorting a row's own packed (hash, position)
-numbers and comparing the words of neighbours, so a collision of hashes alone
-never counts as a repeat.
+numbers and comparing the words of neighbours of equal hash; where these differ,
+all windows of equal hashes are sorted by their words instead, so a collision
+of hashes neither counts as a repeat nor hides one.
 
 Defined cases.  A null text has no words and fails the base rule.  Texts of
 over 16.7 million words are counted by a slower form with the same result.
@@ -105,22 +106,34 @@ def _repeat_words(words: Column, n: Column) -> Column:
     def packed(i: Column) -> Column:
         return F.shiftleft(_window_hash(words, i), POSITION_BITS).bitwiseOR(i.cast("long"))
 
-    def repeats(s: Column) -> Column:
-        def twice(x: Column, i: Column) -> Column:
-            def like(y: Column) -> Column:
-                close = F.shiftright(x, POSITION_BITS) == F.shiftright(y, POSITION_BITS)
-                return close & _same_window(words, x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int"))
-            return F.coalesce(like(F.get(s, i + 1)), F.lit(False)) | F.coalesce(like(F.get(s, i - 1)), F.lit(False))
-        return F.transform(F.filter(s, twice), lambda x: x.bitwiseAND(mask).cast("int"))
-
-    fast = _covered(_bound(F.array_sort(F.transform(windows, packed)), repeats))
-    # Positions past 24 bits: the same with (words, position) entries in place of packed numbers.
-    entries = F.array_sort(F.transform(windows, lambda i: F.struct(
-        F.concat_ws(" ", F.slice(words, i + 1, F.lit(WINDOW))).alias("w"), i.alias("p"))))
-    slow = _covered(_bound(entries, lambda s: F.transform(
-        F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1)["w"] == x["w"], F.lit(False))
-                 | F.coalesce(F.get(s, i - 1)["w"] == x["w"], F.lit(False))), lambda x: x["p"])))
-    return F.when(n < WINDOW, F.lit(0).cast("long")).when(n < (1 << POSITION_BITS), fast).otherwise(slow)
+    def position(x: Column) -> Column:
+        return x.bitwiseAND(mask).cast("int")
+
+    def close(x: Column, y: Column) -> Column:
+        return F.coalesce(F.shiftright(x, POSITION_BITS) == F.shiftright(y, POSITION_BITS), F.lit(False))
+
+    def exact(starts: Column) -> Column:
+        """The same from (words, position) entries: for positions past 24 bits and colliding hashes."""
+        entries = F.array_sort(F.transform(starts, lambda i: F.struct(
+            F.concat_ws(" ", F.slice(words, i + 1, F.lit(WINDOW))).alias("w"), i.alias("p"))))
+        return _covered(_bound(entries, lambda s: F.transform(
+            F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1)["w"] == x["w"], F.lit(False))
+                     | F.coalesce(F.get(s, i - 1)["w"] == x["w"], F.lit(False))), lambda x: x["p"])))
+
+    def shared(s: Column) -> Column:
+        """The entries of the runs of two or more equal hashes."""
+        return F.filter(s, lambda x, i: close(x, F.get(s, i + 1)) | close(x, F.get(s, i - 1)))
+
+    def counted(s: Column) -> Column:
+        # Runs whose neighbours all have the same words hold one window each, and all of it repeats.
+        clash = F.filter(s, lambda x, i: close(x, F.get(s, i + 1))
+                         & ~_same_window(words, position(x), position(F.get(s, i + 1))))
+        starts = F.transform(s, position)
+        return F.when(F.size(clash) == 0, _covered(starts)).otherwise(exact(starts))
+
+    fast = _bound(_bound(F.array_sort(F.transform(windows, packed)), shared), counted)
+    return (F.when(n < WINDOW, F.lit(0).cast("long")).when(n < (1 << POSITION_BITS), fast)
+            .otherwise(exact(windows)))
 
 
 def with_base_counts(docs: DataFrame) -> DataFrame:

@@ -43,6 +43,16 @@ def test_slow_form_counts_the_same(spark, monkeypatch):
     assert got == brute_base("a b c x a b c y a b a b a b")[4]
 
 
+def test_colliding_hashes_hide_no_repeat(spark, monkeypatch):
+    texts = ["a b c x a b c", "a b c x y z a b c x y z q", "a b c d e f g", "u v w a b c u v w a b d u v w", "a a a a b a a a"]
+    df = documents(spark, list(enumerate(texts)))
+    expected = sorted(((r.doc_id, *brute_base(r.text)) for r in df.collect()), key=str)
+    for hashed in (lambda words, i: F.lit(7).cast("long"), lambda words, i: F.length(F.get(words, i)).cast("long"),
+                   lambda words, i: F.xxhash64(F.get(words, i))):
+        monkeypatch.setattr(Q, "_window_hash", hashed)
+        assert base_of(Q.judge_quality(df)) == expected
+
+
 def test_order_of_rules_never_changes_the_verdict(spark):
     rows = [(1, " ".join(f"fair{chr(97 + i % 26)}{chr(97 + i // 26)} word" for i in range(60))), (2, " ".join(f"W{i}*** %%% &&&" for i in range(60))),
             (3, " ".join(f"WORD{chr(65 + i % 26)}{chr(65 + i // 26)}" for i in range(80))),
