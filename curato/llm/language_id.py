@@ -12,9 +12,10 @@ the chosen set, and that proportion is the score.
 The n-grams are ``GRAM`` bytes of the text, lower-cased, with everything but
 letters as one separator value, hashed into ``2 ** BUCKET_BITS`` buckets.
 Buckets that tell languages apart in the same way (the same likeliest and
-second language and the same odds, in ``LEVELS`` steps) form one symbol, and
-the model is each language's distribution over the symbols; so a document is
-one short count vector, whatever its length, and all documents of a batch go
+second language and the same odds, in ``LEVELS`` steps) form one symbol; of a
+likeliest language the ``CLOSE`` commonest second ones are told apart and the
+others count as one, whatever the number of languages.  The model is each
+language's distribution over the symbols; so a document is one short count vector, whatever its length, and all documents of a batch go
 through the inference together.
 
 Learning.  At most ``SAMPLE`` documents of each language of the learning folds
@@ -46,7 +47,8 @@ SAMPLE = 300
 GRAM = 4
 BUCKET_BITS = 17
 LEVELS = 12
-PAIRED_LANGUAGES = 12    # with more languages symbols ignore the second one
+CLOSE = 11               # of each language, the second languages that symbols tell apart
+CELLS = 1 << 22          # counts of documents by symbols that are in memory at once
 ROUNDS = 12
 PENALTY = 3.0            # log-likelihood that one more language must gain, besides half the log of the size
 PIECE = 1 << 20
@@ -153,8 +155,9 @@ class Model:
         return pred, score, size
 
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out = [self.infer(self.counts(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]))
-               for a, b in doc_runs(offsets, PIECE)]
+        most = max(1, CELLS // len(self.chance))
+        out = [self.infer(self.counts(raw[offsets[c]:offsets[d]], offsets[c:d + 1] - offsets[c]))
+               for a, b in doc_runs(offsets, PIECE) for c in range(a, b, most) for d in [min(b, c + most)]]
         if not out:
             return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -177,9 +180,12 @@ def learn(sample: Sequence[tuple[bytes, str]]) -> Model | None:
     lead = np.take_along_axis(odds, order[:1], 0)[0]
     level = np.minimum((lead * LEVELS).astype(np.int64), LEVELS - 1)
     key = order[0] * LEVELS + level
-    if 1 < len(langs) <= PAIRED_LANGUAGES:
-        key = key * len(langs) + order[1]
     seen = counts.sum(0) > 0
+    second = order[min(1, len(langs) - 1)]
+    common = np.zeros((len(langs), len(langs)))   # n-grams by likeliest and second language
+    np.add.at(common, (order[0][seen], second[seen]), counts.sum(0)[seen])
+    rank = np.argsort(np.argsort(-common, axis=1, kind="stable"), axis=1)
+    key = key * (len(langs) + 1) + np.where(rank[order[0], second] < CLOSE, second, len(langs))
     used, symbol = np.unique(key[seen], return_inverse=True)
     place = np.zeros(size, dtype=np.int32)
     place[seen] = symbol + 1

@@ -151,6 +151,20 @@ def test_mixture_finds_the_languages_of_a_document():
     assert score[2] == pytest.approx(share.max())
 
 
+@pytest.mark.parametrize("others", [9, 10, 20])
+def test_close_languages_stay_apart_at_any_number_of_languages(others):
+    rng = random.Random(8)
+    # Each word of a, b and c is in two of them, so only the pair of its languages tells them apart.
+    both = {x: [f"{x[0]}{''.join(rng.choices(letters, k=5))}" for _ in range(40)]
+            for x, letters in {"ab": "abcdef", "ac": "ghijkl", "bc": "mnopqr"}.items()}
+    vocab = {x: [w for k, v in both.items() if x in k for w in v] for x in "abc"}
+    vocab |= {f"z{i:02}": ["".join(rng.choices("stuvwxyz", k=6)) for _ in range(40)] for i in range(others)}
+    model = L.learn([(" ".join(rng.choices(vocab[k], k=100)).encode(), k) for k in vocab for _ in range(15)])
+    names = [k for k in "abc" for _ in range(200)]
+    pred, _, _ = model.predict(*packed([" ".join(rng.choices(vocab[k], k=4)) for k in names]))
+    assert np.mean([model.langs[p] == k for p, k in zip(pred, names, strict=True)]) > 0.92
+
+
 def test_language_sample_counts_a_repeated_id_once(spark):
     ids = [i for i in range(200) if not held(i)]
     rows = [(i, f"text {i} {j}", "aa") for i in ids[:40] for j in range(30)]        # every id repeats
