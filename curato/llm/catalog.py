@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from curato.llm import (exact_dedup, html_extract, language_id, near_dedup, quality_classifier, quality_rules,
-                        sentencepiece_bpe, source_mix, toxicity, url_filter)
+from curato.llm import (decontaminate, exact_dedup, html_extract, language_id, near_dedup, quality_classifier,
+                        quality_rules, sentencepiece_bpe, source_mix, toxicity, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_bpe.op8_sentencepiece,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_decontaminate": decontaminate.op11_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +26,5 @@ ORACLE = {
     "op3_source_mix": source_mix.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
+    "op11_decontaminate": decontaminate.ORACLE,
 }
