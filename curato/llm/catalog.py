@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from curato.llm import (decontaminate, exact_dedup, html_extract, language_id, near_dedup, quality_classifier,
-                        quality_rules, sentencepiece_bpe, source_mix, toxicity, url_filter)
+from curato.llm import (decontaminate, exact_dedup, hard_negatives, html_extract, language_id, near_dedup,
+                        quality_classifier, quality_rules, sentencepiece_bpe, source_mix, toxicity, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_decontaminate": decontaminate.op11_decontaminate,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +28,5 @@ ORACLE = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
     "op11_decontaminate": decontaminate.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
