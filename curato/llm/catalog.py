@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from curato.llm import (decontaminate, exact_dedup, hard_negatives, html_extract, language_id, near_dedup,
-                        quality_classifier, quality_rules, sentencepiece_bpe, source_mix, toxicity, url_filter)
+                        prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, source_mix, toxicity,
+                        url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -19,6 +20,7 @@ QUERIES = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_decontaminate": decontaminate.op11_decontaminate,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +31,5 @@ ORACLE = {
     "op7_url_filter": url_filter.ORACLE,
     "op11_decontaminate": decontaminate.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
