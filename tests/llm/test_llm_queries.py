@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_registered_once_per_operator():
     names = [k.split("_")[0] for k in QUERIES]
-    assert sorted(names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(names) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
