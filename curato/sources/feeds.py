@@ -9,11 +9,13 @@ a directory (e.g. ``"*.jsonl"``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
+from curato.session import stage
+
 IMAGES_SCHEMA = StructType([
     StructField("image_id", StringType()),
     StructField("hotel_id", LongType()),
@@ -44,6 +46,38 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
     return reader.text(path)
 
 
+#: Splits whose first line numbers are sent to every task; beyond, the join is left to the planner.
+MAX_SPLITS = 200_000
+
+
+def number_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, keep_blank: bool = True,
+                 tables: list[str] | None = None) -> DataFrame:
+    """Lines with their places: ``value``, ``file`` (its path), ``line`` (from 1,
+    within the file) and ``position`` (from 0, over all files in order of their paths).
+
+    A scan carries no line numbers, but it reads a split in order.  The lines are
+    staged once with their split and a running number of the scan, so later readers
+    see the same splits whatever executors the cluster has then; counts per split,
+    summed over the splits before it, turn these into line numbers.  No line is
+    sorted or shuffled: only one row per split is.  Blank lines count, and
+    ``keep_blank=False`` leaves them out afterwards."""
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    scanned = read_lines(spark, path, glob).select("value", *split).withColumn("seq", F.monotonically_increasing_id())
+    lines = stage(scanned, "lines", tables)
+    splits = lines.groupBy("file", "block").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_all = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)     # one row per split
+    starts = stage(splits.select("file", "block", "first", "n",
+                                 F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("before"),
+                                 F.coalesce(F.sum("n").over(in_all), F.lit(0)).alias("all_before")), "splits", tables)
+    side = starts.drop("n")
+    side = F.broadcast(side) if starts.count() <= MAX_SPLITS else side
+    at = F.col("seq") - F.col("first")
+    out = lines.join(side, ["file", "block"]).select(
+        "value", "file", (F.col("before") + at + 1).alias("line"), (F.col("all_before") + at).alias("position"))
+    return out if keep_blank else out.filter(F.col("value").rlike(r"\S"))
+
+
 def read_typed(spark: SparkSession, path: str | list[str], schema: StructType,
                glob: str | None = None) -> DataFrame:
     """Typed JSONL scan with an explicit schema; values of the wrong type

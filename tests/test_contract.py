@@ -153,8 +153,9 @@ def test_contract_from_a_json_schema(spark):
 
 @pytest.mark.parametrize("schema", [
     {"type": "array"}, {"properties": {"a": {"oneOf": []}}}, {"properties": {"a": {"type": "date"}}},
-    {"properties": {"a": {"format": "email"}}}, {"additionalProperties": {"type": "string"}}, {"$ref": "#/x"},
-    {"properties": {"a": {"items": [{"type": "string"}]}}}, {"properties": {"a": {"enum": [[1]]}}},
+    {"properties": {"a": {"unevaluatedItems": False}}}, {"$ref": "#/x"}, {"$ref": "other.json"},
+    {"properties": {"a": {"minimum": 1, "exclusiveMinimum": True}}}, {"properties": {"a": {"enum": [[1]]}}},
+    {"properties": {"a": {"anyOf": [{"type": "null"}, {"$ref": "#"}]}}}, {"properties": {"a": 3}},
     {"required": ["a"], "additionalProperties": False}])
 def test_what_a_contract_cannot_check_raises(schema):
     with pytest.raises(ValueError):
