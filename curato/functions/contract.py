@@ -659,8 +659,8 @@ class _Compiler:
                 p.shown.alias("path"), F.lit(p.label.rsplit(":", 1)[1]).alias("rule"), F.lit(p.expected).alias("expected"),
                 p.found.alias("found"), self.full(p.label).alias("label"))) for p in parts if isinstance(p, _Check)]
             many = [p.found for p in parts if isinstance(p, _Many)]
-            own = F.array_compact(F.array(*one)).cast(DETAIL) if one else self.none()
-            return F.array_distinct(F.concat(own, *many)) if many else F.array_distinct(own)
+            own = F.array_except(F.array(*one), F.array(F.lit(None))).cast(DETAIL) if one else self.none()
+            return F.array_distinct(F.concat(own, *many)) if many else own
         own = [F.when(p.cond, F.lit(p.label)) for p in parts if isinstance(p, _Check)]
         many = [p.found for p in parts if isinstance(p, _Many)]
         flat = F.array_except(F.array(*own), F.array(F.lit(None).cast("string"))) if own else self.none()

@@ -1,9 +1,9 @@
 """Contiguous chunks by position (W09) and joins against chunk sets.
 
-The original splits a file into n slices of ceil(N/n) lines in file order.
-A Spark scan carries no line order, so the order is an explicit unique key.
-Positions come from ``rank_in_group`` over one constant group: a range
-exchange plus per-partition offsets, never a one-partition window over data.
+The original splits a file into n slices of ceil(N/n) lines in file order:
+``chunks_by_position`` over numbered lines.  For tables, whose rows have no order of
+their own, ``assign_chunks`` takes an explicit unique key: a range exchange plus
+per-partition offsets, never a one-partition window over data.
 """
 
 from __future__ import annotations
@@ -31,6 +31,17 @@ def assign_chunks(df: DataFrame, n: int, order: Sequence[Column],
             .drop("__all", "__pos", "__total"))
 
 
+def chunks_by_position(lines: DataFrame, n: int, chunk_col: str = "chunk_id") -> DataFrame:
+    """Add ``chunk_col`` to lines whose ``position`` (0 .. N - 1) is known, as
+    ``feeds.number_lines`` gives it: slices of ceil(N/n) lines in file order.  No
+    row moves; N is one number."""
+    if n <= 0:
+        raise ValueError("the number of chunks must be positive")
+    total = lines.agg(F.max("position")).first()[0]
+    size = -(-(0 if total is None else total + 1) // n) or 1
+    return lines.withColumn(chunk_col, (F.expr(f"position div {size}") + 1).cast("int"))
+
+
 def join_chunks(df: DataFrame, chunks: DataFrame, key: str, mode: str = "union",
                 chunk_col: str = "chunk_id") -> DataFrame:
     """Join ``df`` with a set of chunks (rows tagged by ``chunk_col``).

@@ -16,22 +16,33 @@ from curato.session import stage
 
 _LINE = "__line"
 _ALLOW = "spark.sql.variant.allowDuplicateKeys"
+_END = "end of line"
 
 
-def parse_records(raw: DataFrame, text_col: str = "value", repeated: str = "reject") -> DataFrame:
-    """Drop blank lines (white space only) and parse the rest into a VARIANT
-    column ``record``, null when the line is null or not JSON.
+def is_blank(text_col: str = "value") -> Column:
+    """White space only; a null line is not blank."""
+    return F.coalesce(~F.col(text_col).rlike(r"\S"), F.lit(False))
+
+
+def parse_records(raw: DataFrame, text_col: str = "value", repeated: str = "reject", keep_blank: bool = False) -> DataFrame:
+    """Drop blank lines (white space only; unless ``keep_blank``) and parse the rest
+    into a VARIANT column ``record``, null when the line is null or not JSON.
 
     An object that repeats a key makes its line malformed (``repeated="reject"``)
-    or keeps the key's last value (``"last"``), at any depth and in the same parse."""
+    or keeps the key's last value (``"last"``), at any depth and in the same parse.
+    The parser stops at the end of a value, so the line is read as the first of two
+    items, of which the second is known: text after the record makes it malformed."""
     if repeated not in ("reject", "last"):
         raise ValueError("repeated must be 'reject' or 'last'")
     text, spark = F.col(text_col), raw.sparkSession
-    lines = raw.filter(text.isNull() | text.rlike(r"\S"))
+    lines = raw if keep_blank else raw.filter(~is_blank(text_col))
     before = spark.conf.get(_ALLOW)
     spark.conf.set(_ALLOW, str(repeated == "last").lower())
     try:   # the parser takes the setting when the column is resolved, here
-        return lines.withColumn("record", F.try_parse_json(text))
+        pair = lines.withColumn("__pair", F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))))
+        alone = ((F.try_variant_get("__pair", "$[1]", "string") == _END)
+                 & F.try_variant_get("__pair", "$[2]", "variant").isNull())
+        return pair.withColumn("record", F.when(alone, F.try_variant_get("__pair", "$[0]", "variant"))).drop("__pair")
     finally:
         spark.conf.set(_ALLOW, before)
 
@@ -44,7 +55,7 @@ def _fenced(df: DataFrame, keep: list[str], **computed: Column) -> DataFrame:
 
 
 def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value", detail: bool = False,
-                   repeated: str = "reject", tables: list[str] | None = None) -> DataFrame:
+                   repeated: str = "reject", tables: list[str] | None = None, keep_blank: bool = False) -> DataFrame:
     """Raw rows + ``record`` (VARIANT) + ``violations`` (array<string>), and with
     ``detail`` also ``details``, one (path, rule, expected, found, label) per
     violation, from the same projections and the same parse.
@@ -53,7 +64,7 @@ def check_contract(raw: DataFrame, contract: Contract, text_col: str = "value",
     plain (code-generated) projections.  A contract with self-referring
     definitions is checked level by level, see ``_walk_links``; the paths of
     their staged tables go to ``tables``."""
-    parsed = parse_records(raw, text_col, repeated)
+    parsed = parse_records(raw, text_col, repeated, keep_blank)
     recursive = bool(contract.definitions)
     compiled = compile_contract(contract, "record", text_col, detail or recursive)
     df = parsed

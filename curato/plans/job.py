@@ -7,7 +7,8 @@
       -> select_and_reconcile (scored images, best picks and status staged)
       -> <out>/updated_main_images   key/value JSON lines, one per current pick
          <out>/snapshot, <out>/cdc, <out>/metrics   JSON lines
-         <out>/rejected/<feed>       lines that broke their contract
+         <out>/rejected/<feed>       lines that broke their contract, with file and line number
+         <out>/violations/<feed>     one JSON line per violation: where, which rule, expected, found
 
 Inputs are never modified.  Each output is one Spark write; every line is
 parsed and checked once, and the relations the outputs share are staged, so
@@ -31,7 +32,7 @@ from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
 from curato.session import drop_tables, scratch_path
 from curato.sources import contracts, sinks
-from curato.sources.feeds import read_lines
+from curato.sources.feeds import number_lines, read_lines, read_split_lines, split_starts, with_places
 
 
 @dataclass(frozen=True)
@@ -50,20 +51,24 @@ def _contract(stated: Contract | Mapping | None, name: str) -> Contract:
 
 
 def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = None,
-               contract: Contract | Mapping | None = None, record: list[str] | None = None) -> DataFrame:
+               contract: Contract | Mapping | None = None, record: list[str] | None = None,
+               repeated: str = "reject") -> DataFrame:
     """Parse and check a feed once, and write it once as a table in the
     shared checkpoint folder, partitioned by validity: valid lines as typed
     columns (columnar, far smaller than the JSON text), rejected lines as
-    the raw line and its reasons.  Everything downstream reads this table,
+    the raw line, its reasons and its violations in detail, and blank lines (validity
+    null) as nothing but their place.  Everything downstream reads this table,
     so no line is parsed or checked twice and the lineage is cut here."""
     _, fields, _ = contracts.FEEDS[name]
-    checked = validate.check_contract(read_lines(spark, path, glob), _contract(contract, name))
-    ok = F.size(F.col("violations")) == 0
+    checked = validate.check_contract(read_split_lines(spark, path, glob), _contract(contract, name), detail=True,
+                                      repeated=repeated, tables=record, keep_blank=True)
+    ok = F.when(~validate.is_blank(), F.size(F.col("violations")) == 0)
     staged = checked.select(
-        ok.alias("valid"),
+        ok.alias("valid"), "file", "block", "seq",
         *[F.when(ok, c).alias(n) for n, c in fields().items()],
         F.when(~ok, F.col("value")).alias("value"),
-        F.when(~ok, F.array_join(F.col("violations"), ";")).alias("reasons"))
+        F.when(~ok, F.array_join(F.col("violations"), ";")).alias("reasons"),
+        F.when(~ok, F.col("details")).alias("details"))
     target = scratch_path(spark, f"feed-{name}")
     if record is not None:
         record.append(target)
@@ -72,15 +77,24 @@ def stage_feed(spark: SparkSession, path: str, name: str, glob: str | None = Non
 
 
 def load_feed(spark: SparkSession, path: str, name: str, glob: str | None = None,
-              contract: Contract | Mapping | None = None, record: list[str] | None = None):
+              contract: Contract | Mapping | None = None, record: list[str] | None = None,
+              repeated: str = "reject"):
     """(staged table, typed valid rows, rejected lines) of one feed."""
     _, fields, after = contracts.FEEDS[name]
-    table = stage_feed(spark, path, name, glob, contract, record)
+    table = stage_feed(spark, path, name, glob, contract, record, repeated)
     valid = after(table.filter(F.col("valid")).select(*fields().keys()))
     rejected = table.filter(~F.col("valid")).select("value", "reasons")
     return table, valid, rejected
 
 
+def located_rejects(table: DataFrame, record: list[str] | None = None) -> DataFrame:
+    """The rejected lines of a staged feed with file, line (from 1), value, reasons and
+    details (for ``validate.violation_report``)."""
+    starts = split_starts(table.select("file", "block", "seq"), record)
+    return with_places(table.filter(~F.col("valid")).select("file", "block", "seq", "value", "reasons", "details"),
+                       starts).select("file", "line", "value", "reasons", "details")
+
+
 def feed_counts(name: str, table: DataFrame) -> DataFrame:
     """Valid and rejected line counts of a staged feed (reads only the
     partition column)."""
@@ -117,30 +131,32 @@ def validation_gate(spark: SparkSession, feeds: dict[str, tuple[str, object]],
 def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: str | None, n: int,
                 out_dir: str) -> dict[str, str]:
     """Write the chosen feeds ('images', 'tags', 'both') as n contiguous chunks
-    each, ordered by image id then line text (a scan carries no line
-    order).  Spark needs no chunking to join; this only serves consumers
-    that want fixed-size pieces."""
+    each, in file order.  Spark needs no chunking to join; this only serves
+    consumers that want fixed-size pieces."""
     choices = {"images": ["images"], "tags": ["tags"], "both": ["images", "tags"]}
     if which is None:
         return {}
     if which not in choices:
         raise ValueError(f"which must be one of {sorted(choices)} or None")
     paths = {"images": images_path, "tags": tags_path}
-    out = {}
-    for name in choices[which]:
-        lines = read_lines(spark, paths[name]).filter(F.col("value").rlike(r"\S"))
-        keyed = lines.withColumn("image_id", F.get_json_object("value", "$.image_id"))
-        target = f"{out_dir.rstrip('/')}/{name}_chunks"
-        sinks.write_line_chunks(keyed, n, [F.col("image_id").asc_nulls_last(), F.col("value").asc()], target)
-        out[name] = target
+    out, tables = {}, []
+    try:
+        for name in choices[which]:
+            target = f"{out_dir.rstrip('/')}/{name}_chunks"
+            sinks.write_file_chunks(number_lines(spark, paths[name], tables=tables), n, target)
+            out[name] = target
+    finally:
+        drop_tables(spark, tables)
     return out
 
 
 def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: str, out_dir: str,
             policy: Policy = Policy(), glob: str | None = None,
-            feed_contracts: Mapping[str, Contract | Mapping] | None = None) -> JobResult:
+            feed_contracts: Mapping[str, Contract | Mapping] | None = None, repeated: str = "reject") -> JobResult:
     """``feed_contracts`` gives the contract, or the JSON-Schema document, of
-    the feeds ('images', 'image_tags', 'main_images') that do not use the default."""
+    the feeds ('images', 'image_tags', 'main_images') that do not use the default.
+    ``repeated`` says what a key that a line repeats does: 'reject' the line, or keep
+    its 'last' value."""
     stated = dict(feed_contracts or {})
     feeds = {"images": images_path, "image_tags": tags_path, "main_images": picks_path}
     if set(stated) - set(feeds):
@@ -150,7 +166,8 @@ def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: s
     try:
         typed, rejected, counts = {}, {}, []
         for name, path in feeds.items():
-            table, typed[name], rejected[name] = load_feed(spark, path, name, glob, stated.get(name), tables)
+            table, typed[name], _ = load_feed(spark, path, name, glob, stated.get(name), tables, repeated)
+            rejected[name] = located_rejects(table, tables)
             counts.append(feed_counts(name, table))
         sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
                                    materialize=True, tables=tables)
@@ -164,7 +181,9 @@ def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: s
         sinks.write_jsonl(metrics.coalesce(1), paths["metrics"])   # a handful of rows
         for name, bad in rejected.items():
             paths[f"rejected_{name}"] = f"{out}/rejected/{name}"
-            sinks.write_jsonl(bad, paths[f"rejected_{name}"])
+            sinks.write_jsonl(bad.drop("details"), paths[f"rejected_{name}"])
+            paths[f"violations_{name}"] = f"{out}/violations/{name}"
+            sinks.write_jsonl(validate.violation_report(bad, "file", "line"), paths[f"violations_{name}"])
     finally:
         drop_tables(spark, tables)
     return JobResult(outputs=paths, rejected={n: paths[f"rejected_{n}"] for n in feeds})
@@ -185,6 +204,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--legacy_url", action="store_true", help="pair the new pick with the old pick's url")
     for feed in contracts.FEEDS:
         ap.add_argument(f"--{feed}_schema", default=None, help=f"JSON-Schema document of the {feed} feed")
+    ap.add_argument("--repeated_keys", choices=("reject", "last"), default="reject",
+                    help="reject a line that repeats a key, or keep the key's last value")
     args = ap.parse_args(argv)
     import datetime as dt
     from curato.session import build_session
@@ -193,7 +214,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         given = {feed: getattr(args, f"{feed}_schema") for feed in contracts.FEEDS}
         res = run_job(spark, args.images, args.tags, args.main_images, args.out, policy,
-                      feed_contracts={f: read_schema(spark, p) for f, p in given.items() if p})
+                      feed_contracts={f: read_schema(spark, p) for f, p in given.items() if p},
+                      repeated=args.repeated_keys)
         for k, v in res.outputs.items():
             print(f"{k}: {v}")
     finally:

@@ -50,32 +50,45 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
 MAX_SPLITS = 200_000
 
 
-def number_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, keep_blank: bool = True,
-                 tables: list[str] | None = None) -> DataFrame:
-    """Lines with their places: ``value``, ``file`` (its path), ``line`` (from 1,
-    within the file) and ``position`` (from 0, over all files in order of their paths).
+def read_split_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Raw lines with the split each was read from: ``file``, ``block`` (the split's first
+    byte) and ``seq``, a number that rises by one along a split.
 
-    A scan carries no line numbers, but it reads a split in order.  The lines are
-    staged once with their split and a running number of the scan, so later readers
-    see the same splits whatever executors the cluster has then; counts per split,
-    summed over the splits before it, turn these into line numbers.  No line is
-    sorted or shuffled: only one row per split is.  Blank lines count, and
-    ``keep_blank=False`` leaves them out afterwards."""
+    The splits depend on the executors at hand, so this must be staged before lines
+    are counted: ``split_starts`` and ``with_places`` take the staged table."""
     split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
-    scanned = read_lines(spark, path, glob).select("value", *split).withColumn("seq", F.monotonically_increasing_id())
-    lines = stage(scanned, "lines", tables)
-    splits = lines.groupBy("file", "block").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    return read_lines(spark, path, glob).select("value", *split).withColumn("seq", F.monotonically_increasing_id())
+
+
+def split_starts(staged: DataFrame, tables: list[str] | None = None) -> DataFrame:
+    """One row per split of staged lines (none left out): how many lines come before it."""
+    splits = staged.groupBy("file", "block").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     in_all = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)     # one row per split
-    starts = stage(splits.select("file", "block", "first", "n",
-                                 F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("before"),
-                                 F.coalesce(F.sum("n").over(in_all), F.lit(0)).alias("all_before")), "splits", tables)
-    side = starts.drop("n")
-    side = F.broadcast(side) if starts.count() <= MAX_SPLITS else side
+    return stage(splits.select("file", "block", "first", F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("before"),
+                               F.coalesce(F.sum("n").over(in_all), F.lit(0)).alias("all_before")), "splits", tables)
+
+
+def with_places(staged: DataFrame, starts: DataFrame) -> DataFrame:
+    """Staged lines with ``line`` (from 1, within the file) and ``position`` (from 0,
+    over all files in order of their paths) in place of ``block`` and ``seq``."""
+    side = F.broadcast(starts) if starts.count() <= MAX_SPLITS else starts
     at = F.col("seq") - F.col("first")
-    out = lines.join(side, ["file", "block"]).select(
-        "value", "file", (F.col("before") + at + 1).alias("line"), (F.col("all_before") + at).alias("position"))
-    return out if keep_blank else out.filter(F.col("value").rlike(r"\S"))
+    return (staged.join(side, ["file", "block"])
+            .withColumns({"line": F.col("before") + at + 1, "position": F.col("all_before") + at})
+            .drop("block", "seq", "first", "before", "all_before"))
+
+
+def number_lines(spark: SparkSession, path: str | list[str], glob: str | None = None,
+                 tables: list[str] | None = None) -> DataFrame:
+    """Lines with their places: ``file``, ``value``, ``line``, ``position``.
+
+    A scan carries no line numbers, but it reads a split in order.  The lines are
+    staged once with their split and a running number, and counts per split, summed
+    over the splits before it, turn these into line numbers.  No line is sorted or
+    shuffled: only one row per split is.  Blank lines count."""
+    lines = stage(read_split_lines(spark, path, glob), "lines", tables)
+    return with_places(lines, split_starts(lines, tables))
 
 
 def read_typed(spark: SparkSession, path: str | list[str], schema: StructType,

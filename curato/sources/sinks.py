@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curato.operators.chunking import assign_chunks
+from curato.operators.chunking import assign_chunks, chunks_by_position
 
 
 def key_value(picks: DataFrame, group: str = "hotel_id") -> DataFrame:
@@ -45,3 +45,13 @@ def write_line_chunks(lines: DataFrame, n: int, order, path: str, text_col: str
     may be fewer than n."""
     (assign_chunks(lines, n, order).select(text_col, "chunk_id")
      .write.mode(mode).partitionBy("chunk_id").text(path))
+
+
+def write_file_chunks(lines: DataFrame, n: int, path: str, text_col: str = "value", mode: str = "overwrite") -> None:
+    """Write numbered lines as n contiguous chunks in file order.  Positions deal the
+    lines evenly over the writers in ranges, so the parts of a chunk, in order of
+    their names, are its lines in file order."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (chunks_by_position(lines, n).select(text_col, "chunk_id", "position")
+     .repartitionByRange(parts, "position").sortWithinPartitions("chunk_id", "position").drop("position")
+     .write.mode(mode).partitionBy("chunk_id").text(path))

@@ -88,3 +88,11 @@ def test_references_and_boolean_schemas(spark):
     lines = [('{"x":"ab","z":[]}', ""), ('{"x":"a"}', ""), ('{"x":1,"y":1}', ""), ('{"w":"not a date"}', "")]
     got = {r.n: sorted(r.violations) for r in answers(spark, schema, lines).collect()}
     assert got == {0: [], 1: ["x:min_length"], 2: ["x:type", "y:never"], 3: []}
+
+
+@pytest.mark.parametrize("line", ['{"a":1}}', '{"a":1} {"a":2}', '{"a":1},{"a":2}', '{"a":1}]', '{"a":1}] }', '{"a":1} x', "", "{}{", "1 2"])
+def test_text_after_the_record_is_malformed(spark, line):
+    schema = Contract.from_json_schema({"type": "object"})
+    raw = spark.createDataFrame([(line,), (' {"a":1}\t\r',)], "value string")
+    got = {r.value: list(r.violations) for r in validate.check_contract(raw, schema).collect()}
+    assert got.pop(' {"a":1}\t\r') == [] and (got == {line: ["$:malformed"]} or line == "")
