@@ -8,7 +8,8 @@ every computed column is aliased, so results compare with ``curato.oracle``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 from curato.functions.contract import Contract, Rule
 from curato.operators import chunking, metrics, outputs, reconcile, scoring, shape, validate
 from curato.operators.ranking import best_tag, dedupe_images
-from curato.plans.job import load_feed
+from curato.plans.job import load_feed, split_feeds, validation_gate
 from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
 from curato.session import scratch_path
-from curato.sources import sinks
-from curato.sources.edge_lines import EDGE_SCHEMA, edge_lines
-from curato.sources.feeds import IMAGES_SCHEMA, read_chunk_dir, read_typed
+from curato.sources import contracts, sinks
+from curato.sources.edge_lines import (ARRAY_LINES, ARRAY_SCHEMA, COMBINED_LINES, COMBINED_SCHEMA, EDGE_SCHEMA,
+                                       TREE_LINES, TREE_SCHEMA, edge_lines, template_lines)
+from curato.sources.feeds import IMAGES_SCHEMA, infer_scan, number_lines, read_chunk_dir, read_typed
 from curato.sources.tables import (images_view, nested_picks_view, nested_tags_view, picks_view,
                                    repeated_images_view, table, tags_view, text_images_view)
 
@@ -94,6 +96,20 @@ def q_sub_scores_a(spark, sf):
     return _scored(spark, sf).select("image_id", *[_r(c) for c in scoring.SCORE_COLUMNS])
 
 
+def q_sub_scores_null_as_zero(spark, sf):
+    policy = Policy(as_of=AS_OF, score_digits=DIGITS, null_as_zero=True)
+    scored = scoring.scored_candidates(images_view(spark, sf), tags_view(spark, sf), policy)
+    return scored.select("image_id", *[_r(c) for c in scoring.SCORE_COLUMNS], "image_score")
+
+
+def q_tags_by_other_key(spark, sf):
+    """Tags that come to images by another shared column than the image id."""
+    tags = tags_view(spark, sf).withColumn("hotel_id", F.col("image_id") % 150).drop("image_id")
+    sel = select_and_reconcile(images_view(spark, sf), tags, picks_view(spark, sf, images_view(spark, sf)), POLICY_A,
+                               join_key="hotel_id")
+    return sel.scored.select("image_id", "hotel_id", "tag", "version", "probability", "image_score")
+
+
 def q_composite_a(spark, sf):
     return _scored(spark, sf).select("image_id", "hotel_id", "image_score")
 
@@ -295,6 +311,149 @@ def q_split_sink(spark, sf):
     return back
 
 
+def _schema_answers(spark, sf, schema, lines):
+    checked = validate.check_contract(template_lines(spark, sf, lines), Contract.from_json_schema(schema))
+    return checked.select("event_id", F.array_join(F.array_sort("violations"), ";").alias("reasons"))
+
+
+def q_contract_combinators(spark, sf):
+    """allOf, anyOf, oneOf, not, if/then/else and references."""
+    return _schema_answers(spark, sf, COMBINED_SCHEMA, COMBINED_LINES)
+
+
+def q_contract_arrays(spark, sf):
+    """Rules over whole arrays, over keys by pattern, and between fields."""
+    return _schema_answers(spark, sf, ARRAY_SCHEMA, ARRAY_LINES)
+
+
+def q_contract_recursive(spark, sf):
+    """Records that contain records of their own kind, to depth 8."""
+    return _schema_answers(spark, sf, TREE_SCHEMA, TREE_LINES)
+
+
+@contextmanager
+def _split_size(spark: SparkSession, size: str) -> Iterator[None]:
+    """Read in splits of at most ``size``, so that small files have several."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+FILE_ROWS = 2500
+
+
+def _write_in_order(lines: DataFrame, key: str, path: str) -> None:
+    """Lines as one text file per ``FILE_ROWS`` keys, in order of the key."""
+    part = F.lpad(F.expr(f"cast({key} div {FILE_ROWS} as string)"), 9, "0")
+    (lines.withColumn("part", part).repartition("part").sortWithinPartitions("part", key)
+     .select("value", "part").write.partitionBy("part").text(path))
+
+
+def _numbered_events(spark, sf) -> DataFrame:
+    path = scratch_path(spark, "event_lines")
+    _write_in_order(event_lines(spark, sf), "event_id", path)
+    with _split_size(spark, "16k"):
+        return number_lines(spark, path)
+
+
+def _part(file: str = "file") -> F.Column:
+    return F.regexp_extract(file, r"/part=0*(\d+)/", 1).cast("int")
+
+
+def q_line_numbers(spark, sf):
+    """Files of several splits, read with line numbers and positions over all files."""
+    return _numbered_events(spark, sf).select(
+        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), _part().alias("part"), "line", "position")
+
+
+def q_chunks_in_file_order(spark, sf):
+    chunks = chunking.chunks_by_position(_numbered_events(spark, sf), 4)
+    return chunks.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "chunk_id")
+
+
+def q_violation_report(spark, sf):
+    """Each violation with the file and line it is in."""
+    checked = validate.check_contract(_numbered_events(spark, sf), EVENT_CONTRACT, detail=True)
+    report = validate.violation_report(checked, "file", "line")
+    return report.select(_part().alias("part"), "line", "path", "rule", "expected",
+                         F.round(F.expr("try_cast(found as double)"), DIGITS).alias("number"),
+                         F.when(F.expr("try_cast(found as double)").isNull(), F.col("found")).alias("found"))
+
+
+def q_repeated_keys(spark, sf):
+    """Every line states two fields twice; the last value holds."""
+    path = scratch_path(spark, "repeated_lines")
+    twice = F.concat(F.lit('{"hotel_id":"no","image_id":5,'), F.expr("substring(value, 2)"))
+    _image_lines(spark, sf).select(twice.alias("value")).write.text(path)
+    _, valid, _ = load_feed(spark, path, "images", repeated="last")
+    return valid.select("image_id", "hotel_id", "width", "height")
+
+
+def _loose_lines(spark, sf) -> DataFrame:
+    """Orders as JSON lines without a declared schema: a price that is whole or not,
+    a field of two kinds, one that is always null, and nested ones."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 3 == 0, F.col("o_custkey").cast("string")).otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".25")))
+    mixed = F.when(k % 2 == 0, k.cast("string")).otherwise(F.concat(F.lit('"t'), k.cast("string"), F.lit('"')))
+    return table(spark, sf, "orders").select(F.concat(
+        F.lit('{"id":'), k.cast("string"), F.lit(',"price":'), price, F.lit(',"mixed":'), mixed, F.lit(',"none":null,"o":{"a":'),
+        k.cast("string"), F.when(k % 5 == 0, F.lit(',"b":true')).otherwise(F.lit("")), F.lit('},"l":[1,'), price, F.lit("]}")).alias("value"))
+
+
+def _inferred(spark, sf):
+    path = scratch_path(spark, "loose_lines")
+    _loose_lines(spark, sf).write.text(path)
+    return infer_scan(spark, path)
+
+
+def q_inferred_scan(spark, sf):
+    found = _inferred(spark, sf)
+    return found.rows.select("id", "price", "mixed", "none", F.col("o.a").alias("a"), F.col("o.b").alias("b"),
+                             F.element_at("l", 2).alias("second"), F.lit(found.schema.simpleString()).alias("types"))
+
+
+def q_inferred_conflicts(spark, sf):
+    return _inferred(spark, sf).conflicts
+
+
+def q_jsonl_sink(spark, sf):
+    """Picks written as JSON lines and read back with their types."""
+    picks = _inputs(spark, sf)[2]
+    path = scratch_path(spark, "jsonl")
+    sinks.write_jsonl(picks, path)
+    return read_typed(spark, path, picks.schema)
+
+
+def q_validation_gate(spark, sf):
+    """Two feeds against their contracts."""
+    paths = {n: scratch_path(spark, f"gate_{n}") for n in ("images", "events")}
+    _image_lines(spark, sf).select("value").write.text(paths["images"])
+    event_lines(spark, sf).select("value").write.text(paths["events"])
+    return validation_gate(spark, {"images": (paths["images"], contracts.IMAGE_CONTRACT), "events": (paths["events"], EVENT_CONTRACT)})
+
+
+def q_split_sides(spark, sf):
+    """Both feeds split in three, in file order."""
+    images, tags, out = (scratch_path(spark, n) for n in ("side_images", "side_tags", "sides"))
+    k = F.col("image_id")
+    rows = images_view(spark, sf)
+    line = F.to_json(F.struct(k.cast("string").alias("image_id"), "width"))
+    _write_in_order(rows.select("image_id", line.alias("value")), "image_id", images)
+    _write_in_order(rows.filter(k % 2 == 0).select("image_id", line.alias("value")), "image_id", tags)
+    with _split_size(spark, "16k"):
+        folders = split_feeds(spark, images, tags, "both", 3, out)
+    back = None
+    for side, folder in folders.items():
+        one = read_chunk_dir(spark, folder, IMAGES_SCHEMA).select(
+            F.lit(side).alias("side"), F.col("image_id").cast("long").alias("image_id"), "width", F.col("chunk_id").cast("int").alias("chunk_id"))
+        back = one if back is None else back.unionByName(one)
+    return back
+
+
 # -- W09-W10: chunks --------------------------------------------------------------
 
 def _tag_lines(spark, sf) -> DataFrame:
@@ -329,6 +488,15 @@ def q_join_chunks_all(spark, sf):
     return chunking.join_chunks(images, _tag_chunks(spark, sf, 2), "image_id", mode="all")
 
 
+def q_join_chunks_fold(spark, sf):
+    """Four chunks joined in turn; a part of one chunk's rows shares one key."""
+    li = table(spark, sf, "lineitem")
+    hot = (F.col("l_linenumber") % 4 == 1) & (F.col("l_orderkey") % 3 == 0)
+    chunks = li.select(F.when(hot, F.lit(7).cast("long")).otherwise(F.col("l_orderkey")).alias("image_id"),
+                       (F.col("l_linenumber") % 4 + 1).cast("int").alias("chunk_id"), F.col("l_partkey").alias("part"))
+    return chunking.fold_chunks(images_view(spark, sf).select("image_id", "hotel_id"), chunks, "image_id")
+
+
 def q_chunk_roundtrip(spark, sf):
     """Lines written in three chunks, and the chunks read back as typed records."""
     lines = images_view(spark, sf).select(
@@ -423,4 +591,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_sink": q_split_sink,
     "chunk_roundtrip": q_chunk_roundtrip,
     "join_chunks_empty": q_join_chunks_empty,
+    "join_chunks_fold": q_join_chunks_fold,
+    "line_numbers": q_line_numbers,
+    "chunks_in_file_order": q_chunks_in_file_order,
+    "violation_report": q_violation_report,
+    "contract_combinators": q_contract_combinators,
+    "contract_arrays": q_contract_arrays,
+    "contract_recursive": q_contract_recursive,
+    "repeated_keys": q_repeated_keys,
+    "inferred_scan": q_inferred_scan,
+    "inferred_conflicts": q_inferred_conflicts,
+    "jsonl_sink": q_jsonl_sink,
+    "validation_gate": q_validation_gate,
+    "split_sides": q_split_sides,
+    "sub_scores_null_as_zero": q_sub_scores_null_as_zero,
+    "tags_by_other_key": q_tags_by_other_key,
 }

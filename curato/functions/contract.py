@@ -34,6 +34,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curato.functions import paths
+
 _INTEGRAL = ["TINYINT", "SMALLINT", "INT", "BIGINT"]
 _FLOATING = ["FLOAT", "DOUBLE"]
 
@@ -348,12 +350,6 @@ def _keys(v: Column) -> Column:
     return F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
 
 
-def _quote(name: str) -> str:
-    if name.replace("_", "").isalnum() and name.isascii():
-        return name
-    return "['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-
-
 def _texts(values) -> Column:
     return F.array(*[F.lit(x) for x in values]) if values else F.array().cast("array<string>")
 
@@ -420,9 +416,9 @@ class _Compiler:
         if self.root_path is not None:
             shown = F.concat(place.shown, F.lit(f".{name}"))
         if place.path is None:
-            v = F.when(is_object, F.try_variant_get(place.v, f"$.{_quote(name)}", "variant"))
+            v = F.when(is_object, F.try_variant_get(place.v, f"${paths.field(name)}", "variant"))
             return _Place(v, _kind(v), place.sub(name), shown, is_object & v.isNotNull())
-        path = f"{place.path}.{_quote(name)}"
+        path = place.path + paths.field(name)
         i = self.values.setdefault(path, len(self.values))
         v = F.col(f"{self.prefix}v{i}")
         return _Place(v, F.col(f"{self.prefix}k{i}"), place.sub(name), shown, is_object & v.isNotNull(), path)

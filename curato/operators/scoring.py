@@ -58,31 +58,36 @@ def score_images(df: DataFrame, policy: Policy) -> DataFrame:
 
 
 def tagged_images(images: DataFrame, tags: DataFrame, policy: Policy, key: str = "image_id",
-                  dedupe: bool = True, flag: str = "candidate") -> DataFrame:
+                  dedupe: bool = True, flag: str = "candidate", join_key: str | None = None) -> DataFrame:
     """W13+W14: one row per image with its best tag, its lifecycle class and
     a boolean ``flag`` telling whether it may be picked.
 
     Tags are cut to one row per image *before* the join, so a hot image id
     never fans out through the join; both join sides come out of a window
     on the image id and are already partitioned on it.
+
+    ``join_key`` names another column that images and tags share (a content hash,
+    say): an image's tags are then those with its value there.  All images of one
+    value have the same tags, so tags are cut to one row per value.
     """
-    top_tag = best_tag(tags.select(key, "tag", "version", "probability"), key)
+    on = join_key or key
+    top_tag = best_tag(tags.select(on, "tag", "version", "probability"), on)
     imgs = dedupe_images(images, key) if dedupe else images
-    out = with_lifecycle(imgs.join(top_tag, key, "left"))
+    out = with_lifecycle(imgs.join(top_tag, on, "left"))
     return out.withColumn(flag, is_candidate(F.col("change_type"), policy))
 
 
 def tagged_candidates(images: DataFrame, tags: DataFrame, policy: Policy,
-                      key: str = "image_id", dedupe: bool = True) -> DataFrame:
+                      key: str = "image_id", dedupe: bool = True, join_key: str | None = None) -> DataFrame:
     """W13+W14+W15: the images that can be picked, with their best tag."""
-    return (tagged_images(images, tags, policy, key, dedupe, flag="__candidate")
+    return (tagged_images(images, tags, policy, key, dedupe, flag="__candidate", join_key=join_key)
             .filter(F.col("__candidate")).drop("__candidate"))
 
 
 def scored_candidates(images: DataFrame, tags: DataFrame, policy: Policy,
-                      dedupe: bool = True) -> DataFrame:
+                      dedupe: bool = True, join_key: str | None = None) -> DataFrame:
     """Candidates with features, sub-scores and image_score (no rank yet)."""
-    return score_images(tagged_candidates(images, tags, policy, dedupe=dedupe), policy)
+    return score_images(tagged_candidates(images, tags, policy, dedupe=dedupe, join_key=join_key), policy)
 
 
 def rank_images(scored: DataFrame, group: str = "hotel_id") -> DataFrame:

@@ -7,7 +7,7 @@ every order states its null placement, as in the Spark queries.
 
 from __future__ import annotations
 
-from curato.sources.edge_lines import EDGE_LINES
+from curato.sources.edge_lines import ARRAY_LINES, COMBINED_LINES, EDGE_LINES, TREE_LINES
 
 LIFE = ("CASE WHEN {c} = false THEN 'inactive' WHEN {c} IS NULL THEN 'deleted' "
         "ELSE 'other' END")
@@ -189,6 +189,33 @@ def _edge_expected() -> str:
   SELECT event_id, CASE event_id % {n} {cases} END AS reasons FROM events WHERE event_id % {n} NOT IN ({blank}))"""
 
 
+def _answers(lines) -> str:
+    """The answers written beside template lines, their rules in order."""
+    n = len(lines)
+    cases = " ".join(f"WHEN {i} THEN '{';'.join(sorted(x for x in a.split(';') if x))}'"
+                     for i, (_, a) in enumerate(lines) if a is not None)
+    blank = ", ".join(str(i) for i, (_, a) in enumerate(lines) if a is None)
+    return f"SELECT event_id, CASE event_id % {n} {cases} END AS reasons FROM events WHERE event_id % {n} NOT IN ({blank})"
+
+
+# Events as lines of files of 2500 ids each, in order of the id.
+PLACED = """placed AS (
+  SELECT *, CAST(event_id // 2500 AS INTEGER) AS part,
+    row_number() OVER (PARTITION BY event_id // 2500 ORDER BY event_id) AS line,
+    row_number() OVER (ORDER BY event_id) - 1 AS position FROM checked)"""
+
+K = "json_extract(props, '$.k')"
+
+
+def _sided(source: str, side: str) -> str:
+    return f"""SELECT '{side}' AS side, image_id, width, CAST((row_number() OVER (ORDER BY image_id) - 1)
+        // CAST(ceil(count(*) OVER () / 3) AS BIGINT) + 1 AS INTEGER) AS chunk_id FROM {source}"""
+
+
+# An unknown size or date scores 0.
+ZERO_SUBS = (SUBS_A.replace("WHEN resolution <= 0", "WHEN resolution IS NULL OR resolution <= 0")
+             .replace("WHEN freshness_days > 3650", "WHEN freshness_days IS NULL OR freshness_days > 3650"))
+
 # Line items as nested tag records: null, empty, or one to three tags each.
 NESTED = """nested AS (
   SELECT l_orderkey AS image_id, concat(l_returnflag, l_linestatus) AS tag, l_linenumber AS line, l_discount AS d,
@@ -315,4 +342,60 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'cdc_updates', (SELECT count(*) FILTER (WHERE op = 'update') FROM feed)
       UNION ALL SELECT 'cdc_deletes', (SELECT count(*) FILTER (WHERE op = 'delete') FROM feed)
       UNION ALL SELECT 'snapshot_rows', (SELECT count(*) FROM top)""",
+    "join_chunks_fold": _with(IMAGES) + """, c AS (
+        SELECT CASE WHEN l_linenumber % 4 = 1 AND l_orderkey % 3 = 0 THEN 7 ELSE l_orderkey END AS image_id,
+               l_linenumber % 4 + 1 AS chunk, l_partkey AS part FROM lineitem)
+      SELECT i.image_id, i.hotel_id, a.part AS part_1, b.part AS part_2, c3.part AS part_3, d.part AS part_4
+      FROM images i JOIN c a ON a.chunk = 1 AND a.image_id = i.image_id JOIN c b ON b.chunk = 2 AND b.image_id = i.image_id
+      JOIN c c3 ON c3.chunk = 3 AND c3.image_id = i.image_id JOIN c d ON d.chunk = 4 AND d.image_id = i.image_id""",
+    "line_numbers": _with(EVENTS_CHECKED, PLACED) + "SELECT event_id, part, line, position FROM placed",
+    "chunks_in_file_order": _with(EVENTS_CHECKED, PLACED) + """SELECT event_id,
+        CAST(position // CAST(ceil(count(*) OVER () / 4) AS BIGINT) + 1 AS INTEGER) AS chunk_id FROM placed""",
+    "violation_report": _with(EVENTS_CHECKED, """raw AS (SELECT event_id, props FROM events)""", PLACED, f"""bad AS (
+        SELECT part, line, 'event_type' AS path, 'enum' AS rule, 'one of ["click", "view", "purchase", "signup"]' AS expected,
+               NULL::DOUBLE AS number, '"' || event_type || '"' AS found
+        FROM placed WHERE event_type NOT IN ('click', 'view', 'purchase', 'signup')
+        UNION ALL SELECT part, line, 'value', 'minimum', 'at least 0', round(value, 6), NULL FROM placed WHERE value < 0
+        UNION ALL SELECT part, line, 'value', 'maximum', 'at most 400', round(value, 6), NULL FROM placed WHERE value > 400
+        UNION ALL SELECT part, line, 'props.k', 'required', 'a value', NULL, NULL
+        FROM placed JOIN raw USING (event_id) WHERE {K} IS NULL
+        UNION ALL SELECT part, line, 'props.k', 'type', 'integer', TRY_CAST({K} AS DOUBLE), CAST({K} AS VARCHAR)
+        FROM placed JOIN raw USING (event_id) WHERE json_type(props, '$.k') NOT IN ('BIGINT', 'UBIGINT')
+        UNION ALL SELECT part, line, 'props.k', 'minimum', 'at least 0', CAST({K} AS DOUBLE), NULL
+        FROM placed JOIN raw USING (event_id) WHERE CAST({K} AS DOUBLE) < 0
+        UNION ALL SELECT part, line, 'props.k', 'maximum', 'at most 89', CAST({K} AS DOUBLE), NULL
+        FROM placed JOIN raw USING (event_id) WHERE CAST({K} AS DOUBLE) > 89
+        UNION ALL SELECT part, line, 'props', 'additional', 'no undeclared keys', NULL,
+               array_to_string(list_sort([x FOR x IN json_keys(props) IF x <> 'k']), ', ')
+        FROM placed JOIN raw USING (event_id) WHERE len([x FOR x IN json_keys(props) IF x <> 'k']) > 0)""")
+      + "SELECT part, line, path, rule, expected, number, found FROM bad",
+    "contract_combinators": _answers(COMBINED_LINES),
+    "contract_arrays": _answers(ARRAY_LINES),
+    "contract_recursive": _answers(TREE_LINES),
+    "repeated_keys": _with(IMAGES) + """SELECT CAST(image_id AS VARCHAR) AS image_id, hotel_id, width, height FROM images
+      WHERE image_id % 43 <> 0 AND image_id % 41 <> 0 AND image_id % 47 <> 0""",
+    "inferred_scan": """SELECT o_orderkey AS id, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 0.25 END::DOUBLE AS price,
+        CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 't' END || o_orderkey AS mixed, NULL::VARCHAR AS none, o_orderkey AS a,
+        CASE WHEN o_orderkey % 5 = 0 THEN true END AS b,
+        o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 0.25 END::DOUBLE AS second,
+        'struct<id:bigint,l:array<double>,mixed:string,none:string,o:struct<a:bigint,b:boolean>,price:double>' AS types
+      FROM orders""",
+    "inferred_conflicts": """SELECT '$.mixed' AS path, CASE WHEN o_orderkey % 2 = 0 THEN 'BIGINT' ELSE 'STRING' END AS kind,
+        count(*) AS n FROM orders GROUP BY 2""",
+    "jsonl_sink": _with(IMAGES, PICKS) + "SELECT hotel_id, image_id, cdn_url FROM picks",
+    "validation_gate": _with(IMAGES, EVENTS_CHECKED) + """SELECT 'images' AS feed, 'images_valid' AS metric,
+        count(*) FILTER (WHERE image_id % 43 <> 0 AND image_id % 41 <> 0 AND image_id % 47 <> 0) AS value FROM images
+      UNION ALL SELECT 'images', 'images_rejected',
+        count(*) FILTER (WHERE image_id % 43 = 0 OR image_id % 41 = 0 OR image_id % 47 = 0) FROM images
+      UNION ALL SELECT 'events', 'events_valid', count(*) FILTER (WHERE reasons = '') FROM checked
+      UNION ALL SELECT 'events', 'events_rejected', count(*) FILTER (WHERE reasons <> '') FROM checked""",
+    "split_sides": _with(IMAGES) + _sided("images", "images") + " UNION ALL " + _sided(
+        "(SELECT * FROM images WHERE image_id % 2 = 0) e", "tags"),
+    "sub_scores_null_as_zero": _with(IMAGES, TAGS, BEST_TAG, IMGS, CAND, FEAT.format(src="cand"), ZERO_SUBS, SCORED.format(src="subs"))
+    + "SELECT image_id, " + ", ".join(_r(c) for c in SUB_SCORES) + ", image_score FROM scored",
+    "tags_by_other_key": _with(IMAGES, """tags AS (
+        SELECT l_orderkey % 150 AS image_id, concat(l_returnflag, l_linestatus) AS tag, CAST(l_linenumber AS VARCHAR) AS version,
+               round(l_discount * 10, 6) AS probability FROM lineitem)""", BEST_TAG, IMGS,
+        CAND.replace("ON i.image_id = b.image_id", "ON i.hotel_id = b.image_id"), FEAT.format(src="cand"), SUBS_A,
+        SCORED.format(src="subs")) + "SELECT image_id, hotel_id, tag, version, probability, image_score FROM scored",
 }

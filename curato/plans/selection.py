@@ -85,12 +85,13 @@ class Selection:
 
 def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
                          policy: Policy = Policy(), materialize: bool | str = False,
-                         tables: list[str] | None = None) -> Selection:
+                         tables: list[str] | None = None, join_key: str | None = None) -> Selection:
     """``materialize``: False keeps everything lazy; "scored" stages the
     scored images (read by the best-pick window and the pick status join);
     True also stages the best picks and the per-pick status, for runs that
     write several outputs from them.  ``tables`` collects the staged tables'
-    paths, for a caller that deletes them."""
+    paths, for a caller that deletes them.  ``join_key`` is the column that brings
+    tags to images, the image id unless given."""
     if policy.variant != "A":
         raise ValueError("the flagship selection uses scorer A; see scoring.select_variant_b")
     imgs = dedupe_images(images)
@@ -98,7 +99,7 @@ def select_and_reconcile(images: DataFrame, tags: DataFrame, picks: DataFrame,
     # reads the candidates, and the picks need one join on the image id for
     # both the image's state and (for a candidate) its score.
     scored_all = scoring.score_images(
-        scoring.tagged_images(imgs, tags, policy, dedupe=False, flag="candidate"), policy)
+        scoring.tagged_images(imgs, tags, policy, dedupe=False, flag="candidate", join_key=join_key), policy)
     tables = [] if tables is None else tables
     if materialize:
         scored_all = stage(scored_all.select(*STAGED_COLUMNS), "scored", tables)

@@ -42,6 +42,7 @@ class Policy:
     score_digits   round the composite score before ranking (parity checks).
     require_active drop images whose active flag is null ("deleted") from the
                    candidates; by default they stay candidates.
+    null_as_zero   scorer A: an unknown size or date scores 0 instead of 1.
     legacy_url     pair the new pick with the old pick's url, as the original
                    job did; by default the new image's url is emitted.
     """
@@ -57,11 +58,14 @@ class Policy:
     score_digits: int | None = None
     require_active: bool = False
     legacy_url: bool = False
+    null_as_zero: bool = False
 
     def __post_init__(self):
         if self.variant not in ("A", "B"):
             raise ValueError(f"unknown scoring variant {self.variant!r}")
         if self.min_resolution <= 0 or self.max_resolution <= self.min_resolution:
             raise ValueError("resolution bounds must satisfy 0 < min < max")
+        if self.null_as_zero and self.variant != "A":
+            raise ValueError("null_as_zero belongs to scorer A")
         if self.max_freshness_days <= 0:
             raise ValueError("max_freshness_days must be positive")

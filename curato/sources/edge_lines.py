@@ -137,7 +137,7 @@ ARRAY_SCHEMA = {
 }
 
 ARRAY_LINES: tuple[tuple[str | None, str | None], ...] = (
-    ('{"id":@,"few":[1],"set":[1,2,"1",true,[1],{"a":1}],"has":[1,@0,10],"some":["x","y","x"],"pair":["a",1,true]}', ""),
+    ('{"id":@,"few":[1],"set":[1,2,"1",true,[1],{"a":1}],"has":[1,1@,10],"some":["x","y","x"],"pair":["a",1,true]}', ""),
     ('{"id":@,"few":[]}', "few:min_items"),
     ('{"id":@,"few":[1,2,3,4]}', "few:max_items"),
     ('{"id":@,"few":"abcd"}', "few:type"),

@@ -9,11 +9,16 @@ a directory (e.g. ``"*.jsonl"``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DecimalType, DoubleType, LongType, NullType,
+                               StringType, StructField, StructType, TimestampType, VariantType,
+                               _parse_datatype_string)
 
+from curato.functions import paths
 from curato.session import stage
 
 IMAGES_SCHEMA = StructType([
@@ -112,3 +117,78 @@ def read_chunk_dir(spark: SparkSession, directory: str, schema: StructType, glob
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/chunk_id=([^/]*)/", 1)
     return reader.json(directory).withColumn(
         chunk_col, F.when(folder != "", folder).otherwise(F.col("_metadata.file_name")))
+
+
+@dataclass(frozen=True)
+class Inferred:
+    """A scan whose types were found in its lines."""
+
+    rows: DataFrame              # typed columns
+    schema: StructType
+    conflicts: DataFrame         # (path, kind, n): what was met where kinds do not agree
+    malformed: DataFrame         # lines that are no JSON object, as they are
+
+
+def _settled(t: DataType, path: str, conflicts: list[str]) -> DataType:
+    """Column types of the kinds found: any number with a fraction is a double, what
+    is always null or of several kinds is text."""
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _settled(f.dataType, path + paths.field(f.name), conflicts)) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_settled(t.elementType, f"{path}[]", conflicts))
+    if isinstance(t, VariantType):
+        conflicts.append(path)
+    if isinstance(t, (VariantType, NullType)):
+        return StringType()
+    if isinstance(t, DecimalType):
+        return LongType() if t.scale == 0 and t.precision <= 18 else DoubleType()
+    return t
+
+
+def _values(record: Column, path: str) -> Column:
+    """All values at a path of field names and ``[]``, as an array of VARIANTs."""
+    here, *rest = path.split("[]")
+    found = F.array(F.try_variant_get(record, here, "variant"))
+    for step in rest:
+        items = F.flatten(F.transform(found, lambda v: F.coalesce(
+            F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))))
+        found = _step(items, step) if step else items
+    return found
+
+
+def _step(items: Column, step: str) -> Column:
+    return F.transform(items, lambda v: F.try_variant_get(v, f"${step}", "variant"))
+
+
+def infer_scan(spark: SparkSession, path: str | list[str], glob: str | None = None,
+               tables: list[str] | None = None) -> Inferred:
+    """JSON lines as typed columns, with the types that the lines have.
+
+    Each line is parsed once, to a staged VARIANT.  The kinds of all lines are merged by
+    one aggregate that is combined before its shuffle (a field's kind is the least
+    one that holds what every line has there), and the staged values are read with
+    the result.  Whole numbers are bigint, and double where some line has a
+    fraction; a field that is always null is text; a field of several
+    kinds is text too and its kinds are listed by path.  Blank lines are skipped.  An
+    empty input gives an empty relation without columns."""
+    lines = read_lines(spark, path, glob).filter(F.col("value").rlike(r"\S"))
+    parsed = stage(lines.withColumn("record", F.try_parse_json("value")).withColumn(
+        "is_object", F.coalesce(F.try_variant_get("record", "$", "map<string,variant>").isNotNull(), F.lit(False)))
+        .select(F.when(F.col("is_object"), F.col("record")).alias("record"),
+                F.when(~F.col("is_object"), F.col("value")).alias("value"), "is_object"), "inferred", tables)
+    records = parsed.filter("is_object").select("record")
+    merged = records.agg(F.schema_of_variant_agg("record").alias("s")).first()["s"]
+    # In names, which are quoted, nothing is replaced.
+    ddl = re.sub(r"(`(?:[^`]|``)*`)|OBJECT<", lambda m: m.group(1) or "STRUCT<", merged or "VOID")
+    found = _parse_datatype_string(ddl) if ddl.startswith("STRUCT<") else StructType([])
+    conflicts: list[str] = []
+    schema = _settled(found, "$", conflicts)
+    rows = records.select(*[F.try_variant_get("record", "$" + paths.field(f.name), f.dataType.simpleString()).alias(f.name)
+                            for f in schema.fields])
+    kinds = records.select(F.explode(F.array(*[F.struct(F.lit(p).alias("path"), _values(F.col("record"), p).alias("found"))
+                                               for p in conflicts]))).select("col.path", F.explode("col.found").alias("v")) \
+        if conflicts else spark.createDataFrame([], "path string, v string").withColumn("v", F.lit(None).cast("variant"))
+    kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+    report = (kinds.filter(F.col("v").isNotNull()).select("path", kind.alias("kind"))
+              .groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n")))
+    return Inferred(rows, schema, report, parsed.filter("not is_object").select("value"))
