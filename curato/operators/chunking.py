@@ -2,7 +2,7 @@
 
 The original splits a file into n slices of ceil(N/n) lines in file order:
 ``chunks_by_position`` over numbered lines.  For tables, whose rows have no order of
-their own, ``assign_chunks`` takes an explicit unique key: a range exchange plus
+their own, ``assign_chunks`` takes an explicit unique key: one range exchange plus
 per-partition offsets, never a one-partition window over data.
 """
 
@@ -13,22 +13,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curato.operators.ranking import rank_in_group
+from curato.operators.ranking import number_rows
 from curato.session import stage
 
 
 def assign_chunks(df: DataFrame, n: int, order: Sequence[Column],
-                  chunk_col: str = "chunk_id") -> DataFrame:
+                  chunk_col: str = "chunk_id", tables: list[str] | None = None) -> DataFrame:
     """Add ``chunk_col`` (1-based): the row at 0-based position i in ``order``
     goes to chunk ``i div ceil(N/n) + 1``.  As in the original this can give
     fewer than n chunks (9 rows, n = 6 -> chunks of 2 -> 5 chunks)."""
     if n <= 0:
         raise ValueError("the number of chunks must be positive")
-    ranked = rank_in_group(df.withColumn("__all", F.lit(0)), ["__all"], list(order),
-                           rank_col="__pos", size_col="__total")
+    placed = number_rows(df, list(order), "__pos", "__total", tables=tables)
     size = F.ceil(F.col("__total") / F.lit(n))
-    return (ranked.withColumn(chunk_col, (F.floor((F.col("__pos") - 1) / size) + 1).cast("int"))
-            .drop("__all", "__pos", "__total"))
+    return placed.withColumn(chunk_col, (F.floor(F.col("__pos") / size) + 1).cast("int")).drop("__pos", "__total")
 
 
 def chunks_by_position(lines: DataFrame, n: int, chunk_col: str = "chunk_id") -> DataFrame:
@@ -43,7 +41,7 @@ def chunks_by_position(lines: DataFrame, n: int, chunk_col: str = "chunk_id") ->
 
 
 def join_chunks(df: DataFrame, chunks: DataFrame, key: str, mode: str = "union",
-                chunk_col: str = "chunk_id") -> DataFrame:
+                chunk_col: str = "chunk_id", tables: list[str] | None = None) -> DataFrame:
     """Join ``df`` with a set of chunks (rows tagged by ``chunk_col``).
 
     An empty chunk set leaves ``df`` as it is, in either mode.
@@ -58,7 +56,7 @@ def join_chunks(df: DataFrame, chunks: DataFrame, key: str, mode: str = "union",
         raise ValueError("mode must be 'union' or 'all'")
     if mode == "union":
         return df if chunks.isEmpty() else df.join(chunks, key, "inner")
-    occurs = stage(chunks.select(key, chunk_col).distinct(), "chunk_keys")
+    occurs = stage(chunks.select(key, chunk_col).distinct(), "chunk_keys", tables)
     total = occurs.agg(F.count_distinct(chunk_col)).first()[0]
     if total == 0:
         return df

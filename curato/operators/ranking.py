@@ -4,11 +4,11 @@
 a partial ``WindowGroupLimit`` before the shuffle and a final one after it, so
 a group holding a third of all rows still sends at most one row per map task.
 
-``rank_in_group`` numbers *every* row of a group.  A plain window would put a
-hot group into one task, so rows are range-partitioned on (group, order) —
-which splits a large group over many partitions — numbered per (partition,
-group) slice, and a slice that goes on from an earlier partition is shifted by
-the group's rows there.
+``rank_in_group`` numbers *every* row of a group, and ``number_rows`` all rows.
+A plain window would put a large group into one task.  Groups above a fair
+share of a task are found by counting first; they are range-partitioned on (group,
+order), which splits them over many partitions, and sorted there, so a row's
+number is its place in the partition plus the group's rows in earlier ones.
 """
 
 from __future__ import annotations
@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 
 from curato.session import stage
 
-_PART = "__part"
 _GROUP = "__group"
-_LOCAL = "__local"
-_LOCAL_N = "__local_n"
-_OFFSET = "__offset"
+_SEQ = "__seq"
+_PART = "__part"
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -57,49 +55,87 @@ def dedupe_images(images: DataFrame, key: str = "image_id") -> DataFrame:
                         [F.col("created_at").desc_nulls_last(), F.col("cdn_url").asc_nulls_last()])
 
 
+def _sorted_slices(df: DataFrame, n: int, keys: Sequence[Column], name: str, tables: list[str] | None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys``, staged with ``__seq``: the
+    partition in the high bits, the place inside it in the low 33.  The staged table
+    fixes which row sits where and survives a lost executor."""
+    return stage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                 .withColumn(_SEQ, F.monotonically_increasing_id()), name, tables)
+
+
+def _part() -> Column:
+    return F.shiftright(_SEQ, 33)
+
+
+def number_rows(df: DataFrame, order: Sequence[Column], position_col: str = "position", total_col: str | None = None,
+                num_partitions: int | None = None, tables: list[str] | None = None) -> DataFrame:
+    """Add ``position_col``: the 0-based place of each row in ``order`` (a total
+    order), and its number of rows as ``total_col``.
+
+    Each row moves once, in the range exchange; the rows before a partition are one
+    number per partition, which is broadcast."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _sorted_slices(df, n, order, "numbered", tables)
+    parts = rows.groupBy(_part().alias(_PART)).agg(F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = parts.select(_PART, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+                          F.sum("__n").over(everything).alias("__whole"))                 # a row per partition
+    out = rows.withColumn(_PART, _part()).join(F.broadcast(starts), _PART)
+    out = out.withColumn(position_col, F.col("__before") + F.col(_SEQ) - F.col("__first"))
+    if total_col:
+        out = out.withColumn(total_col, F.col("__whole"))
+    return out.drop(_PART, _SEQ, "__first", "__before", "__whole")
+
+
 def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                   rank_col: str = "rank", size_col: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, tables: list[str] | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row inside its group.
 
     ``order`` must be a total order inside a group (end it with a unique key).
     ``size_col``, if given, receives the number of rows of the group.  All
     columns of ``df`` are written once, so pass only the ones needed.
 
-    Plan: range exchange on (group, order), which cuts a large group into
-    slices over several partitions -> staged table (fixes which rows sit in
-    which partition, and survives executor loss) -> row_number within each
-    (partition, group) slice.  Only a partition's first and last group can go
-    on in a neighbour, so the rows before a slice and the size of a cut group
-    come from at most two counts per partition: a broadcast bounded by the
-    number of partitions.  No task ever holds more than one range partition.
+    Plan: staged rows -> group sizes (combined before their shuffle).  A group with
+    more than half of a task's even share is hot; there are fewer than two per partition.
+    All other groups go through one window, one hash exchange.  The rows of hot
+    groups go through one range exchange on (group, order), sorted and staged,
+    and the numbers that their slices start from, fewer than three per partition, are
+    broadcast.  So each row moves once, and no task holds more than about its share.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gcols = _cols(group)
-    ranged = stage(
-        df.repartitionByRange(n, *gcols, *order)
-        .withColumns({_PART: F.spark_partition_id(), _GROUP: F.struct(*gcols)}), "ranged")
-
-    # Ranges ascend by group, so a partition's least and greatest groups are its ends.
-    ends = ranged.groupBy(_PART).agg(F.min(_GROUP).alias("__lo"), F.max(_GROUP).alias("__hi"))
-    at_end = F.col(_GROUP).eqNullSafe(F.col("__lo")) | F.col(_GROUP).eqNullSafe(F.col("__hi"))
-    slices = (ranged.select(_PART, _GROUP).join(F.broadcast(ends), _PART)     # n rows
-              .filter(at_end)
-              .groupBy(_PART, _GROUP).agg(F.count(F.lit(1)).alias(_LOCAL_N)))
-    before = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    cut = slices.select(
-        F.col(_PART).alias("__p"), F.col(_GROUP).alias("__g"),
-        F.coalesce(F.sum(_LOCAL_N).over(before), F.lit(0)).alias(_OFFSET),
-        F.sum(_LOCAL_N).over(Window.partitionBy(_GROUP)).alias("__whole"))
-
-    own = Window.partitionBy(_PART, _GROUP)
-    local = ranged.withColumn(_LOCAL, F.row_number().over(own.orderBy(*order)))
+    rows = stage(df.withColumn(_GROUP, F.struct(*_cols(group))), "ranked", tables)
+    sizes = rows.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("__size"))
+    hot = stage(sizes.filter(F.col("__size") > rows.count() / (2 * n)), "hot_groups", tables)
+    found = hot.count()
+
+    cold = rows
+    if found:
+        known = hot.withColumnRenamed(_GROUP, "__g")
+        cold = rows.join(F.broadcast(known), F.col(_GROUP).eqNullSafe(F.col("__g")), "left_anti")
+    own = Window.partitionBy(_GROUP)
+    out = cold.withColumn(rank_col, F.row_number().over(own.orderBy(*order)).cast("long"))
     if size_col:
-        local = local.withColumn("__n", F.count(F.lit(1)).over(own))
-    out = local.join(F.broadcast(cut), (F.col(_PART) == F.col("__p"))         # two rows a partition
-                     & F.col(_GROUP).eqNullSafe(F.col("__g")), "left")
-    out = out.withColumn(rank_col, (F.col(_LOCAL) + F.coalesce(_OFFSET, F.lit(0))).cast("long"))
+        out = out.withColumn(size_col, F.count(F.lit(1)).over(own))
+    if found:
+        out = out.unionByName(_rank_hot(
+            rows.join(F.broadcast(known.drop("__size")), F.col(_GROUP).eqNullSafe(F.col("__g")), "left_semi"),
+            n, order, rank_col, size_col, tables))
+    return out.drop(_GROUP)
+
+
+def _rank_hot(rows: DataFrame, n: int, order: Sequence[Column], rank_col: str, size_col: str | None,
+              tables: list[str] | None) -> DataFrame:
+    ranged = _sorted_slices(rows, n, [F.col(_GROUP), *order], "ranged", tables)
+    slices = ranged.groupBy(_part().alias(_PART), _GROUP).agg(F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.select(F.col(_PART).alias("__p"), F.col(_GROUP).alias("__g"), "__first",
+                           F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+                           F.sum("__n").over(Window.partitionBy(_GROUP)).alias("__whole"))
+    out = ranged.join(F.broadcast(starts), (_part() == F.col("__p")) & F.col(_GROUP).eqNullSafe(F.col("__g")))
+    out = out.withColumn(rank_col, F.col("__before") + F.col(_SEQ) - F.col("__first") + 1)
     if size_col:
-        out = out.withColumn(size_col, F.coalesce("__whole", "__n").cast("long")).drop("__n")
-    return out.drop(_PART, _GROUP, _LOCAL, _OFFSET, "__p", "__g", "__whole")
+        out = out.withColumn(size_col, F.col("__whole"))
+    return out.drop(_SEQ, "__p", "__g", "__first", "__before", "__whole")

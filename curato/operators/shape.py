@@ -51,7 +51,8 @@ def flatten_picks(nested: DataFrame) -> DataFrame:
 
 
 def enrich(left: DataFrame, right: DataFrame, key: str | list[str] = "image_id",
-           how: str = "left", suffix: str = "_right", stage_left: bool = True) -> DataFrame:
+           how: str = "left", suffix: str = "_right", stage_left: bool = True,
+           tables: list[str] | None = None) -> DataFrame:
     """Equi-join by column name(s); Spark picks the join method.
     Other columns that both sides have get ``suffix`` on the right side.
 
@@ -71,7 +72,7 @@ def enrich(left: DataFrame, right: DataFrame, key: str | list[str] = "image_id",
     if how not in ("left", "left_outer", "leftouter"):
         return left.join(right, keys, how)
     if stage_left:
-        left = stage(left, "enrich_left")
+        left = stage(left, "enrich_left", tables)
     matched = left.join(right, keys, "inner")
     unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -5,12 +5,15 @@
          document), written once as a validity-partitioned table
          (typed valid rows; rejected lines with reasons)
       -> select_and_reconcile (scored images, best picks and status staged)
-      -> <out>/updated_main_images   key/value JSON lines, one per current pick
-         <out>/snapshot, <out>/cdc, <out>/metrics   JSON lines
-         <out>/rejected/<feed>       lines that broke their contract, with file and line number
-         <out>/violations/<feed>     one JSON line per violation: where, which rule, expected, found
-
-Inputs are never modified.  Each output is one Spark write; every line is
+      -> updated_main_images         key/value JSON lines, one per current pick
+         snapshot, cdc, metrics      JSON lines
+         rejected_<feed>             lines that broke their contract, with file and line number
+         violations_<feed>           one JSON line per violation: where, which rule, expected, found
+
+The outputs go to <out>/runs/<run>/<name> and become current together when the last
+one is written; ``commits.read_output(spark, out, name)`` reads the current ones, and a
+run that fails leaves them as they were.  Inputs are never modified.
+Each output is one Spark write; every line is
 parsed and checked once, and the relations the outputs share are staged, so
 the scans and the ranking shuffles run once per job.  The staged tables are
 deleted when the job ends, also when it fails.
@@ -32,6 +35,7 @@ from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
 from curato.session import drop_tables, scratch_path
 from curato.sources import contracts, sinks
+from curato.sources.commits import Commit
 from curato.sources.feeds import number_lines, read_lines, read_split_lines, split_starts, with_places
 
 
@@ -152,38 +156,41 @@ def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: st
 
 def run_job(spark: SparkSession, images_path: str, tags_path: str, picks_path: str, out_dir: str,
             policy: Policy = Policy(), glob: str | None = None,
-            feed_contracts: Mapping[str, Contract | Mapping] | None = None, repeated: str = "reject") -> JobResult:
+            feed_contracts: Mapping[str, Contract | Mapping] | None = None, repeated: str = "reject",
+            join_key: str | None = None) -> JobResult:
     """``feed_contracts`` gives the contract, or the JSON-Schema document, of
     the feeds ('images', 'image_tags', 'main_images') that do not use the default.
     ``repeated`` says what a key that a line repeats does: 'reject' the line, or keep
-    its 'last' value."""
+    its 'last' value.  ``join_key`` brings tags to images by another column than the
+    image id.  All outputs become current together (``sources.commits``)."""
     stated = dict(feed_contracts or {})
     feeds = {"images": images_path, "image_tags": tags_path, "main_images": picks_path}
     if set(stated) - set(feeds):
         raise ValueError(f"contracts for unknown feeds: {sorted(set(stated) - set(feeds))}")
     tables: list[str] = []
-    out = out_dir.rstrip("/")
     try:
-        typed, rejected, counts = {}, {}, []
-        for name, path in feeds.items():
-            table, typed[name], _ = load_feed(spark, path, name, glob, stated.get(name), tables, repeated)
-            rejected[name] = located_rejects(table, tables)
-            counts.append(feed_counts(name, table))
-        sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
-                                   materialize=True, tables=tables)
-        paths = {n: f"{out}/{n}" for n in ("updated_main_images", "snapshot", "cdc", "metrics")}
-        sinks.write_key_value(sel.updated_picks, paths["updated_main_images"])
-        sinks.write_jsonl(sel.snapshot, paths["snapshot"])
-        sinks.write_jsonl(sel.cdc, paths["cdc"])
-        metrics = sel.metrics
-        for c in counts:
-            metrics = metrics.unionByName(c)
-        sinks.write_jsonl(metrics.coalesce(1), paths["metrics"])   # a handful of rows
-        for name, bad in rejected.items():
-            paths[f"rejected_{name}"] = f"{out}/rejected/{name}"
-            sinks.write_jsonl(bad.drop("details"), paths[f"rejected_{name}"])
-            paths[f"violations_{name}"] = f"{out}/violations/{name}"
-            sinks.write_jsonl(validate.violation_report(bad, "file", "line"), paths[f"violations_{name}"])
+        with Commit(spark, out_dir) as commit:
+            typed, rejected, counts = {}, {}, []
+            for name, path in feeds.items():
+                table, typed[name], _ = load_feed(spark, path, name, glob, stated.get(name), tables, repeated)
+                rejected[name] = located_rejects(table, tables)
+                counts.append(feed_counts(name, table))
+            sel = select_and_reconcile(typed["images"], typed["image_tags"], typed["main_images"], policy,
+                                       materialize=True, tables=tables, join_key=join_key)
+            paths = {n: commit.path(n) for n in ("updated_main_images", "snapshot", "cdc", "metrics")}
+            sinks.write_key_value(sel.updated_picks, paths["updated_main_images"])
+            sinks.write_jsonl(sel.snapshot, paths["snapshot"])
+            sinks.write_jsonl(sel.cdc, paths["cdc"])
+            metrics = sel.metrics
+            for c in counts:
+                metrics = metrics.unionByName(c)
+            sinks.write_jsonl(metrics.coalesce(1), paths["metrics"])   # a handful of rows
+            for name, bad in rejected.items():
+                paths[f"rejected_{name}"] = commit.path(f"rejected_{name}")
+                sinks.write_jsonl(bad.drop("details"), paths[f"rejected_{name}"])
+                paths[f"violations_{name}"] = commit.path(f"violations_{name}")
+                sinks.write_jsonl(validate.violation_report(bad, "file", "line"), paths[f"violations_{name}"])
+            commit.publish()
     finally:
         drop_tables(spark, tables)
     return JobResult(outputs=paths, rejected={n: paths[f"rejected_{n}"] for n in feeds})

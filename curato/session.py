@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,7 +77,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{os.urandom(6).hex()}"
+    path = f"{base}/tables/{name}-{os.urandom(6).hex()}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
+
+
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, every intermediate table made inside.
+
+    Operators return lazy DataFrames that read their staged tables, so a table may go
+    only when its results have been written or collected: do both inside the scope.
+
+        with table_scope(spark):
+            some_operator(df).write.parquet(target)
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPE.reset(token)
+        drop_tables(spark, paths)
 
 
 #: When set to a list, ``stage`` appends (name, physical plan) to it: the plan

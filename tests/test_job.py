@@ -110,6 +110,43 @@ def test_cli_runs_the_job(spark, tmp_dir):
                          capture_output=True, text=True, timeout=900, cwd=root)
     assert res.returncode == 0, res.stderr[-2000:]
     assert "snapshot:" in res.stdout
-    assert spark.read.json(os.path.join(out, "updated_main_images")).count() == picks.count()
-    metrics = {r.metric: r.value for r in spark.read.json(os.path.join(out, "metrics")).collect()}
+    from curato.sources.commits import read_output
+    assert read_output(spark, out, "updated_main_images").count() == picks.count()
+    metrics = {r.metric: r.value for r in read_output(spark, out, "metrics").collect()}
     assert metrics["image_tags_rejected"] == 2
+
+
+def test_a_failed_run_leaves_the_earlier_outputs(spark, tmp_dir, monkeypatch):
+    from curato.plans import job
+    from curato.sources import commits
+    paths, _, _, picks = write_feeds(spark, tmp_dir)
+    out = os.path.join(tmp_dir, "out3")
+    assert commits.current(spark, out) == {}
+    with pytest.raises(ValueError):
+        commits.read_output(spark, out, "snapshot")
+    run_job(spark, paths["images"], paths["tags"], paths["picks"], out, POLICY)
+    first = commits.current(spark, out)
+    held = sorted(tuple(r) for r in commits.read_output(spark, out, "snapshot").collect())
+    writes, real = [], job.sinks.write_jsonl
+
+    def breaks(df, path, *a, **kw):      # between two outputs
+        writes.append(path)
+        if len(writes) == 2:
+            raise OSError("no space left")
+        real(df, path, *a, **kw)
+
+    monkeypatch.setattr(job.sinks, "write_jsonl", breaks)
+    with pytest.raises(OSError):
+        run_job(spark, paths["images"], paths["tags"], paths["picks"], out, POLICY)
+    assert commits.current(spark, out) == first and len(os.listdir(os.path.join(out, "runs"))) == 1
+    assert sorted(tuple(r) for r in commits.read_output(spark, out, "snapshot").collect()) == held
+    monkeypatch.undo()
+    # Later runs replace it at once; the one before stays for its readers, older ones go.
+    for _ in range(2):
+        before = commits.current(spark, out)
+        run_job(spark, paths["images"], paths["tags"], paths["picks"], out, POLICY)
+        assert commits.current(spark, out) != before and set(commits.current(spark, out)) == set(before)
+        assert os.path.isdir(before["snapshot"])
+    assert not os.path.isdir(first["snapshot"]) and len(os.listdir(os.path.join(out, "runs"))) == 2
+    with pytest.raises(ValueError):
+        commits.Commit(spark, out, keep=0)
