@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from curato.functions.contract import Contract, Rule
 from curato.operators import chunking, metrics, outputs, reconcile, scoring, shape, validate
 from curato.operators.ranking import best_tag, dedupe_images
+from curato.plans.incremental import PickState, scored_delta
 from curato.plans.job import load_feed, split_feeds, validation_gate
 from curato.plans.selection import select_and_reconcile
 from curato.policy import Policy
@@ -110,6 +111,20 @@ def q_tags_by_other_key(spark, sf):
     return sel.scored.select("image_id", "hotel_id", "tag", "version", "probability", "image_score")
 
 
+def q_incremental_picks(spark, sf):
+    """A state of an earlier image feed brought up to date by the records that changed:
+    every 17th image, half of them new, half with a worse record than before."""
+    now, tags = images_view(spark, sf), tags_view(spark, sf)
+    k = F.col("image_id")
+    better = {"width": F.lit(4000).cast("long"), "height": F.lit(3000).cast("long"), "is_active": F.lit(True)}
+    earlier = now.filter(k % 34 != 0).withColumns({c: F.when(k % 17 == 0, v).otherwise(F.col(c)) for c, v in better.items()})
+    state = PickState.build(scoring.scored_candidates(earlier, tags, POLICY_A), scratch_path(spark, "pick_state"), k=2)
+    delta = scored_delta(now.filter(k % 17 == 0), tags, POLICY_A)
+    state, _ = state.update(delta, lambda hotels: scoring.scored_candidates(
+        now.join(hotels, "hotel_id", "left_semi"), tags, POLICY_A))
+    return state.top()
+
+
 def q_composite_a(spark, sf):
     return _scored(spark, sf).select("image_id", "hotel_id", "image_score")
 
@@ -606,4 +621,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_sides": q_split_sides,
     "sub_scores_null_as_zero": q_sub_scores_null_as_zero,
     "tags_by_other_key": q_tags_by_other_key,
+    "incremental_picks": q_incremental_picks,
 }

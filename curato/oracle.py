@@ -398,4 +398,5 @@ ORACLE: dict[str, str] = {
                round(l_discount * 10, 6) AS probability FROM lineitem)""", BEST_TAG, IMGS,
         CAND.replace("ON i.image_id = b.image_id", "ON i.hotel_id = b.image_id"), FEAT.format(src="cand"), SUBS_A,
         SCORED.format(src="subs")) + "SELECT image_id, hotel_id, tag, version, probability, image_score FROM scored",
+    "incremental_picks": _with(*SCORED_CTES, TOP) + "SELECT hotel_id, image_id, image_score, cdn_url FROM top",
 }
