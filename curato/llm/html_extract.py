@@ -47,8 +47,11 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
-    r"|<[a-zA-Z][^<>]*\Z",
+    r"|<[a-zA-Z][^<>]*\Z"
+    r"|<(?=[a-zA-Z])",      # a tag that the page does not end
     re.S | re.I)
+# From then on, tags end at the next < or >, so no part of the page is read again and again.
+_PLAIN_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>|<[!?/][^<>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 NAMING = frozenset("class id role aria-label".split())
 # Elements without text of the page: what holds no tags runs to its end tag or the
@@ -90,7 +93,9 @@ OTHER = frozenset("""ad ads adv advert adverts advertisement advertising sponsor
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
     comment comments commentlist respond disqus reply replies discussion nav navbar navigation menu menus breadcrumb
     breadcrumbs toolbar pagination pager tabs sidebar aside related recommended recommendations share sharing social
-    widget widgets footer masthead topbar copyright legal search banner contentinfo complementary""".split())
+    widget widgets footer masthead topbar copyright legal search banner contentinfo complementary
+    adsbygoogle adsense adslot adbox adcontainer cookiebanner cookiebar cookieconsent commentsection
+    werbung werbeanzeige kommentar kommentare publicidad comentario comentarios publicite commentaires""".split())
 
 
 # Of these, the ones that a page's layout element may carry around its article.
@@ -100,8 +105,14 @@ AMBIGUOUS = frozenset("""adv alert aside banner consent copyright discussion leg
     notice notices overlay promo recommendations recommended related replies reply respond search share sharing signup
     social sponsor sponsors subscription tabs toolbar widget widgets""".split())
 # Words that change nothing in a name made of them and the above.
-FILLER = frozenset("""area bar block box button buttons container form inner item items link links list outer panel
-    section wrap wrapper""".split())
+FILLER = frozenset("""area articles bar block bottom box button buttons container content fixed form google icons inner
+    item items js left link links list main module news outer page panel post posts reader readers region right section
+    site slot sticky stories thread title top unit user users wrap wrapper zone""".split())
+# Of the fillers, the ones that make the name of an ambiguous word sure (related-posts, share-buttons).
+CONTROLS = frozenset("articles button buttons icons posts slot stories".split())
+# Words that are sure as an id: no passage of an article is called so.
+ID_SURE = frozenset("""ad ads adsbygoogle adsense adslot advert adverts comment comments commentaires commentlist
+    commentsection comentarios cookieconsent disqus gdpr kommentare publicidad werbung""".split())
 SKIP = -3   # place of what is inside a skipped element
 
 
@@ -112,16 +123,18 @@ class Block:
     place: int = 0       # 1 in the article, 0 nowhere, below 0 in something else
     heading: int = 0
     doubt: int = 0       # 1 in an element whose name may or may not mean something else
+    form: int = 0        # the number of the form it lies in
 
 
-def _names(attributes: str, inside: bool) -> tuple[set[str], bool]:
+def _names(tag: str, attributes: str, inside: bool) -> tuple[set[str], bool]:
     """What an element's names say: the words that surely name something else
     than the article, and whether a name leaves that in doubt.
 
-    A name is a class or role token, an id or a label.  Outside an article it is
-    sure if it is made of words of ``OTHER`` (and ``FILLER``) and one of them is
-    not ambiguous, or names a layout.  Inside, only a class or role token that
-    is one such word is; an id there may be the anchor of any passage."""
+    A name is a class or role token, an id or a label.  It is sure if it is made of
+    words of ``OTHER`` and ``FILLER`` and one of them is not ambiguous, or stands beside a
+    word for controls; outside an article also if it names a layout.  Inside an
+    article a label is never sure, and an id, which may be the anchor of any passage, only
+    on an element that holds blocks and for a word of ``ID_SURE``."""
     sure: set[str] = set()
     doubt = False
     for found in _ATTRIBUTE.findall(attributes):
@@ -134,10 +147,13 @@ def _names(attributes: str, inside: bool) -> tuple[set[str], bool]:
             other = words & OTHER
             if not other:
                 continue
-            clear = name in OTHER if inside else words <= OTHER | FILLER
-            if inside and kind not in ("class", "role"):
+            clear = words <= OTHER | FILLER
+            if inside and kind == "id":
+                clear = clear and bool(words & ID_SURE) and tag not in HEADINGS and tag not in INLINE and tag not in LIGHT
+            elif inside and kind not in ("class", "role"):
                 clear = False
-            if clear and (kind == "role" or not other <= (AMBIGUOUS if inside else AMBIGUOUS - LAYOUT)):
+            certain = not other <= (AMBIGUOUS if inside else AMBIGUOUS - LAYOUT) or bool(words & CONTROLS)
+            if clear and (kind == "role" or certain):
                 sure |= other
             else:
                 doubt = True
@@ -153,7 +169,7 @@ def _place(tag: str, attributes: str, outer: int) -> tuple[int, int]:
         return SKIP, 0
     if outer == -2 or tag in OUTSIDE or tag == "header" and outer == 0:
         return -2, 0
-    sure, doubt = _names(attributes, outer == 1 or tag in INSIDE)
+    sure, doubt = _names(tag, attributes, outer == 1 or tag in INSIDE)
     if sure - LAYOUT:
         return -2, 0
     if tag in INSIDE:
@@ -162,8 +178,27 @@ def _place(tag: str, attributes: str, outer: int) -> tuple[int, int]:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The non-empty text blocks of a page in order."""
+    """The non-empty text blocks of a page in order.
+
+    Some pages lie in one form.  A form that holds an article or main element, or more
+    than half of the page's words, is no part of the page beside others, so it is read
+    once more as a plain element."""
+    out, articles = _read_blocks(page, frozenset())
+    words = [len("".join(b.parts).split()) for b in out]
+    per: dict[int, int] = dict.fromkeys(articles, 0)
+    for b, n in zip(out, words, strict=True):
+        if b.form:
+            per[b.form] = per.get(b.form, 0) + n
+    plain = frozenset(f for f, n in per.items() if f in articles or 2 * n > sum(words))
+    return _read_blocks(page, plain)[0] if plain else out
+
+
+def _read_blocks(page: str, plain_forms: frozenset[int]) -> tuple[list[Block], set[int]]:
+    """The blocks, and the numbers (from 1, in page order) of the forms that hold an article
+    or main element; the forms in ``plain_forms`` count as plain elements."""
     out: list[Block] = []
+    articles: set[int] = set()
+    forms, in_form = 0, 0                 # started so far; the number of the one that is open, or 0
     open_: list[tuple[str, int, int]] = []   # enclosing elements with the place of their content, and its doubt
     spots: dict[str, list[int]] = {}    # their positions in open_ by tag, and by what they bound
     block, link, heading = Block(), False, 0
@@ -177,7 +212,7 @@ def blocks_of(page: str) -> list[Block]:
             return
         if any(not p.isspace() for p in block.parts if p):
             out.append(block)
-        block = Block(place=place(), heading=heading, doubt=open_[-1][2] if open_ else 0)
+        block = Block(place=place(), heading=heading, doubt=open_[-1][2] if open_ else 0, form=in_form)
 
     def enter(tag: str, place: int, doubt: int = 0) -> None:
         for key in KEYS.get(tag, (tag,)):
@@ -191,8 +226,11 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(to: int) -> None:
         """End the open elements from position ``to`` on."""
+        nonlocal in_form
         while len(open_) > to:
             tag = open_.pop()[0]
+            if tag == "form":
+                in_form = 0
             for key in KEYS.get(tag, (tag,)):
                 spots[key].pop()
 
@@ -208,10 +246,13 @@ def blocks_of(page: str) -> list[Block]:
             if link:
                 block.linked.append(part)
 
-    at = 0
-    while m := _TAG.search(page, at):
+    at, tags = 0, _TAG
+    while m := tags.search(page, at):
         text(page[at:m.start()])
         at = m.end()
+        if m[0] == "<":     # no end up to the end of the page
+            at, tags = m.start(), _PLAIN_TAG
+            continue
         tag = (m[2] or "").lower()
         if not tag:
             continue
@@ -286,6 +327,17 @@ def blocks_of(page: str) -> list[Block]:
             link = False
         elif not attributes.endswith("/"):
             outer, doubt = open_[-1][1:] if open_ else (0, 0)
+            if tag in INSIDE and in_form:
+                articles.add(in_form)
+            if tag == "form" and in_form:
+                continue                          # a form holds no other
+            if tag == "form":
+                forms += 1
+                in_form = forms
+                if in_form in plain_forms:
+                    enter(tag, outer, doubt)
+                    cut()
+                    continue
             where, more = _place(tag, attributes, outer) if tag not in LIGHT or "=" in attributes else (outer, 0)
             if tag not in ("html", "body", "head") or where != outer and tag == "head":
                 enter(tag, where, more if tag in INSIDE else doubt | more)
@@ -293,7 +345,7 @@ def blocks_of(page: str) -> list[Block]:
     text(page[at:])
     close(0)
     cut()
-    return out
+    return out, articles
 
 
 def block_text(block: Block) -> str:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -151,3 +152,54 @@ def test_query_on_the_table_and_odd_tables(spark):
     got = H.extract_pages(with_clashes(odd, "text", "n_chars"), TREE).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("", 0), ("x", 1)]
     assert H.extract_pages(empty_like(odd), TREE).count() == 0
+
+
+@pytest.mark.parametrize("name", [
+    "class=comment-list", "class=comments-area", "class=post-comments", "class=user-comments", "class=cookie-banner",
+    "class=cookie-consent", "class=gdpr-notice", "class=ad-slot", "class=advert-box", "class=google-ad",
+    "class=sponsored-content", "class=newsletter-signup", "class=share-buttons", "class=related-posts", "id=comments",
+    "class=adsbygoogle", "class=werbung", "class=kommentare", "class='x user_comments'"])
+def test_compound_names_are_left_out_inside_and_outside_an_article(name):
+    other = " ".join(["words of somebody else that run on"] * 4)
+    page = f"<article><p>{PROSE}</p><div {name}><p>{other}</p></div><p>{PROSE}</p></article>"
+    assert H.main_text(page, TREE) == f"{PROSE} {PROSE}"
+    page = f"<div><p>{PROSE}</p><p>{PROSE}</p></div><div {name}><p>{other}</p></div>"
+    assert H.main_text(page, TREE) == f"{PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("name", ["id=cookies", "id=advertising", "id=newsletter", "class=notice", "class=legal-notice",
+                                  "class=ad-hoc-methods", "class=commented", "aria-label=comments"])
+def test_names_that_passages_carry_keep_their_text(name):
+    page = f"<article><p>{PROSE}</p><section {name}><p>{PROSE}</p></section><p>{PROSE}</p></article>"
+    assert H.main_text(page, TREE) == " ".join([PROSE] * 3)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<form><nav><a>menu</a></nav><article><p>one</p><p>two</p></article></form>", "one two"),
+    (f"<form id=aspnet><div><p>{PROSE}</p><p>{PROSE}</p></div></form>", f"{PROSE} {PROSE}"),
+    (f"<article>{PROSE}<form><p>your mail address</p></form></article>", PROSE),
+    (f"<div><p>{PROSE}</p><p>{PROSE}</p></div><form>sign in</form>", f"{PROSE} {PROSE}"),
+    (f"<form>search</form><form><main>{PROSE}</main></form><form>mail</form>", PROSE),
+    ("<form><form><article>x</article>", "x"),
+])
+def test_a_form_around_the_page_is_no_form_in_it(page, text):
+    assert H.main_text(page, TREE) == text
+
+
+@pytest.mark.parametrize("unit", ["<a x ", '<a ="', "<a b='", "<!-", "<a <b ", "</", "<p x=\">"])
+@pytest.mark.parametrize("end", ["", ">", "\">", "'>"])
+def test_tags_without_an_end_take_linear_time(unit, end):
+    def seconds(n):
+        began = time.perf_counter()
+        H.main_text("<article>x</article>" + unit * n + end, TREE)
+        return time.perf_counter() - began
+
+    seconds(1000)
+    times = [min(seconds(n) for _ in range(2)) for n in (20_000, 40_000, 80_000)]
+    for a, b in zip(times, times[1:], strict=False):
+        assert b < 3 * a + 0.05
+
+
+def test_text_after_a_tag_without_end_is_read():
+    assert H.main_text("<article><p>one</p><p>two <a href='x", TREE).startswith("one two")
+    assert H.main_text("<article><p>one</p><p class=\"x>two</p><p>three</p></article>", TREE).startswith("one")
