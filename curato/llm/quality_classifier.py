@@ -9,10 +9,11 @@ max-pooled over each chunk, passed through ReLU, averaged over the chunks, and a
 logistic unit combines the averages into one probability.
 
 Learning.  On a sample of at most ``SAMPLE`` labelled rows of the learning
-folds (of each at most ``TRAIN_CHUNKS`` chunks, spread evenly over the text; a
-bound on training only; to each row of label 1 comes a short cut of its text, so
-that being short does not count as a defect) all tables are learned by Adam on the weighted log
-loss; through the max only the winning position gets a gradient.  The model
+folds (to each row of label 1 comes a short cut of its text, so that being short
+does not count as a defect) all tables are learned by Adam on the weighted log
+loss; through the max only the winning position gets a gradient.  An epoch takes
+another part of a long text's chunks, ``TRAIN_CHUNKS`` or what makes the epochs
+together see every chunk.  The model
 has a fixed size (FILTERS x WIDTH x 256 numbers) and goes to the tasks with the
 function.
 
@@ -131,14 +132,23 @@ def constant(probability: float) -> Network:
                    np.zeros(FILTERS, np.float32), float(np.log(p / (1 - p))))
 
 
-def _train_chunks(text: bytes) -> np.ndarray:
-    """Up to TRAIN_CHUNKS chunks of a text, evenly spread, padded with 0."""
-    starts = np.arange(0, max(1, len(text) - BLOCK), BLOCK)
-    if len(starts) > TRAIN_CHUNKS:
-        starts = starts[np.linspace(0, len(starts) - 1, TRAIN_CHUNKS).astype(int)]
+def _chunk_starts(size: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """For each epoch the starts of the chunks that it learns from: all of a short
+    text, of a long one the next part of a shuffled round, so that all are seen."""
+    starts = np.arange(0, max(1, size - BLOCK), BLOCK)
+    n = max(TRAIN_CHUNKS, -(-len(starts) // EPOCHS))
+    if len(starts) <= n:
+        return [starts] * EPOCHS
+    order = rng.permutation(starts)
+    return [np.take(order, np.arange(e * n, (e + 1) * n), mode="wrap") for e in range(EPOCHS)]
+
+
+def _chunks(text: bytes, starts: np.ndarray) -> np.ndarray:
+    """The chunks at some starts, padded with 0."""
+    raw = np.frombuffer(text, dtype=np.uint8)
     out = np.zeros((len(starts), CHUNK + WIDTH - 1), dtype=np.uint8)
     for i, s in enumerate(starts):
-        part = np.frombuffer(text, dtype=np.uint8)[s:s + CHUNK]
+        part = raw[s:s + CHUNK]
         out[i, :len(part)] = part
     return out
 
@@ -162,7 +172,7 @@ def learn(sample: Sequence[tuple[bytes, int, float]], seed: int = 11) -> Network
     if not 0 < prior < 1:
         return constant(prior)
     weight /= weight.mean()
-    chunks = [_train_chunks(r[0]) for r in sample]
+    starts = [_chunk_starts(len(r[0]), rng) for r in sample]
     taps = rng.normal(0, 0.3, (FILTERS, WIDTH, 256)).astype(np.float32)
     taps[:, :, 0] = 0
     net = Network(taps, np.zeros(FILTERS, np.float32), rng.normal(0, 0.5, FILTERS).astype(np.float32),
@@ -170,12 +180,12 @@ def learn(sample: Sequence[tuple[bytes, int, float]], seed: int = 11) -> Network
     params = [net.taps, net.offset, net.combine, np.array([net.bias], np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step, span = 0, CHUNK + WIDTH - 1
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
         order = rng.permutation(len(sample))
         for a in range(0, len(order), BATCH):
             own = order[a:a + BATCH]
-            block = np.concatenate([chunks[i] for i in own])
-            doc = np.repeat(np.arange(len(own)), [len(chunks[i]) for i in own])
+            block = np.concatenate([_chunks(sample[i][0], starts[i][epoch]) for i in own])
+            doc = np.repeat(np.arange(len(own)), [len(starts[i][epoch]) for i in own])
             per = np.bincount(doc, minlength=len(own)).astype(np.float32)
             flat = np.concatenate([block.ravel(), np.zeros(WIDTH - 1, np.uint8)])
             answer = net.answers(flat).reshape(FILTERS, len(block), span)[:, :, :CHUNK]

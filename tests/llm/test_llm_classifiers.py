@@ -79,6 +79,24 @@ def test_network_learns_and_covers_whole_texts(junk_and_prose):
         assert net.scores(*packed([t]))[0] == pytest.approx(v, abs=1e-6)
 
 
+def test_training_sees_every_chunk():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 511, 512, 513, 5000, 60_000, 1_000_000):
+        every = set(range(0, max(1, size - Q.BLOCK), Q.BLOCK))
+        starts = Q._chunk_starts(size, rng)
+        assert len(starts) == Q.EPOCHS and {int(x) for s in starts for x in s} == every
+        assert max(map(len, starts)) <= max(Q.TRAIN_CHUNKS, -(-len(every) // Q.EPOCHS))
+    # The one mark of a class lies in the middle of long texts.
+    rows = []
+    for i in range(120):
+        words = ["plain"] * 3000
+        words[1500:1500] = ["qqqqq"] * 60 if i % 2 else []
+        rows.append((" ".join(words).encode(), i % 2, 1.0))
+    net = Q.learn(rows)
+    s = net.scores(*packed([t.decode() for t, _, _ in rows[:20]]))
+    assert auc([y for _, y, _ in rows[:20]], s) == 1.0
+
+
 def naive_score(net, text):
     """The network written out: one position, one tap at a time."""
     raw = text.encode()
@@ -120,6 +138,22 @@ def test_machine_learns_pairs_that_weights_cannot():
     assert a < 0.5 < b
 
 
+def test_machine_learns_terms_that_say_nothing_alone():
+    """Toxic when an insult and a group are both there or both absent: neither tells the classes apart by itself."""
+    rng = random.Random(4)
+    filler = [f"filler{i}" for i in range(30)]
+    rows = []
+    for _ in range(1500):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.choices(filler, k=12) + ["insult"] * insult + ["group"] * group
+        rng.shuffle(words)
+        rows.append((" ".join(words).encode(), int(insult == group), 1.0))
+    m = T.learn(rows[:1100])
+    s = m.scores(*T._packed([t for t, _, _ in rows[1100:]]))
+    y = np.array([y for _, y, _ in rows[1100:]])
+    assert ((s >= 0.5) == y).mean() > 0.95
+
+
 def test_machine_pair_sum_is_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     m = T.Machine(np.full(1 << T.BUCKET_BITS, -1, np.int16), 0.3, rng.normal(size=9), rng.normal(size=(9, T.FACTORS)))
@@ -129,6 +163,16 @@ def test_machine_pair_sum_is_the_sum_over_pairs():
     assert m.logits(x) == pytest.approx(naive)
 
 
+def test_machine_reads_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    rows = [(" ".join(rng.choices(["good", "vermin", "river", "stone"], k=30)).encode(), i % 2, 1.0) for i in range(80)]
+    m = T.learn([(t + b" awful" * y, y, w) for t, y, w in rows])
+    texts = ["", "river " * 3000 + "awful", "stone", "good awful " * 500]
+    whole = m.scores(*packed(texts))
+    monkeypatch.setattr(T, "PIECE", 64)
+    assert m.scores(*packed(texts)) == pytest.approx(whole, abs=1e-9)
+
+
 def test_mixture_finds_the_languages_of_a_document():
     rng = random.Random(6)
     vocab = {k: ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(80)]
