@@ -48,6 +48,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name, _RECORD[-1] if _RECORD else None)
 
 
+def numbered_rows(docs: DataFrame, name: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """(row, user): each row's number and the row as it came, packed, so that its columns
+    meet no name of an operator; and (row, columns) for the operator.  Both read one
+    staged table, so the numbers are the same."""
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(
+        *[F.col(f"`{c}`") for c in docs.columns]).alias("user")), name)
+    return rows, rows.select("row", *[F.col(f"user.{c}") for c in columns])
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as the empty text."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")

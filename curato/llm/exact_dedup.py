@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import SPACE, staged, table
+from curato.llm.common import SPACE, numbered_rows, staged, table
 
 SHARD_KEYS = 50_000
 ARITY = 3
@@ -232,12 +232,10 @@ def settle(rows: DataFrame) -> DataFrame:
 
 def dedup_stage(docs: DataFrame) -> DataFrame:
     """The documents without their copies, all columns as they came."""
-    cols = docs.columns
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id())
-                  .withColumn("__sha", F.sha2(normalised(), 256)), "dedup_in")
-    digests = rows.select(F.col("__row").alias("row_id"), "doc_id", F.col("__sha").alias("sha"), normalised().alias("norm"))
-    keep = settle(digests).filter("kept").select(F.col("row_id").alias("__row"))
-    return rows.join(keep, "__row").select(*[F.col(f"`{c}`") for c in cols])
+    rows, needed = numbered_rows(docs, "dedup_in", "doc_id", "text")
+    digests = needed.select(F.col("row").alias("row_id"), "doc_id", F.sha2(normalised(), 256).alias("sha"), normalised().alias("norm"))
+    keep = settle(digests).filter("kept").select(F.col("row_id").alias("row"))
+    return rows.join(keep, "row").select("user.*")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import Words, doc_runs, freed, mix64, pieces, staged, table, utf8_buffers, word_table
+from curato.llm.common import doc_runs, freed, mix64, numbered_rows, pieces, staged, table, utf8_buffers, word_table, Words
 from curato.llm.dart_minhash import band_keys, signatures
 
 SHINGLE = 5
@@ -293,10 +293,9 @@ def near_classes(docs: DataFrame, row_id: Column | None = None, weights: str = "
 
 def near_dedup_stage(docs: DataFrame) -> DataFrame:
     """One document of each class, all columns as they came."""
-    cols = docs.columns
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "near_in")
-    keep = near_classes(rows, F.col("__row")).filter("kept").select(F.col("row_id").alias("__row"))
-    return rows.join(keep, "__row").select(*[F.col(f"`{c}`") for c in cols])
+    rows, needed = numbered_rows(docs, "near_in", "doc_id", "text")
+    keep = near_classes(needed, F.col("row")).filter("kept").select(F.col("row_id").alias("row"))
+    return rows.join(keep, "row").select("user.*")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curato.llm.common import WORD, staged, table
+from curato.llm.common import WORD, numbered_rows, staged, table
 
 DEFAULT_DOMAIN = "web"
 BUCKET_ROWS = 5000
@@ -117,17 +117,22 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     stats = staged(leaves.groupBy("domain", "lang", "source").agg(
         F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "leaves")
     stats = stats.withColumn("supply", F.col("tokens") * mix.max_epochs)
+    # A node can use what its children of positive weight can; one without such children, nothing.
+    source_weight = _lookup(mix.source_weights, F.col("source"), 1).cast("long")
+    lang_weight = _lookup(mix.language_weights, F.col("lang"), 1).cast("long")
+    in_lang = F.when(source_weight > 0, F.col("supply")).otherwise(F.lit(0))
+    in_domain = F.when(lang_weight > 0, in_lang).otherwise(F.lit(0))
     # The root's children: as many rows as there are domains.
-    domains = (stats.groupBy("domain").agg(F.sum("supply").alias("supply"), F.sum("tokens").alias("tokens"))
+    domains = (stats.groupBy("domain").agg(F.sum(in_domain).alias("supply"), F.sum("tokens").alias("tokens"))
                .withColumn("weight", _lookup(mix.domain_weights, F.col("domain"), 1).cast("long"))
                .withColumn("budget", F.expr(
                    f"sum(tokens) OVER (PARTITION BY 0) * {int(mix.budget_percent)} div 100").cast("long")))
     domains = _share(domains, [], "domain").select("domain", F.col("given").alias("budget"))
-    langs = (stats.groupBy("domain", "lang").agg(F.sum("supply").alias("supply"))
-             .withColumn("weight", _lookup(mix.language_weights, F.col("lang"), 1).cast("long"))
+    langs = (stats.groupBy("domain", "lang").agg(F.sum(in_lang).alias("supply"))
+             .withColumn("weight", lang_weight)
              .join(domains, "domain"))
     langs = _share(langs, ["domain"], "lang").select("domain", "lang", F.col("given").alias("budget"))
-    sources = (stats.withColumn("weight", _lookup(mix.source_weights, F.col("source"), 1).cast("long"))
+    sources = (stats.withColumn("weight", source_weight)
                .join(langs, ["domain", "lang"]))
     return staged(_share(sources, ["domain", "lang"], "source").select(
         "domain", "lang", "source", F.col("given").alias("budget"), "n_docs", "tokens"), "budgets")
@@ -175,11 +180,10 @@ def mix_plan(docs: DataFrame, mix: Mix = PRODUCTION, row_id: Column | None = Non
 
 def mix_stage(docs: DataFrame, mix: Mix = PIPELINE) -> DataFrame:
     """The documents the mix takes, once per copy, all columns as they came."""
-    cols = docs.columns
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "mix_in")
-    taken = mix_plan(rows, mix, F.col("__row")).filter("copies > 0").select(
-        F.col("row_id").alias("__row"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("__copy"))
-    return rows.join(taken, "__row").select(*[F.col(f"`{c}`") for c in cols])
+    rows, needed = numbered_rows(docs, "mix_in", "doc_id", "text", "lang", "source")
+    taken = mix_plan(needed, mix, F.col("row")).filter("copies > 0").select(
+        F.col("row_id").alias("row"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rows.join(taken, "row").select("user.*")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

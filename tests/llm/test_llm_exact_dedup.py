@@ -68,7 +68,9 @@ def test_empty_table_and_clashing_columns(spark):
     assert X.find_copies(empty_like(df)).count() == 0
     extra = with_clashes(df, "keep_id", "sha", "row_id", "norm", "batch", "kept")
     assert result(X.find_copies(extra)) == result(X.find_copies(df))
+    extra = with_clashes(extra, "row", "user", "__row", "__sha")
     staged = X.dedup_stage(extra)
+    assert staged.filter("row = 'extra' and user = 'extra' and __row = 'extra' and __sha = 'extra'").count() == staged.count()
     assert staged.columns == extra.columns
     assert staged.count() == sum(r[3] for r in result(X.find_copies(df)))
     assert X.dedup_stage(empty_like(extra)).count() == 0

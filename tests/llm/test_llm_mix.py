@@ -34,7 +34,10 @@ def brute(rows, mix):
     supply = {leaf: sum(n for _, n in own) * mix.max_epochs for leaf, own in leaves.items()}
 
     def below(*path):
-        return sum(s for leaf, s in supply.items() if leaf[:len(path)] == path)
+        """What the leaves under a node can use: none under a node of weight 0."""
+        weights = [mix.domain_weights, mix.language_weights, mix.source_weights]
+        return sum(s for leaf, s in supply.items() if leaf[:len(path)] == path
+                   and all(weights[k].get(leaf[k], 1) > 0 for k in range(len(path), 3)))
 
     out = {}
     top = share(total * mix.budget_percent // 100,
@@ -71,7 +74,9 @@ def corpus(n=400):
 
 @pytest.mark.parametrize("mix", [M.PRODUCTION, M.PIPELINE, M.Mix(budget_percent=150, max_epochs=3, seed=2),
                                  M.Mix(budget_percent=0), M.Mix(budget_percent=1000, max_epochs=2),
-                                 M.Mix(domain_weights={"forum": 0}, source_weights={"src7": 50})])
+                                 M.Mix(domain_weights={"forum": 0}, source_weights={"src7": 50}),
+                                 M.Mix(language_weights={"de": 0, "en": 3}), M.Mix(source_weights={"src0": 0, "src4": 0}),
+                                 M.Mix(domain_weights={"web": 0}, language_weights={"fr": 0}, source_weights={"src2": 0, "src5": 0})])
 def test_plan_against_brute_force(spark, mix):
     assert planned(documents(spark, corpus()), mix) == brute(corpus(), mix)
 
@@ -93,11 +98,51 @@ def test_shortages_go_to_siblings_before_ancestors(spark):
     assert leaf[("forum", "en")] == 10 and leaf[("forum", "de")] == half - 10 and leaf[("news", "en")] == half
 
 
+def poured(leaves, mix, budget):
+    """The definition, one token at a time: it goes down the tree to the child that lies furthest
+    behind its weight among those under which some leaf of positive weight has supply left."""
+    names = [mix.domain_weights, mix.language_weights, mix.source_weights]
+    given = {}
+
+    def open_(path):
+        return any(leaf[:len(path)] == path and given.get(leaf, 0) < supply
+                   and all(names[k].get(leaf[k], 1) > 0 for k in range(3)) for leaf, supply in leaves.items())
+
+    for _ in range(budget):
+        path = ()
+        for k in range(3):
+            children = {leaf[:k + 1] for leaf in leaves if leaf[:k] == path and open_(leaf[:k + 1])}
+            if not children:
+                return given
+            path = min(children, key=lambda c, k=k: (sum(v for x, v in given.items() if x[:k + 1] == c)
+                                                      / names[k].get(c[k], 1), c))
+        given[path] = given.get(path, 0) + 1
+    return given
+
+
+@pytest.mark.parametrize("zero", [{}, {"language_weights": {"de": 0}}, {"source_weights": {"src1": 0, "src4": 0}},
+                                  {"domain_weights": {"books": 0}}, {"language_weights": {"de": 0, "en": 0, "fr": 0}}])
+def test_budgets_against_pouring_token_by_token(spark, zero):
+    rows = [(i, "w " * (3 + i * 5 % 17), ["en", "de", "fr"][i % 3], f"src{i * 7 % 6}") for i in range(45)]
+    mix = M.Mix(**({"budget_percent": 60, "max_epochs": 1, "domain_weights": {"forum": 1, "news": 1, "books": 1},
+                    "language_weights": {"en": 2, "de": 1, "fr": 1}} | zero))
+    leaves, total = defaultdict(int), 0
+    for _, text, lang, source in rows:
+        leaves[mix.domains[source], lang, source] += len(text.split())
+        total += len(text.split())
+    want = poured(leaves, mix, total * 60 // 100)
+    got = {(r.domain, r.lang, r.source): r.budget for r in M.leaf_budgets(M.leaf_rows(documents(spark, rows), mix), mix).collect()}
+    assert all(abs(got.get(k, 0) - want.get(k, 0)) <= 6 for k in leaves)      # whole numbers round at three levels
+    assert abs(sum(got.values()) - sum(want.values())) <= 12
+
+
 def test_odd_rows_stage_and_empty_table(spark):
     df = with_clashes(odd_documents(spark), "domain", "copies", "bucket", "key", "row_id", "n_tokens")
     rows = [(r.doc_id, r.n_tokens, r.copies) for r in M.mix_plan(df, M.Mix(budget_percent=200)).collect()]
     assert len(rows) == df.count() and all(c == 2 for _, n, c in rows if n)
+    df = with_clashes(df, "row", "user", "__row", "__copy", "col")
     out = M.mix_stage(df, M.Mix(budget_percent=200))
+    assert out.filter("row = 'extra' and user = 'extra' and __row = 'extra' and __copy = 'extra'").count() == out.count()
     assert out.columns == df.columns and out.count() >= 2 * sum(1 for _, n, _ in rows if n)
     assert M.mix_plan(empty_like(df)).count() == 0 and M.mix_stage(empty_like(df)).count() == 0
 

@@ -82,7 +82,9 @@ def test_odd_rows(spark):
     extra = with_clashes(df, "row_id", "class", "member", "kept", "n")
     assert classes(N.near_classes(extra)) == classes(N.near_classes(df))
     assert N.near_classes(empty_like(df)).count() == 0
+    extra = with_clashes(extra, "row", "user", "__row")
     kept = N.near_dedup_stage(extra)
+    assert kept.filter("row = 'extra' and user = 'extra' and __row = 'extra'").count() == kept.count()
     assert kept.columns == extra.columns
     assert kept.count() == len({(c, n) for _, c, n in classes(N.near_classes(df))})
 

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 from helpers import empty_like
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -64,3 +65,23 @@ def test_stages_take_empty_tables(spark):
     docs = empty_like(table(spark, SF, "documents"))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_run_takes_odd_documents_and_keeps_one_table(spark, tmp_path, monkeypatch):
+    from curato.session import ensure_checkpoint_dir, table_scope
+    from helpers import odd_documents, with_clashes
+    extra = with_clashes(odd_documents(spark), "row", "user", "__row", "copies", "norm")
+    table(spark, SF, "labels").write.parquet(str(tmp_path / "labels.parquet"))
+    extra.unionByName(table(spark, SF, "documents").withColumns({c: F.lit("x") for c in (
+        "row", "user", "__row", "copies", "norm")})).write.parquet(str(tmp_path / "documents.parquet"))
+    tables = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    os.makedirs(tables, exist_ok=True)
+    before = set(os.listdir(tables))
+    with table_scope(spark):
+        out = corpus_pipeline.run(spark, str(tmp_path))
+        rows = out.collect()
+        left = set(os.listdir(tables)) - before
+        assert len(left) == 1 and next(iter(left)).startswith("stage_mix-")
+    assert set(os.listdir(tables)) == before
+    assert len(rows) > 50 and all(len(r.ids) == r.n_tokens for r in rows)
+    assert len({r.ids_sha256 for r in rows if r.n_tokens > 2}) == len([r for r in rows if r.n_tokens > 2])
