@@ -6,32 +6,46 @@ documents as they came; the last returns one row per document with its ids.
 
 A stage's result reads tables that the stage has staged in the shared folder.
 It is written before the next stage begins, so each stage first deletes what
-the one before it staged, and the disk holds one stage's tables at a time.
+the one before it staged, and the disk holds one stage's tables at a time.  ``run``
+also deletes a stage's output once the next one is written, so only the last output
+stays, which its result reads.
+
+Defined cases.  A null or empty text is scored, deduplicated, budgeted (it has no
+words and costs nothing) and encoded as the empty text.  Texts are read whole.  Of
+equal or similar documents the one with the smallest doc_id stays (a null id last),
+of rows that repeat an id too.  Null languages and sources are leaves of their own in the
+mix.  An empty table gives an empty result.  Extra columns come through all stages
+but the last, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from curato.llm import exact_dedup, near_dedup, quality_classifier, sentencepiece_bpe, source_mix
 from curato.llm.common import fit_sample, recording, table
-from curato.session import drop_tables, scratch_path
+from curato.session import drop_tables, scratch_path, table_scope
 
 
-_LEFT: list[str] = []   # tables of the stage before
+# Tables of the stage before, in this thread: runs in other threads have their own.
+_LEFT: ContextVar[tuple[str, ...]] = ContextVar("left", default=())
 
 
 def _only_own_tables(stage: Callable) -> Callable:
     """A stage that first deletes the tables of the stage before."""
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_tables(spark, _LEFT)
-        _LEFT.clear()
-        with recording(_LEFT):
-            return stage(spark, docs, sf_dir)
+        drop_tables(spark, list(_LEFT.get()))
+        made: list[str] = []
+        try:
+            with recording(made):
+                return stage(spark, docs, sf_dir)
+        finally:
+            _LEFT.set(tuple(made))
     return run_stage
 
 
@@ -71,11 +85,14 @@ STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each stage's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"stage_{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with table_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        drop_tables(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
