@@ -48,6 +48,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name, _RECORD[-1] if _RECORD else None)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Hand at most ``size`` of Arrow data to a Python worker at once while a table is staged
+    inside: a batch of whole texts lies in the JVM and in the worker at the same time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def numbered_rows(docs: DataFrame, name: str, *columns: str) -> tuple[DataFrame, DataFrame]:
     """(row, user): each row's number and the row as it came, packed, so that its columns
     meet no name of an operator; and (row, columns) for the operator.  Both read one

@@ -47,7 +47,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curato.llm.common import doc_runs, freed, mix64, numbered_rows, pieces, staged, table, utf8_buffers, word_table, Words
+from curato.llm.common import (Words, doc_runs, freed, mix64, numbered_rows, pieces, small_batches, staged, table,
+                               utf8_buffers, word_table)
 from curato.llm.dart_minhash import band_keys, signatures
 
 SHINGLE = 5
@@ -261,7 +262,8 @@ def near_classes(docs: DataFrame, row_id: Column | None = None, weights: str = "
     """One row per document: row_id, doc_id, class_id (the smallest doc_id of its
     class), class_size and kept (true for one row of each class)."""
     number = F.monotonically_increasing_id() if row_id is None else row_id
-    rows = staged(sketch_documents(docs, number, weights), "sketches")
+    with small_batches(docs.sparkSession):
+        rows = staged(sketch_documents(docs, number, weights), "sketches")
     narrow = rows.select("row_id", "doc_id", "d1", "d2", "n")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
     reps = staged(narrow.groupBy("d1", "d2", "n").agg(F.min(order).alias("stays"), F.count(F.lit(1)).alias("copies"))
