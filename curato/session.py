@@ -44,7 +44,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # Local mode runs every task in the driver JVM: give it the memory an
         # executor would have (only takes effect when this call starts the JVM).
         builder = builder.config("spark.driver.memory", os.environ.get("CURATO_DRIVER_MEMORY", "8g"))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if master and master.startswith("local"):
+        # Python workers of a local session find this package wherever they are started;
+        # a cluster gets it by --py-files or its image, as usual.
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
