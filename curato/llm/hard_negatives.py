@@ -12,7 +12,9 @@ out negatives while they fall into open windows.  It keeps the open windows of
 one anchor (``n_pos`` at most) and no list of its pairs.
 
 Scale.  Anchors meet all rows block by block: groups of at most about
-``ROW_BLOCK`` rows and ``ANCHOR_BLOCK`` anchors are scored by one matrix product.
+``ROW_BLOCK`` rows and ``ANCHOR_BLOCK`` anchors are scored by matrix products of
+``AT_ONCE`` anchors, so a task holds a block of rows and a few million scores, and a
+row is sent once per ``ANCHOR_BLOCK`` anchors.
 A block gives only what can matter: its ``n_pos`` best rows of the anchor's label,
 and, once the positives (and so the windows) are known, its ``n_neg`` first rows
 in each window.  The best of all rows are among these, so nothing is lost, and
@@ -41,7 +43,8 @@ from curato.llm.common import freed, staged, table
 
 N_POS, N_NEG = 5, 3
 LOW_PCT, HIGH_PCT = 50, 95
-ROW_BLOCK, ANCHOR_BLOCK = 4096, 512
+ROW_BLOCK, ANCHOR_BLOCK = 8192, 4096
+AT_ONCE = 256       # anchors of a block that are scored at once
 SCALE = 256
 
 _PAIR = pa.schema([("anchor_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
@@ -88,50 +91,53 @@ def _scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def _block(rows: pa.Table, anchors: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row ids ascending, row labels, anchor ids, anchor labels, scores anchors x rows)."""
+def _blocks(rows: pa.Table, anchors: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Table, np.ndarray]]:
+    """(row ids ascending, row labels, some anchors, their scores anchors x rows)."""
     ids = rows["id"].to_numpy()
     order = np.argsort(ids)
-    scores = _scores(_matrix(anchors["vector"]), _matrix(rows["vector"])[order])
-    return (ids[order], rows["label"].to_numpy()[order], anchors["id"].to_numpy(), anchors["label"].to_numpy(), scores)
+    ids, labels, vectors = ids[order], rows["label"].to_numpy()[order], _matrix(rows["vector"])[order]
+    for at in range(0, len(anchors), AT_ONCE):
+        part = anchors.slice(at, AT_ONCE)
+        yield ids, labels, part, _scores(_matrix(part["vector"]), vectors)
 
 
 def _best_positives(n_pos: int):
     def best(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        ids, labels, anchor_ids, anchor_labels, scores = _block(rows, anchors)
         out = []
-        for label in np.unique(anchor_labels):
-            own, same = np.flatnonzero(anchor_labels == label), np.flatnonzero(labels == label)
-            part = scores[np.ix_(own, same)]
-            first = np.argsort(-part, axis=1, kind="stable")[:, :n_pos + 1]   # one more: the anchor itself
-            for i, a in enumerate(own):
-                picked = same[first[i]]
-                picked = picked[ids[picked] != anchor_ids[a]][:n_pos]
-                out.append((np.full(len(picked), anchor_ids[a]), ids[picked], scores[a, picked]))
+        for ids, labels, part, scores in _blocks(rows, anchors):
+            anchor_ids, anchor_labels = part["id"].to_numpy(), part["label"].to_numpy()
+            for label in np.unique(anchor_labels):
+                own, same = np.flatnonzero(anchor_labels == label), np.flatnonzero(labels == label)
+                first = np.argsort(-scores[np.ix_(own, same)], axis=1, kind="stable")[:, :n_pos + 1]   # the anchor too
+                for i, a in enumerate(own):
+                    picked = same[first[i]]
+                    picked = picked[ids[picked] != anchor_ids[a]][:n_pos]
+                    out.append((np.full(len(picked), anchor_ids[a]), ids[picked], scores[a, picked]))
         return _pairs(out)
     return best
 
 
 def _first_negatives(n_neg: int):
     def first(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        ids, labels, anchor_ids, anchor_labels, scores = _block(rows, anchors)
-        lows, highs = anchors["lows"].to_pylist(), anchors["highs"].to_pylist()
-        inside = ((scores >= np.array([min(x) for x in lows], dtype=np.int64).reshape(-1, 1))
-                  & (scores <= np.array([max(x) for x in highs], dtype=np.int64).reshape(-1, 1))
-                  & (labels[None, :] != anchor_labels[:, None]))
-        at, row = np.nonzero(inside)
-        value = scores[at, row]
-        order = np.lexsort((-value, at))         # stable: equal scores stay in order of their ids
-        at, row, value = at[order], row[order], value[order]
-        ends = np.searchsorted(at, np.arange(len(anchor_ids) + 1))
         out = []
-        for a in range(len(anchor_ids)):
-            down = -value[ends[a]:ends[a + 1]]
-            begin = np.searchsorted(down, -np.array(highs[a]))
-            stop = np.minimum(begin + n_neg, np.searchsorted(down, -np.array(lows[a]), side="right"))
-            picked = sorted({int(i) for b, s in zip(begin, stop, strict=True) for i in range(b, s)})
-            picked = np.array(picked, dtype=np.int64) + ends[a]
-            out.append((np.full(len(picked), anchor_ids[a]), ids[row[picked]], value[picked]))
+        for ids, labels, part, scores in _blocks(rows, anchors):
+            anchor_ids, anchor_labels = part["id"].to_numpy(), part["label"].to_numpy()
+            lows, highs = part["lows"].to_pylist(), part["highs"].to_pylist()
+            inside = ((scores >= np.array([min(x) for x in lows], dtype=np.int64).reshape(-1, 1))
+                      & (scores <= np.array([max(x) for x in highs], dtype=np.int64).reshape(-1, 1))
+                      & (labels[None, :] != anchor_labels[:, None]))
+            at, row = np.nonzero(inside)
+            value = scores[at, row]
+            order = np.lexsort((-value, at))         # stable: equal scores stay in order of their ids
+            at, row, value = at[order], row[order], value[order]
+            ends = np.searchsorted(at, np.arange(len(anchor_ids) + 1))
+            for a in range(len(anchor_ids)):
+                down = -value[ends[a]:ends[a + 1]]
+                begin = np.searchsorted(down, -np.array(highs[a]))
+                stop = np.minimum(begin + n_neg, np.searchsorted(down, -np.array(lows[a]), side="right"))
+                picked = sorted({int(i) for b, e in zip(begin, stop, strict=True) for i in range(b, e)})
+                picked = np.array(picked, dtype=np.int64) + ends[a]
+                out.append((np.full(len(picked), anchor_ids[a]), ids[row[picked]], value[picked]))
         return _pairs(out)
     return first
 

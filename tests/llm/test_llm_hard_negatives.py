@@ -49,10 +49,11 @@ def f32(rows):
     return [(i, v and [None if x is None else float(np.float32(x)) for x in v], label) for i, v, label in rows]
 
 
-@pytest.mark.parametrize("blocks", [(4096, 512), (37, 3)])
+@pytest.mark.parametrize("blocks", [(8192, 4096), (37, 4)])
 def test_against_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(H, "ROW_BLOCK", blocks[0])
     monkeypatch.setattr(H, "ANCHOR_BLOCK", blocks[1])
+    blocks[1] < 5 and monkeypatch.setattr(H, "AT_ONCE", 2)
     rows = f32(vectors(random.Random(1), 400))
     got = mined(table(spark, rows))
     assert got == brute(rows) and len(got) > 30
