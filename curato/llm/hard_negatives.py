@@ -85,9 +85,9 @@ def _scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products: by floating point where every partial sum is exact there."""
     width = max(anchors.shape[1], rows.shape[1])
     a, b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (anchors, rows))
-    largest = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * width
-    if largest < 2.0 ** 53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+    fa, fb = a.astype(np.float64), b.astype(np.float64)
+    if np.abs(fa).max(initial=0) * np.abs(fb).max(initial=0) * width < 2.0 ** 53:
+        return (fa @ fb.T).astype(np.int64)
     return a @ b.T
 
 
@@ -196,8 +196,9 @@ def mine(rows: DataFrame, is_anchor: Column, n_pos: int = N_POS, n_neg: int = N_
     positives = staged(best.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n_pos).drop("n"), "positives")
 
     # A window is low% to high% of a score of 0 or more, in whole numbers.
-    open_ = positives.filter("score >= 0").withColumn("low", F.expr(f"({low_pct} * score + 99) div 100")) \
-        .withColumn("high", F.expr(f"({high_pct} * score) div 100"))
+    open_ = positives.filter("score >= 0").withColumn("wide", F.col("score").cast("decimal(25,0)")) \
+        .withColumn("low", F.expr(f"({low_pct} * wide + 99) div 100")) \
+        .withColumn("high", F.expr(f"({high_pct} * wide) div 100"))
     windows = open_.groupBy(F.col("anchor_id").alias("id")).agg(
         F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))   # n_pos at most
     negatives = _blockwise(rows, anchors.join(windows, "id"), n_rows, n_anchors, _first_negatives(n_neg))
@@ -209,7 +210,8 @@ def mine(rows: DataFrame, is_anchor: Column, n_pos: int = N_POS, n_neg: int = N_
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    own = F.col("label").cast("bigint")
+    label = F.when(F.col("vec_id") % 7 == 0, (own + 1) % 10).otherwise(own)
     return mine(quantised(table(spark, sf_dir, "embeddings"), label), F.col("id") % 50 == 0)
 
 

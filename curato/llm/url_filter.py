@@ -21,7 +21,8 @@ folder before the sweep, one window runs per partition, and the stack open at
 a partition's start comes from one row per earlier partition.
 
 Defined cases.  A null url, or one without ``://``, has an empty host and path
-and fits no rule.  Of rules with the same host and path a block wins over an
+and fits no rule.  Of fitting rules of one length (of different hosts) the one whose canonical
+key sorts last wins.  Of rules with the same host and path a block wins over an
 allow.  Rules with a null or empty host raise when the rules are built from Python
 and are ignored when they come as a table; a null path counts as empty.  An
 empty rule table gives every page the default verdict.  Repeated pages give

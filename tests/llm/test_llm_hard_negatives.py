@@ -88,6 +88,11 @@ def test_large_components_stay_exact(spark):
     assert mined(table(spark, rows)) == brute(rows)
 
 
+def test_huge_components_do_not_fail(spark):
+    rows = [(i, [3.0e38, -3.0e38, 1.0e17], i % 2) for i in range(60)] + [(100 + i, [2.0 ** 23, 2.0 ** 23 - i], i % 2) for i in range(40)]
+    mined(table(spark, rows))
+
+
 def test_empty_and_without_positives(spark):
     assert mined(table(spark, [])) == set()
     assert mined(table(spark, [(50, [1.0], 1), (51, [1.0], 2)])) == set()
