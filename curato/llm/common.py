@@ -76,15 +76,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(key) % HELD_OUT_FOLDS == 0
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[bytes, int, float]]:
-    """At most ``bound`` labelled texts of the learning folds, half of them of
-    each of the label's two values, as (UTF-8 text, label, weight).
-
-    A weight is how many labelled documents of its label a row stands for, so
-    the weighted rows have the label's true frequency.  A document counts once
-    however often it is labelled (its largest label holds).  Rows are picked by
-    a hash of their id, so the choice does not depend on partitioning; ids are
-    picked first, so only the picked rows' texts move."""
+def fit_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``bound`` labelled documents of the learning folds, half of them of
+    each of the label's two values, as (doc_id, h, label, text), and the number of
+    labelled documents of each value.
+
+    A document counts once however often it is labelled (its largest label holds).  Rows
+    are picked by a hash of their id, so the choice does not depend on partitioning; ids
+    are picked first, so only the picked rows' texts move."""
     lab = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("__y"))
            .filter(~held_out())
@@ -97,10 +96,25 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> li
         picked = part if picked is None else picked.unionByName(part)
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__t"))
             .join(F.broadcast(picked), "doc_id")  # at most ``bound`` rows of two numbers
-            .groupBy("doc_id", "__h", "__y").agg(F.min("__t").alias("__t")).orderBy("__h", "doc_id")
-            .select(F.col("__t").cast("binary"), "__y").collect())
-    share = {v: total.get(v, 0) / max(1, sum(1 for _, y in rows if y == v)) for v in (0, 1)}
-    return [(bytes(t), y, share[y]) for t, y in rows]
+            .groupBy("doc_id", "__h", "__y").agg(F.min("__t").alias("__t"))
+            .select("doc_id", F.col("__h").alias("h"), F.col("__y").alias("label"), F.col("__t").alias("text")))
+    return rows, total
+
+
+def label_weights(labels: np.ndarray, total: dict[int, int]) -> np.ndarray:
+    """How many labelled documents of its label each picked row stands for, so that the
+    weighted rows have the label's true frequency."""
+    share = [total.get(v, 0) / max(1, int((labels == v).sum())) for v in (0, 1)]
+    return np.array(share)[labels]
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[bytes, int, float]]:
+    """The rows of ``fit_rows`` as (UTF-8 text, label, weight), for a model that learns
+    from the texts themselves."""
+    picked, total = fit_rows(docs, labels, label, bound)
+    rows = picked.orderBy("h", "doc_id").select(F.col("text").cast("binary"), "label").collect()
+    weight = label_weights(np.array([y for _, y in rows], dtype=np.int64), total)
+    return [(bytes(t), y, float(w)) for (t, y), w in zip(rows, weight, strict=True)]
 
 
 def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,14 @@ the likelihood most is added as long as the gain pays for one more
 proportion.  The predicted language is the one with the largest proportion in
 the chosen set, and that proportion is the score.
 
+Few additions are ever fitted, by two bounds that lose none.  The mixture of all
+languages, fitted once for all documents of a batch by matrix products, bounds the
+likelihood of every set; where the chosen set is within the price of one more
+language of it, the search ends.  Else one matrix product gives for every language
+l the sum G of count x chance in l / chance in the mixture; by Jensen's inequality
+l cannot raise the log-likelihood by more than n log(max G / n), and languages
+are fitted, the most promising first, only while that could still win.
+
 The n-grams are ``GRAM`` bytes of the text, lower-cased, with everything but
 letters as one separator value, hashed into ``2 ** BUCKET_BITS`` buckets.
 Buckets that tell languages apart in the same way (the same likeliest and
@@ -19,7 +27,9 @@ language's distribution over the symbols; so a document is one short count vecto
 through the inference together.
 
 Learning.  At most ``SAMPLE`` documents of each language of the learning folds
-are counted, picked by a hash of the id; of rows that repeat an id in a language one counts.  The model is a fixed-size table.
+are counted, picked by a hash of the id; of rows that repeat an id in a language one counts.  They are counted on the
+executors; the driver gets counts of at most ``2 ** BUCKET_BITS`` buckets a language, never texts, and the model is
+a table of that size.
 
 Scale.  Prediction is one pass over Arrow batches without a shuffle; texts are
 read whole, in pieces of at most ``PIECE`` bytes.
@@ -50,6 +60,7 @@ LEVELS = 12
 CLOSE = 11               # of each language, the second languages that symbols tell apart
 CELLS = 1 << 22          # counts of documents by symbols that are in memory at once
 ROUNDS = 12
+ALL_ROUNDS = 20          # of the mixture of all languages
 PENALTY = 3.0            # log-likelihood that one more language must gain, besides half the log of the size
 PIECE = 1 << 20
 MAX_BROADCAST = 100_000  # rows of two columns; beyond, a join shuffles
@@ -113,6 +124,49 @@ class Model:
         mix = np.maximum(np.einsum("dl,dlk->dk", share, p), 1e-300)
         return (counts * np.log(mix)).sum(1), share
 
+    def _ceiling(self, counts: np.ndarray, seen: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(more than the log-likelihood of any mixture, proportions of a fitted mixture of all languages)."""
+        share = np.full((len(counts), len(self.langs)), 0.5 / len(self.langs))
+        share[np.arange(len(counts)), chosen] += 0.5
+        for turn in range(ALL_ROUNDS + 1):
+            mix = np.maximum(share @ self.chance.T, 1e-300)
+            pull = (counts / mix) @ self.chance
+            if turn < ALL_ROUNDS:
+                share = share * pull / seen[:, None]
+        return (counts * np.log(mix)).sum(1) + seen * np.log(pull.max(1) / seen), share
+
+    def _additions(self, counts: np.ndarray, seen: np.ndarray, chosen: np.ndarray, held: np.ndarray, best: np.ndarray,
+                   price: np.ndarray, hint: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(gain, language, proportions) of the best addition to each document's set,
+        the gain -inf where none is worth its price."""
+        n, width = chosen.shape
+        total = len(self.langs)
+        mix = np.maximum(np.einsum("dl,dlk->dk", held, self.chance.T[chosen]), 1e-300)
+        pull = (counts / mix) @ self.chance
+        own = np.take_along_axis(pull, chosen, 1).max(1)
+        start = (counts * np.log(mix)).sum(1) - best
+        most = start[:, None] + seen[:, None] * np.log(np.maximum(pull, own[:, None]) / seen[:, None])
+        np.put_along_axis(most, chosen, -np.inf, 1)
+        gain, add = np.full(n, -np.inf), np.zeros(n, dtype=np.int64)
+        share = np.zeros((n, width + 1))
+        order = np.argsort(-hint, axis=1, kind="stable")
+        left = np.take_along_axis(most, order, 1)                 # bounds in the order of trial
+        rest = np.maximum.accumulate(left[:, ::-1], axis=1)[:, ::-1]
+        for turn in range(total):
+            open_ = rest[:, turn] >= np.maximum(gain, price)
+            if not open_.any():
+                break
+            rows = np.flatnonzero(open_ & (left[:, turn] >= np.maximum(gain, price)))
+            if not len(rows):
+                continue
+            lang = order[rows, turn]
+            ll, got = self._fit(counts[rows], np.concatenate([chosen[rows], lang[:, None]], axis=1))
+            up = ll - best[rows]
+            better = (up > price[rows]) & ((up > gain[rows]) | ((up == gain[rows]) & (lang < add[rows])))
+            at = rows[better]
+            gain[at], add[at], share[at] = up[better], lang[better], got[better]
+        return gain, add, share
+
     def infer(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(predicted language, its share, number of languages) of each document."""
         counts = counts[:, 1:] / GRAM     # neighbouring n-grams overlap: GRAM of them count as one
@@ -120,40 +174,46 @@ class Model:
         n, total = len(counts), len(self.langs)
         model = Model(self.langs, self.symbol, self.chance[1:], self.common)
         single = counts @ np.log(model.chance)
-        chosen = single.argmax(1)[:, None]
-        best = single[np.arange(n), chosen[:, 0]]
-        pred, score, size = chosen[:, 0].copy(), np.ones(n), np.ones(n, dtype=np.int64)
-        live = np.flatnonzero(seen > 0)
-        while len(live) and chosen.shape[1] < total:
-            gain = np.full(len(live), -np.inf)
-            add = np.zeros(len(live), dtype=np.int64)
-            new_share = np.zeros((len(live), chosen.shape[1] + 1))
-            for lang in range(total):
-                free = np.flatnonzero(~(chosen[live] == lang).any(1))
-                if not len(free):
-                    continue
-                rows = live[free]
-                ll, got = model._fit(counts[rows], np.concatenate(
-                    [chosen[rows], np.full((len(rows), 1), lang)], axis=1))
-                better = ll - best[rows] > gain[free]
-                at = free[better]
-                gain[at] = (ll - best[rows])[better]
-                add[at] = lang
-                new_share[at] = got[better]
-            grown = gain > PENALTY + 0.5 * np.log(np.maximum(seen[live], 1))
-            wider = np.concatenate([chosen, np.zeros((n, 1), dtype=np.int64)], axis=1)
-            live, gain, add, new_share = live[grown], gain[grown], add[grown], new_share[grown]
-            wider[live, -1] = add
-            best[live] += gain
-            chosen = wider
-            top = new_share.argmax(1)
-            pred[live] = chosen[live, top]
-            score[live] = new_share[np.arange(len(live)), top]
-            size[live] = chosen.shape[1]
+        pred = single.argmax(1)
+        best = single[np.arange(n), pred]
+        score, size = np.ones(n), np.ones(n, dtype=np.int64)
+        # Documents of one language share most symbols: a few at a time, with the symbols that they have.
+        order = np.argsort(pred, kind="stable")
+        order = order[seen[order] > 0] if total > 1 else order[:0]
+        most = max(16, (1 << 16) // len(model.chance))
+        for a in range(0, len(order), most):
+            rows = order[a:a + most]
+            used = np.flatnonzero(counts[rows].any(0))
+            part = Model(self.langs, self.symbol, np.ascontiguousarray(model.chance[used]), self.common)
+            pred[rows], score[rows], size[rows] = part._search(counts[np.ix_(rows, used)], pred[rows], best[rows])
         blank = seen <= 0
         pred[blank], score[blank] = self.common, 1.0 / total
         return pred, score, size
 
+    def _search(self, counts: np.ndarray, pred: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The language sets grown from each document's likeliest language."""
+        seen = counts.sum(1)
+        n, total = len(counts), len(self.langs)
+        pred, best, score, size = pred.copy(), best.copy(), np.ones(n), np.ones(n, dtype=np.int64)
+        live = np.arange(n)
+        price = PENALTY + 0.5 * np.log(np.maximum(seen, 1))
+        ceiling, hint = self._ceiling(counts, seen, pred)
+        chosen, held = pred[live][:, None], np.ones((len(live), 1))
+        while chosen.shape[1] < total:
+            on = ceiling - best[live] > price[live]
+            live, ceiling, hint, chosen, held = live[on], ceiling[on], hint[on], chosen[on], held[on]
+            if not len(live):
+                break
+            gain, add, share = self._additions(counts[live], seen[live], chosen, held, best[live], price[live], hint)
+            grown = gain > price[live]
+            live, ceiling, hint, held = live[grown], ceiling[grown], hint[grown], share[grown]
+            chosen = np.concatenate([chosen[grown], add[grown][:, None]], axis=1)
+            best[live] += gain[grown]
+            top = held.argmax(1)
+            pred[live], score[live] = np.take_along_axis(chosen, top[:, None], 1)[:, 0], held.max(1)
+            size[live] = chosen.shape[1]
+        return pred, score, size
+
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         most = max(1, CELLS // len(self.chance))
         out = [self.infer(self.counts(raw[offsets[c]:offsets[d]], offsets[c:d + 1] - offsets[c]))
@@ -164,16 +224,32 @@ class Model:
 
 
 def learn(sample: Sequence[tuple[bytes, str]]) -> Model | None:
-    """Fit the symbols and their distributions on (text, language) rows."""
+    """The model of (text, language) rows."""
     langs = sorted({lang for _, lang in sample})
+    counts = np.zeros((len(langs), 1 << BUCKET_BITS))
+    for i, lang in enumerate(langs):
+        bucket, n = _gram_counts([text for text, x in sample if x == lang])
+        counts[i, bucket] = n
+    return fit(langs, counts, [sum(1 for _, x in sample if x == lang) for lang in langs])
+
+
+def _gram_counts(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, occurrences) of the n-grams of some texts."""
+    total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    for text in texts:
+        raw = np.frombuffer(text, dtype=np.uint8)
+        for _, part, offs in pieces(raw, np.array([0, len(raw)]), PIECE):
+            np.add.at(total, gram_buckets(part, offs)[1], 1)
+    bucket = np.flatnonzero(total)
+    return bucket, total[bucket]
+
+
+def fit(langs: list[str], counts: np.ndarray, documents: Sequence[int]) -> Model | None:
+    """The symbols and their distributions from each language's counts of the buckets
+    and number of documents; languages are in alphabetical order."""
     if not langs:
         return None
     size = 1 << BUCKET_BITS
-    counts = np.zeros((len(langs), size))
-    for text, lang in sample:
-        raw = np.frombuffer(text, dtype=np.uint8)
-        for _, part, offs in pieces(raw, np.array([0, len(raw)]), PIECE):
-            counts[langs.index(lang)] += np.bincount(gram_buckets(part, offs)[1], minlength=size)
     chance = (counts + 0.05) / (counts.sum(1, keepdims=True) + 0.05 * size)
     odds = chance / chance.sum(0)
     order = np.argsort(-odds, axis=0, kind="stable")
@@ -192,12 +268,11 @@ def learn(sample: Sequence[tuple[bytes, str]]) -> Model | None:
     table_ = np.zeros((len(used) + 1, len(langs)))
     for i in range(len(langs)):
         table_[:, i] = np.bincount(place, weights=counts[i], minlength=len(used) + 1) + 0.5
-    documents = [sum(1 for _, x in sample if x == lang) for lang in langs]
     return Model(langs, place, table_ / table_.sum(0), int(np.argmax(documents)))
 
 
-def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[bytes, str]]:
-    """At most ``per_language`` (text, language) rows of each language of the
+def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
+    """At most ``per_language`` rows (text in UTF-8, lang) of each language of the
     learning folds.  An id counts once in a language, however often it repeats,
     and brings its smallest text.  Ids are picked first, so only the picked
     texts move; and of a language with many ids only those whose hash lies low
@@ -217,9 +292,36 @@ def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[b
     if picked.count() <= MAX_BROADCAST:
         picked = F.broadcast(picked)
     same = (F.coalesce(own["doc_id"].cast("string"), F.lit("")) == picked["id"]) & (own["lang"] == picked["l"])
-    rows = (own.join(picked, same).groupBy("id", "lang").agg(F.min("text").cast("binary").alias("t"))
-            .orderBy("lang", F.xxhash64("t")).collect())
-    return [(bytes(r["t"]), r["lang"]) for r in rows]
+    return (own.join(picked, same).groupBy("id", "lang").agg(F.min("text").cast("binary").alias("text"))
+            .select("text", "lang"))
+
+
+def learn_languages(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
+    """The model of the sampled documents, counted where they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in freed(batches):
+            langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            for lang in sorted(set(langs)):
+                own = batch.column("text").take(pa.array(np.flatnonzero(langs == lang)))
+                bucket, n = _gram_counts([x.as_buffer() for x in own])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * (len(bucket) + 1), pa.string()),
+                     pa.array(np.append(bucket, -1), pa.int32()),     # -1: the documents
+                     pa.array(np.append(n, len(own)), pa.int64())], names=["lang", "bucket", "n"])
+
+    found = (language_sample(docs, per_language).mapInArrow(run, "lang string, bucket int, n bigint")
+             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    langs = sorted(set(found["lang"].unique().to_pylist()))
+    names = found["lang"].combine_chunks().dictionary_encode()
+    at = np.array([langs.index(x) for x in names.dictionary.to_pylist()], dtype=np.int64)[
+        names.indices.to_numpy()] if langs else np.zeros(0, np.int64)
+    bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
+    counts = np.zeros((len(langs), 1 << BUCKET_BITS))
+    gram = bucket >= 0
+    counts[at[gram], bucket[gram]] = n[gram]
+    documents = np.zeros(len(langs), dtype=np.int64)
+    documents[at[~gram]] = n[~gram]
+    return fit(langs, counts, documents)
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -247,4 +349,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return identify(docs, learn(language_sample(docs)))
+    return identify(docs, learn_languages(docs))

@@ -195,6 +195,57 @@ def test_mixture_finds_the_languages_of_a_document():
     assert score[2] == pytest.approx(share.max())
 
 
+def every_addition(model, counts):
+    """The search written out: each round fits every language that is not in the set yet."""
+    counts = counts[1:] / L.GRAM
+    chance = model.chance[1:]
+    single = counts @ np.log(chance)
+    chosen, share = [int(single.argmax())], np.ones(1)
+    best = single[chosen[0]]
+    while counts.sum() and len(chosen) < len(model.langs):
+        tried = []
+        for lang in sorted(set(range(len(model.langs))) - set(chosen)):
+            p, s = chance[:, [*chosen, lang]], np.full(len(chosen) + 1, 1 / (len(chosen) + 1))
+            for _ in range(L.ROUNDS):
+                s = (counts / (p @ s)) @ p * s / counts.sum()
+            tried.append((counts @ np.log(p @ s), -lang, s))
+        ll, lang, s = max(tried, key=lambda t: t[:2])
+        if ll - best <= L.PENALTY + 0.5 * np.log(max(1, counts.sum())):
+            break
+        chosen, share, best = [*chosen, -lang], s, ll
+    return chosen[int(share.argmax())], share.max(), len(chosen)
+
+
+@pytest.mark.parametrize("langs", [1, 2, 5, 25])
+def test_bounds_lose_no_addition(langs):
+    rng = random.Random(langs)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    shared = ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(80)]
+    vocab = {f"l{i:02}": rng.sample(shared, 30) + ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(60)]
+             for i in range(langs)}
+    model = L.learn([(" ".join(rng.choices(vocab[k], k=80)).encode(), k) for k in vocab for _ in range(10)])
+    texts = [" ".join(" ".join(rng.choices(vocab[rng.choice(list(vocab))], k=rng.choice([2, 15, 90])))
+                      for _ in range(rng.choice([1, 1, 2, 3]))) for _ in range(40)]
+    pred, score, size = model.predict(*packed(texts))
+    for i, c in enumerate(model.counts(*packed(texts))):
+        want = every_addition(model, c)
+        assert (pred[i], size[i]) == (want[0], want[2]) and score[i] == pytest.approx(want[1])
+    assert langs == 1 or size.max() > 1
+
+
+def test_counting_on_the_executors_learns_the_same(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    docs = docs.unionByName(docs.limit(30))
+    sample = [(bytes(r.text), r.lang) for r in L.language_sample(docs, 40).collect()]
+    a, b = L.learn(sample), L.learn_languages(docs, 40)
+    assert a.langs == b.langs and a.common == b.common
+    assert (a.symbol == b.symbol).all() and (a.chance == b.chance).all()
+    assert L.learn_languages(empty_like(docs)) is None
+    m, k = T.learn(fit_sample(docs, labels, "toxic", 400)), T.learn_toxicity(docs, labels, bound=400)
+    assert (m.place == k.place).all() and len(k.weight) > 20
+    assert m.weight == pytest.approx(k.weight, abs=1e-3) and m.bias == pytest.approx(k.bias, abs=1e-3)
+
+
 @pytest.mark.parametrize("others", [9, 10, 20])
 def test_close_languages_stay_apart_at_any_number_of_languages(others):
     rng = random.Random(8)
@@ -214,7 +265,7 @@ def test_language_sample_counts_a_repeated_id_once(spark):
     rows = [(i, f"text {i} {j}", "aa") for i in ids[:40] for j in range(30)]        # every id repeats
     rows += [(i, f"text {i}", "bb") for i in ids[40:80]]
     rows += [(i, f"copy {j:04}", f"l{i}") for i in ids[80:84] for j in range(500)]   # one id is the language
-    got = L.language_sample(documents(spark, rows), 10)
+    got = [(bytes(r.text), r.lang) for r in L.language_sample(documents(spark, rows), 10).collect()]
     texts = {lang: [t.decode() for t, x in got if x == lang] for _, lang in got}
     assert {k: len(v) for k, v in texts.items()} == {"aa": 10, "bb": 10} | {f"l{i}": 1 for i in ids[80:84]}
     assert all(t.endswith(" 0") for t in texts["aa"]) and len(set(texts["aa"])) == 10
@@ -231,8 +282,8 @@ def test_odd_rows_and_empty_tables(spark, kind):
         if kind == "quality":
             return Q.score_documents(docs, Q.learn(fit_sample(docs, labs, "quality", 100)))
         if kind == "toxic":
-            return T.score_documents(docs, T.learn(fit_sample(docs, labs, "toxic", 100)))
-        return L.identify(docs, L.learn(L.language_sample(docs)))
+            return T.score_documents(docs, T.learn_toxicity(docs, labs, bound=100))
+        return L.identify(docs, L.learn_languages(docs))
 
     a, b = run(df, labels).collect(), run(extra, labels).collect()
     assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) == len(ODD_ROWS)
