@@ -158,17 +158,19 @@ def base_failed() -> Column:
 # -- the cascade --------------------------------------------------------------------
 
 def plan_cascade(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """``rules`` sorted by rejection per cost, estimated on the first ``sample_rows``
+    """``rules`` sorted by rejection per cost, estimated on those of the first ``sample_rows``
     documents that pass the base rule.  Rules that never reject come last, the
     cheap ones first; ties keep the given order.
 
-    The sample is read partition by partition until it is full, and brings one
-    flag and one number per rule to the driver, not texts."""
+    The sample is read partition by partition until it is full, whether or not its
+    documents pass the base rule, so it costs the same where few pass; it brings
+    flags and one number per rule to the driver, not texts."""
     if not rules:
         return []
     measures = [c for i, r in enumerate(rules) for c in (
         F.coalesce(r.fails, F.lit(False)).cast("double").alias(f"s{i}"), r.cost.cast("double").alias(f"c{i}"))]
-    rows = with_base_counts(docs).filter(~base_failed()).select(*measures).limit(sample_rows).collect()
+    read = with_base_counts(docs).select((~base_failed()).alias("passed"), *measures).limit(sample_rows).collect()
+    rows = [r for r in read if r["passed"]]
 
     def rank(i: int) -> tuple[float, float, int]:
         cost = max(1.0, sum(row[f"c{i}"] for row in rows) / max(1, len(rows)))
