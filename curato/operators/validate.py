@@ -113,7 +113,9 @@ def _walk_links(first: DataFrame, contract: Contract, keep: list[str], tables: l
         frontier = level.filter(F.size("__links") > 0).select(_LINE, F.inline("__links"))
     below = found.groupBy(_LINE).agg(F.sort_array(F.collect_list(F.struct("path", "details"))).alias("__found"))
     more = F.coalesce(F.flatten(F.transform("__found", lambda f: f["details"])), F.array().cast(DETAIL))
-    joined = base.join(below, _LINE, "left")
+    # As many rows as lines with a fault: the small files that they are read from say little of
+    # their size in memory, so they are never broadcast.
+    joined = base.join(below.hint("merge"), _LINE, "left")
     return joined.select(*keep, F.array_distinct(F.concat("details", more)).alias("details"))
 
 

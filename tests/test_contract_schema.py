@@ -49,6 +49,11 @@ def test_a_tree_is_walked_in_the_jvm_and_its_tables_are_named(spark):
     assert "Python" not in plan and len(tables) >= 9       # one for the records and one a level
 
 
+def test_faults_below_are_not_broadcast_to_their_lines(spark):
+    plan = answers(spark, E.TREE_SCHEMA, E.TREE_LINES)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan      # they are as many as the lines
+
+
 def test_repeated_keys(spark):
     schema = {"type": "object", "properties": {"a": {"type": "integer"}, "b": {"type": "object", "properties": {"c": {"type": "string"}}}}}
     lines = [('{"a":"x","a":1}', ""), ('{"a":1,"a":"x"}', ""), ('{"b":{"c":1,"c":"y"}}', ""), ('{"a":1', "")]
