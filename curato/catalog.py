@@ -8,8 +8,7 @@ every computed column is aliased, so results compare with ``curato.oracle``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -346,19 +345,8 @@ def q_contract_recursive(spark, sf):
     return _schema_answers(spark, sf, TREE_SCHEMA, TREE_LINES)
 
 
-@contextmanager
-def _split_size(spark: SparkSession, size: str) -> Iterator[None]:
-    """Read in splits of at most ``size``, so that small files have several."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 FILE_ROWS = 2500
+SPLIT_SIZE = "16k"      # small files have several splits
 
 
 def _write_in_order(lines: DataFrame, key: str, path: str) -> None:
@@ -371,8 +359,7 @@ def _write_in_order(lines: DataFrame, key: str, path: str) -> None:
 def _numbered_events(spark, sf) -> DataFrame:
     path = scratch_path(spark, "event_lines")
     _write_in_order(event_lines(spark, sf), "event_id", path)
-    with _split_size(spark, "16k"):
-        return number_lines(spark, path)
+    return number_lines(spark, path, split_size=SPLIT_SIZE)
 
 
 def _part(file: str = "file") -> F.Column:
@@ -459,8 +446,7 @@ def q_split_sides(spark, sf):
     line = F.to_json(F.struct(k.cast("string").alias("image_id"), "width"))
     _write_in_order(rows.select("image_id", line.alias("value")), "image_id", images)
     _write_in_order(rows.filter(k % 2 == 0).select("image_id", line.alias("value")), "image_id", tags)
-    with _split_size(spark, "16k"):
-        folders = split_feeds(spark, images, tags, "both", 3, out)
+    folders = split_feeds(spark, images, tags, "both", 3, out, SPLIT_SIZE)
     back = None
     for side, folder in folders.items():
         one = read_chunk_dir(spark, folder, IMAGES_SCHEMA).select(

@@ -133,10 +133,10 @@ def validation_gate(spark: SparkSession, feeds: dict[str, tuple[str, object]],
 
 
 def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: str | None, n: int,
-                out_dir: str) -> dict[str, str]:
+                out_dir: str, split_size: str | None = None) -> dict[str, str]:
     """Write the chosen feeds ('images', 'tags', 'both') as n contiguous chunks
     each, in file order.  Spark needs no chunking to join; this only serves
-    consumers that want fixed-size pieces."""
+    consumers that want fixed-size pieces.  ``split_size``: see ``number_lines``."""
     choices = {"images": ["images"], "tags": ["tags"], "both": ["images", "tags"]}
     if which is None:
         return {}
@@ -147,7 +147,7 @@ def split_feeds(spark: SparkSession, images_path: str, tags_path: str, which: st
     try:
         for name in choices[which]:
             target = f"{out_dir.rstrip('/')}/{name}_chunks"
-            sinks.write_file_chunks(number_lines(spark, paths[name], tables=tables), n, target)
+            sinks.write_file_chunks(number_lines(spark, paths[name], tables=tables, split_size=split_size), n, target)
             out[name] = target
     finally:
         drop_tables(spark, tables)

@@ -10,6 +10,8 @@ a directory (e.g. ``"*.jsonl"``).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -84,15 +86,37 @@ def with_places(staged: DataFrame, starts: DataFrame) -> DataFrame:
             .drop("block", "seq", "first", "before", "all_before"))
 
 
+@contextmanager
+def _split_size(spark: SparkSession, size: str, tasks: int) -> Iterator[None]:
+    """Read in splits of at most ``size``, several to a task where there would be more than ``tasks``."""
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": str(tasks)}
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def number_lines(spark: SparkSession, path: str | list[str], glob: str | None = None,
-                 tables: list[str] | None = None) -> DataFrame:
+                 tables: list[str] | None = None, split_size: str | None = None) -> DataFrame:
     """Lines with their places: ``file``, ``value``, ``line``, ``position``.
 
     A scan carries no line numbers, but it reads a split in order.  The lines are
     staged once with their split and a running number, and counts per split, summed
     over the splits before it, turn these into line numbers.  No line is sorted or
-    shuffled: only one row per split is.  Blank lines count."""
-    lines = stage(read_split_lines(spark, path, glob), "lines", tables)
+    shuffled: only one row per split is.  Blank lines count.
+
+    ``split_size`` reads the files, and nothing else, in splits of at most that size; the
+    tasks stay as many as the reader would have had without it."""
+    lines = read_split_lines(spark, path, glob)
+    if split_size is None:
+        lines = stage(lines, "lines", tables)
+    else:
+        with _split_size(spark, split_size, max(1, lines.rdd.getNumPartitions())):
+            lines = stage(lines, "lines", tables)
     return with_places(lines, split_starts(lines, tables))
 
 

@@ -57,6 +57,35 @@ def test_numbers_do_not_depend_on_the_join(spark, tmp_dir, small_splits, monkeyp
     assert sorted((r.line, r.value) for r in number_lines(spark, tmp_dir).collect()) == list(enumerate(FILES["a.jsonl"], 1))
 
 
+def test_small_splits_share_tasks_and_end_with_the_read(spark, tmp_dir):
+    names = [f"{k}.jsonl" for k in range(6)]
+    for name in names:
+        write(tmp_dir, name, FILES["a.jsonl"])
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum")
+    before, tables = [spark.conf.get(n, None) for n in settings], []
+    got = number_lines(spark, tmp_dir, "*.jsonl", tables, split_size="300")
+    assert sorted((os.path.basename(r.file), r.line, r.position, r.value) for r in got.collect()) == [
+        (name, i + 1, 200 * k + i, text) for k, name in enumerate(names) for i, text in enumerate(FILES["a.jsonl"])]
+    splits = spark.read.parquet(tables[1]).groupBy("file").count().collect()
+    assert len(splits) == 6 and all(r["count"] > 10 for r in splits)
+    assert len(files.glob(f"{tables[0].removeprefix('file:')}/part-*")) <= 6         # a file a task
+    assert [spark.conf.get(n, None) for n in settings] == before
+
+
+@pytest.mark.parametrize("name", ["split_sides"])
+def test_queries_over_small_splits_run_few_tasks(spark, name):
+    from curato.catalog import QUERIES
+    sc = spark.sparkContext
+    sc.setJobGroup(f"tasks of {name}", name)
+    try:
+        assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"tasks of {name}")]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [sc.statusTracker().getStageInfo(i) for j in jobs for i in j.stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= 16        # a task for each split would be 60 and more
+
+
 def test_chunks_hold_slices_in_file_order(spark, tmp_dir, small_splits):
     src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
     for name, lines in FILES.items():
