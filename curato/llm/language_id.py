@@ -28,7 +28,7 @@ through the inference together.
 
 Learning.  At most ``SAMPLE`` documents of each language of the learning folds
 are counted, picked by a hash of the id; of rows that repeat an id in a language one counts.  They are counted on the
-executors; the driver gets counts of at most ``2 ** BUCKET_BITS`` buckets a language, never texts, and the model is
+executors, a language in ``SLICES`` tasks at most; the driver gets counts of at most ``2 ** BUCKET_BITS`` buckets a language, never texts, and the model is
 a table of that size.
 
 Scale.  Prediction is one pass over Arrow batches without a shuffle; texts are
@@ -54,6 +54,7 @@ from pyspark.sql import functions as F
 from curato.llm.common import doc_runs, freed, held_out, mix64, pieces, staged, table, utf8_buffers
 
 SAMPLE = 300
+SLICES = 4               # tasks that count the sampled texts of a language, at most
 GRAM = 4
 BUCKET_BITS = 17
 LEVELS = 12
@@ -296,21 +297,40 @@ def language_sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
             .select("text", "lang"))
 
 
-def learn_languages(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
-    """The model of the sampled documents, counted where they are."""
+def _partial_counts(sample: DataFrame) -> DataFrame:
+    """(lang, bucket, n) of the sampled texts, bucket -1 for their number.  A language is
+    counted in at most ``SLICES`` tasks, each of which gives a bucket once: the rows
+    depend on the texts, not on the number of partitions or batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, total, documents = None, np.zeros(1 << BUCKET_BITS, dtype=np.int64), 0
+
+        def counted() -> pa.RecordBatch:
+            bucket = np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([own] * (len(bucket) + 1), pa.string()), pa.array(np.append(bucket, -1), pa.int32()),
+                 pa.array(np.append(total[bucket], documents), pa.int64())], names=["lang", "bucket", "n"])
+
         for batch in freed(batches):
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            for lang in sorted(set(langs)):
-                own = batch.column("text").take(pa.array(np.flatnonzero(langs == lang)))
-                bucket, n = _gram_counts([x.as_buffer() for x in own])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * (len(bucket) + 1), pa.string()),
-                     pa.array(np.append(bucket, -1), pa.int32()),     # -1: the documents
-                     pa.array(np.append(n, len(own)), pa.int64())], names=["lang", "bucket", "n"])
-
-    found = (language_sample(docs, per_language).mapInArrow(run, "lang string, bucket int, n bigint")
-             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
+            for lang in sorted(set(langs)):              # the rows come in this order
+                if own is not None and lang != own:
+                    yield counted()
+                    total[:], documents = 0, 0
+                texts = batch.column("text").take(pa.array(np.flatnonzero(langs == lang)))
+                bucket, n = _gram_counts([x.as_buffer() for x in texts])
+                total[bucket] += n
+                own, documents = lang, documents + len(texts)
+        if own is not None:
+            yield counted()
+
+    dealt = sample.withColumn("slice", F.pmod(F.xxhash64("text"), F.lit(SLICES))).repartition("lang", "slice")
+    return (dealt.sortWithinPartitions("lang").select("text", "lang")
+            .mapInArrow(run, "lang string, bucket int, n bigint"))
+
+
+def learn_languages(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
+    """The model of the sampled documents, counted on the executors."""
+    found = _partial_counts(language_sample(docs, per_language)).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(found["lang"].unique().to_pylist()))
     names = found["lang"].combine_chunks().dictionary_encode()
     at = np.array([langs.index(x) for x in names.dictionary.to_pylist()], dtype=np.int64)[

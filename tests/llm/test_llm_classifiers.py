@@ -246,6 +246,26 @@ def test_counting_on_the_executors_learns_the_same(spark):
     assert m.weight == pytest.approx(k.weight, abs=1e-3) and m.bias == pytest.approx(k.bias, abs=1e-3)
 
 
+def test_partial_counts_depend_on_the_texts_not_on_the_partitions(spark):
+    sample = L.language_sample(table(spark, SF, "documents"), 40)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, found = [spark.conf.get(n) for n in names], []
+    try:
+        spark.conf.set(names[1], "false")
+        for parts in ("2", "120"):
+            spark.conf.set(names[0], parts)
+            found.append([tuple(r) for r in L._partial_counts(sample).collect()])
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
+    few, many = found
+    cells = {(lang, bucket) for lang, bucket, _ in few}
+    assert cells == {(lang, bucket) for lang, bucket, _ in many}
+    assert sum(n for _, b, n in few if b >= 0) == sum(n for _, b, n in many if b >= 0)
+    assert max(sum(1 for lang, b, _ in many if b < 0 and lang == x) for x in {lang for lang, _ in cells}) <= L.SLICES
+    assert len(many) <= L.SLICES * len(cells)
+
+
 @pytest.mark.parametrize("others", [9, 10, 20])
 def test_close_languages_stay_apart_at_any_number_of_languages(others):
     rng = random.Random(8)
