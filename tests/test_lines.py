@@ -72,7 +72,7 @@ def test_small_splits_share_tasks_and_end_with_the_read(spark, tmp_dir):
     assert [spark.conf.get(n, None) for n in settings] == before
 
 
-@pytest.mark.parametrize("name", ["line_numbers", "violation_report", "split_sides"])
+@pytest.mark.parametrize("name", ["line_numbers", "chunks_in_file_order", "violation_report", "split_sides"])
 def test_queries_over_small_splits_run_few_tasks(spark, name):
     from curato.catalog import QUERIES
     sc = spark.sparkContext
